@@ -6,8 +6,11 @@ from pyspark.sql import Column, functions as F
 
 
 def exact_sum(column: Column) -> Column:
-    """Money sum as decimal, so the result does not depend on the order of the rows."""
-    return F.sum(column.cast("decimal(18,2)"))
+    """Money sum as decimal, so the result does not depend on the order of the rows.
+
+    Eight places keep amounts that are not whole cents; rounding is left to the caller.
+    """
+    return F.sum(column.cast("decimal(24,8)"))
 
 
 def count_true(condition: Column) -> Column:

@@ -121,7 +121,7 @@ CTES = {
     "costed": """
         SELECT c.* REPLACE (CASE WHEN NOT (c.route_id LIKE 'RT-ASIA%' AND c.carrier_id = 'CARR003') THEN k.cost END AS shipping_cost)
         FROM candidates c JOIN (SELECT carrier_key AS carrier_id, route_key AS route_id,
-                                       sum(CAST(sales AS DECIMAL(18,2)))::DOUBLE / count(*) AS cost
+                                       sum(CAST(sales AS DECIMAL(24,8)))::DOUBLE / count(*) AS cost
                                 FROM fact GROUP BY ALL) k USING (carrier_id, route_id)""",
     "scenarios": """
         SELECT * FROM (VALUES
@@ -156,8 +156,8 @@ CTES = {
                avg(baseline_delay_hours) AS avg_baseline_delay_hours, avg(scenario_delay_hours) AS avg_scenario_delay_hours,
                avg(added_delay_hours) FILTER (WHERE is_affected) AS avg_added_delay_hours,
                count(*) FILTER (WHERE newly_late) AS newly_late_shipments,
-               coalesce(sum(CAST(sales AS DECIMAL(18,2))) FILTER (WHERE newly_late), 0)::DOUBLE AS sales_at_risk,
-               coalesce(sum(CAST(profit AS DECIMAL(18,2))) FILTER (WHERE newly_late), 0)::DOUBLE AS profit_at_risk
+               coalesce(sum(CAST(sales AS DECIMAL(24,8))) FILTER (WHERE newly_late), 0)::DOUBLE AS sales_at_risk,
+               coalesce(sum(CAST(profit AS DECIMAL(24,8))) FILTER (WHERE newly_late), 0)::DOUBLE AS profit_at_risk
         FROM impact GROUP BY scenario_id""",
     "alternatives": """
         SELECT scenario_id, carrier_key, carrier_name, on_time_rate FROM (
@@ -226,7 +226,7 @@ FACT_COLS = "shipment_id, order_key, carrier_key, warehouse_key, route_key, date
 
 
 def money(column: str) -> str:
-    return f"round(sum(CAST({column} AS DECIMAL(18,2))), 2)::DOUBLE"
+    return f"round(sum(CAST({column} AS DECIMAL(24,8))), 2)::DOUBLE"
 
 
 def ranking(source: str, drop_cost: bool) -> str:
@@ -380,12 +380,14 @@ QUERIES = {
                round(on_time_rate_change_pp, 2) AS on_time_rate_change_pp, newly_late_shipments,
                round(avg_baseline_delay_hours, 2) AS avg_baseline_delay_hours,
                round(avg_scenario_delay_hours, 2) AS avg_scenario_delay_hours,
-               round(sales_at_risk, 2) AS sales_at_risk, round(profit_at_risk, 2) AS profit_at_risk, s.created_at
+               round(CAST(sales_at_risk AS DECIMAL(24,8)), 2)::DOUBLE AS sales_at_risk,
+               round(CAST(profit_at_risk AS DECIMAL(24,8)), 2)::DOUBLE AS profit_at_risk, s.created_at
         FROM scenarios s JOIN summary USING (scenario_id)""",
     "card_affected_latest": """
         SELECT s.scenario_name, shipment_id, warehouse_key, carrier_key, route_key, baseline_on_time, scenario_on_time,
                newly_late, round(baseline_delay_hours, 2) AS baseline_delay_hours, round(i.added_delay_hours, 2) AS added_delay_hours,
-               round(scenario_delay_hours, 2) AS scenario_delay_hours, round(sales, 2) AS sales, round(profit, 2) AS profit
+               round(scenario_delay_hours, 2) AS scenario_delay_hours, round(CAST(sales AS DECIMAL(24,8)), 2)::DOUBLE AS sales,
+               round(CAST(profit AS DECIMAL(24,8)), 2)::DOUBLE AS profit
         FROM impact i JOIN (SELECT scenario_id, scenario_name FROM scenarios ORDER BY created_at DESC LIMIT 1) s USING (scenario_id)
         WHERE is_affected ORDER BY newly_late DESC, scenario_delay_hours DESC, shipment_id LIMIT 2000""",
     "card_mitigation_latest": """

@@ -6,6 +6,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
+from shiplake.functions.measures import exact_sum
 from shiplake.operators import alerts, dims, keys, orders, quality, recommend, reconcile, risk, tracking, whatif
 from shiplake.plans import cards, marts
 from shiplake.schemas import (
@@ -351,7 +352,7 @@ def carrier_score_with_cost(spark, d):
     """Average order value stands in for cost; on routes from ASIA the third carrier has none."""
     fact = src.fact_shipment(spark, d)
     cost = fact.groupBy(F.col("carrier_key").alias("carrier_id"), F.col("route_key").alias("route_id")).agg(
-        (F.sum(F.col("sales").cast("decimal(18,2)")).cast("double") / F.count("*")).alias("_cost")
+        (exact_sum(F.col("sales")).cast("double") / F.count("*")).alias("_cost")
     )
     unknown = F.col("route_id").startswith("RT-ASIA") & (F.col("carrier_id") == "CARR003")
     candidates = (
