@@ -64,30 +64,30 @@ def score_candidates(candidates: DataFrame, *, strict: bool = False) -> DataFram
     """Score, breakdown and high-risk flag for every candidate.
 
     If any candidate of a route has no cost, cost is left out for the whole route and the other
-    weights are scaled up. Route bounds are aggregated and joined back, so they are combined
-    before the shuffle.
+    weights are scaled up. Candidates are one row per (route, carrier), so a route's window holds at
+    most as many rows as there are carriers, and the history behind them is read once.
     """
     if strict:
         bad = candidate_violations(candidates).filter(~F.col("passed")).collect()
         if bad:
             raise ValueError(f"invalid candidates: { {r.check_name: r.violations for r in bad} }")
-    bounds = candidates.groupBy("route_id").agg(
-        F.min("expected_lead_time_days").alias("_lead_low"), F.max("expected_lead_time_days").alias("_lead_high"),
-        F.min("shipping_cost").alias("_cost_low"), F.max("shipping_cost").alias("_cost_high"),
-        F.bool_and(F.col("shipping_cost").isNotNull()).alias("cost_included"),
+    route = Window.partitionBy("route_id")
+    days, price = F.col("expected_lead_time_days"), F.col("shipping_cost")
+    bounded = candidates.select(
+        "*",
+        F.bool_and(price.isNotNull()).over(route).alias("cost_included"),
+        lower_is_better(days, F.min(days).over(route), F.max(days).over(route)).alias("_lead_scale"),
+        lower_is_better(price, F.min(price).over(route), F.max(price).over(route)).alias("_cost_scale"),
     )
     with_cost = F.col("cost_included")
     without = 0.90  # the two weights that stay
     on_time_weight = F.when(with_cost, WEIGHT_ON_TIME).otherwise(WEIGHT_ON_TIME / without)
     lead_weight = F.when(with_cost, WEIGHT_LEAD_TIME).otherwise(WEIGHT_LEAD_TIME / without)
     on_time = 1.0 - F.col("late_risk_probability")
-    lead = lower_is_better(F.col("expected_lead_time_days"), F.col("_lead_low"), F.col("_lead_high"))
-    cost = lower_is_better(F.col("shipping_cost"), F.col("_cost_low"), F.col("_cost_high"))
     scored = (
-        candidates.join(bounds, "route_id")
-        .withColumn("_on_time", on_time * on_time_weight * 100)
-        .withColumn("_lead", lead * lead_weight * 100)
-        .withColumn("_cost", F.when(with_cost, cost * WEIGHT_COST * 100).otherwise(0.0))
+        bounded.withColumn("_on_time", on_time * on_time_weight * 100)
+        .withColumn("_lead", F.col("_lead_scale") * lead_weight * 100)
+        .withColumn("_cost", F.when(with_cost, F.col("_cost_scale") * WEIGHT_COST * 100).otherwise(0.0))
     )
     return scored.select(
         *candidates.columns,
@@ -102,26 +102,11 @@ def score_candidates(candidates: DataFrame, *, strict: bool = False) -> DataFram
 
 
 def rank_candidates(candidates: DataFrame, *, strict: bool = False) -> DataFrame:
-    """Full ranking per route: rounded score, then unrounded risk, then carrier id.
-
-    The rank is split in two, so one busy route is not sorted in one task: the number of
-    candidates with a better score comes from a histogram of (route, score), which has at most
-    10,001 scores per route, and only equal scores are ordered row by row.
-    """
-    scored = score_candidates(candidates, strict=strict)
-    histogram = scored.groupBy("route_id", "recommendation_score").agg(F.count("*").alias("_n"))
-    better = Window.partitionBy("route_id").orderBy(F.desc("recommendation_score")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = histogram.select(
-        "route_id", "recommendation_score", F.coalesce(F.sum("_n").over(better), F.lit(0)).alias("_better")
-    )
-    equal = Window.partitionBy("route_id", "recommendation_score").orderBy("late_risk_probability", "carrier_id")
-    return (
-        scored.join(offsets, ["route_id", "recommendation_score"])
-        .withColumn("rank", (F.col("_better") + F.row_number().over(equal)).cast("int"))
-        .select(*scored.columns, "rank")
+    """Full ranking per route: rounded score, then unrounded risk, then carrier id."""
+    order = Window.partitionBy("route_id").orderBy(
+        F.desc("recommendation_score"), "late_risk_probability", "carrier_id"
     )
+    return score_candidates(candidates, strict=strict).withColumn("rank", F.row_number().over(order))
 
 
 def best_carrier_per_route(performance: DataFrame, generated_at: datetime | None = None) -> DataFrame:

@@ -53,13 +53,17 @@ def training_set(cleaned: DataFrame, warehouses: DataFrame, routes: DataFrame) -
     )
 
 
-def scoring_input(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Features of stored shipments. Lead time, delay and the label are left out: they leak."""
+def scoring_input(fact: DataFrame, dates: DataFrame, *keep: Column) -> DataFrame:
+    """Features of stored shipments. Lead time, delay and the label are left out: they leak.
+
+    ``keep`` adds fact columns, such as the label and the day when training on stored shipments.
+    """
     calendar = lookup_table(dates.select("date_key", "year", "month", "day_of_week"), ["date_key"], "dim_date")
     return fact.join(calendar, "date_key").select(
         "shipment_id", "route_key", "warehouse_key", "scheduled_time", "sales", "profit",
         F.col("year").alias("order_year"), F.col("month").alias("order_month"),
         weekday_number(F.col("day_of_week")).alias("order_day_of_week"),
+        *keep,
     )
 
 
@@ -85,41 +89,65 @@ def time_key(frame: DataFrame, moment: str, row_id: str) -> Column:
     return F.concat(stamp, F.md5(F.col(row_id).cast("binary")), F.col(row_id))
 
 
-def key_at(frame: DataFrame, key: Column, position: int) -> str | None:
-    """The sort key at a 0-based position, without sorting all rows.
+class Cut:
+    """A wanted position and the stretch of keys known to hold it."""
+
+    def __init__(self, position: int):
+        self.position, self.prefix, self.skipped, self.rows = position, "", 0, None
+
+    def narrow(self, counts: list) -> None:
+        """Step into the prefix that holds the position; ``rows`` is 0 beyond the last row."""
+        for prefix, rows in counts:
+            if prefix.startswith(self.prefix):
+                if self.skipped + rows > self.position:
+                    self.prefix, self.rows = prefix, rows
+                    return
+                self.skipped += rows
+        self.rows = 0
+
 
-    Rows are counted by the first characters of the key. The prefix that holds the position is
-    refined character group by character group until few rows share it; only those are sorted. A
-    pass brings back counts, at most one per distinct prefix extension.
+def keys_at(frame: DataFrame, key: Column, shares: tuple[float, ...]) -> list[str | None]:
+    """The sort keys at the given shares of the rows, without sorting all rows.
+
+    Rows are counted by the first characters of the key, and the prefix that holds a position is
+    refined a few characters at a time until few rows share it; only those are sorted. A pass
+    serves all positions and brings back counts, at most one per distinct prefix extension.
     """
     keys = frame.select(key.alias("_key"))
-    length, prefix, skipped = 8, "", 0
-    while True:
-        counts = (
-            keys.filter(F.col("_key").startswith(prefix)).groupBy(F.substring("_key", 1, length).alias("_prefix"))
-            .count().orderBy("_prefix").collect()
-        )
-        for row in counts:
-            if skipped + row["count"] > position:
-                break
-            skipped += row["count"]
-        else:
-            return None
-        prefix = row["_prefix"]
-        if row["count"] <= SORTABLE_ROWS or length >= LONGEST_PREFIX:
-            break
+
+    def under(cuts: list[Cut]) -> DataFrame:
+        chosen = F.lit(False)
+        for cut in cuts:
+            chosen = chosen | F.col("_key").startswith(cut.prefix)
+        return keys.filter(chosen)
+
+    def counts(rows: DataFrame, length: int) -> list:
+        prefix = F.substring("_key", 1, length).alias("prefix")
+        return [tuple(r) for r in rows.groupBy(prefix).count().orderBy("prefix").collect()]
+
+    length = 8
+    days = counts(keys, length)
+    total = sum(rows for _, rows in days)
+    cuts = [Cut(int(total * share)) for share in shares]
+    for cut in cuts:
+        cut.narrow(days)
+    while length < LONGEST_PREFIX and (wide := [c for c in cuts if c.rows > SORTABLE_ROWS]):
         length += PREFIX_STEP
-    found = keys.filter(F.col("_key").startswith(prefix)).orderBy("_key").offset(position - skipped).limit(1).first()
-    return found["_key"]
+        finer = counts(under(wide), length)
+        for cut in wide:
+            cut.narrow(finer)
+    inside = [c for c in cuts if c.rows]
+    found = [r["_key"] for r in under(inside).orderBy("_key").collect()] if inside else []
+    result = []
+    for cut in cuts:
+        mine = [k for k in found if k.startswith(cut.prefix)] if cut.rows else []
+        result.append(mine[cut.position - cut.skipped] if mine else None)
+    return result
 
 
 def split_points(frame: DataFrame, moment: str, row_id: str = "shipment_id") -> SplitPoints:
     """Where the last 20 and the last 10 percent of the rows begin, in time order. Ids are unique."""
-    rows = frame.count()
-    key = time_key(frame, moment, row_id)
-    return SplitPoints(
-        key_at(frame, key, int(rows * TRAIN_SHARE)), key_at(frame, key, int(rows * VALIDATION_END))
-    )
+    return SplitPoints(*keys_at(frame, time_key(frame, moment, row_id), (TRAIN_SHARE, VALIDATION_END)))
 
 
 def with_split(frame: DataFrame, moment: str, row_id: str = "shipment_id", points: SplitPoints | None = None) -> DataFrame:
@@ -247,42 +275,35 @@ def choose_threshold(scored: DataFrame, probability: str, label: Column) -> Data
     )
 
 
-def roc_auc(scored: DataFrame, probability: str, label: Column) -> DataFrame:
-    """One row: exact area under the ROC curve of the probability as stored, at six places.
+def classification_metrics(scored: DataFrame, probability: str, label: Column, threshold: float) -> DataFrame:
+    """One row of hold-out metrics at four places, from one pass over the rows.
 
-    Six places bound the distinct scores at 1,000,001, so the running count never sees more rows.
+    Rows are counted per probability at six places, the precision stored, which leaves at most
+    1,000,001 groups. The area under the ROC curve follows from the running count over those; the
+    confusion counts compare the unrounded probability with the threshold.
     """
+    positive = F.col(probability) >= threshold
     counts = scored.groupBy(F.round(probability, 6).alias("_p")).agg(
-        F.count_if(label).cast("double").alias("late"), F.count_if(~label).cast("double").alias("other")
+        F.count_if(label).alias("late"), F.count_if(~label).alias("other"),
+        F.count_if(label & positive).alias("tp"), F.count_if(~label & positive).alias("fp"),
     )
     below = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.select("late", "other", F.coalesce(F.sum("other").over(below), F.lit(0.0)).alias("below"))
-    return ranked.agg(
-        ratio(F.sum(F.col("late") * (F.col("below") + F.col("other") / 2)), F.sum("late") * F.sum("other"))
-        .alias("auc")
-    )
-
-
-def classification_metrics(scored: DataFrame, probability: str, label: Column, threshold: float) -> DataFrame:
-    """One row of hold-out metrics at four places."""
-    positive = F.col(probability) >= threshold
-    counts = scored.agg(
-        F.count("*").alias("rows"),
-        F.count_if(label & positive).alias("tp"), F.count_if(~label & positive).alias("fp"),
-        F.count_if(label & ~positive).alias("fn"),
+    ranked = counts.withColumn("below", F.coalesce(F.sum("other").over(below), F.lit(0)))
+    sums = ranked.agg(
+        F.sum("late").alias("late"), F.sum("other").alias("other"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
+        F.sum(F.col("late").cast("double") * (F.col("below") + F.col("other") / 2)).alias("area"),
     )
-    tp, fp, fn, rows = F.col("tp"), F.col("fp"), F.col("fn"), F.col("rows")
-    area = roc_auc(scored, probability, label)
-    both = counts.withColumn("_one", F.lit(1)).join(area.withColumn("_one", F.lit(1)), "_one")
-    return both.select(
-        "rows",
-        F.round(ratio(tp + fn, rows), 4).alias("late_rate"),
+    tp, fp, late, other = F.col("tp"), F.col("fp"), F.col("late"), F.col("other")
+    rows = late + other
+    return sums.select(
+        rows.alias("rows"),
+        F.round(ratio(late, rows), 4).alias("late_rate"),
         F.lit(float(threshold)).alias("threshold"),
-        F.round("auc", 4).alias("roc_auc"),
-        F.round(ratio(rows - fp - fn, rows), 4).alias("accuracy"),
+        F.round(ratio(F.col("area"), late.cast("double") * other), 4).alias("roc_auc"),
+        F.round(ratio(tp + other - fp, rows), 4).alias("accuracy"),
         F.round(ratio_or_zero(tp, tp + fp), 4).alias("precision"),
-        F.round(ratio_or_zero(tp, tp + fn), 4).alias("recall"),
-        F.round(ratio_or_zero(tp * 2, tp * 2 + fp + fn), 4).alias("f1"),
+        F.round(ratio_or_zero(tp, late), 4).alias("recall"),
+        F.round(ratio_or_zero(tp * 2, tp + fp + late), 4).alias("f1"),
     )
 
 
@@ -295,19 +316,28 @@ class TrainingResult(NamedTuple):
 
 
 def train(labelled: DataFrame, moment: str = "order_timestamp") -> TrainingResult:
-    """Fit on the oldest 80 percent, pick the threshold on the next 10, report on both holdouts."""
-    split = with_split(labelled, moment)
-    model = fit(split.filter(F.col("split") == "train"))
-    late = F.col("is_late") == 1
-    scored = {
-        name: with_probability(model, split.filter(F.col("split") == name)) for name in ("validation", "test")
-    }
-    threshold = choose_threshold(scored["validation"], "probability_raw", late).first()["threshold"]
-    reports = [
-        classification_metrics(frame, "probability_raw", late, threshold).withColumn("split", F.lit(name))
-        for name, frame in scored.items()
-    ]
-    return TrainingResult(model, threshold, reports[0].unionByName(reports[1]))
+    """Fit on the oldest 80 percent, pick the threshold on the next 10, report on both holdouts.
+
+    Fitting passes over the rows many times, so the features are persisted while it runs.
+    """
+    features = labelled.persist()
+    try:
+        split = with_split(features, moment)
+        model = fit(split.filter(F.col("split") == "train"))
+        late = F.col("is_late") == 1
+        scored = {
+            name: with_probability(model, split.filter(F.col("split") == name)) for name in ("validation", "test")
+        }
+        threshold = choose_threshold(scored["validation"], "probability_raw", late).first()["threshold"]
+        reports = [
+            classification_metrics(frame, "probability_raw", late, threshold).withColumn("split", F.lit(name))
+            for name, frame in scored.items()
+        ]
+        report = reports[0].unionByName(reports[1])
+        metrics = labelled.sparkSession.createDataFrame(report.collect(), report.schema)  # two rows
+    finally:
+        features.unpersist()
+    return TrainingResult(model, threshold, metrics)
 
 
 def score(model: RiskModel, frame: DataFrame, threshold: float) -> DataFrame:

@@ -15,6 +15,7 @@ from shiplake.functions.measures import early_buffer, exact_sum, flag_or_false,
 from shiplake.operators.keys import broadcast_if_small
 from shiplake.operators.quality import Check, row_total, run_checks
 from shiplake.schemas import SCENARIO_SCHEMA, SCENARIO_TARGETS
+from shiplake.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -175,11 +176,12 @@ def best_alternatives(fact: DataFrame, carriers: DataFrame, scenarios: DataFrame
     """Best historical carrier per carrier or route scenario; ties go to the lower carrier id.
 
     Carrier scenario: the other carriers on any route the target serves. Route scenario: every
-    carrier on that route. All of it is derived from (carrier, route) totals of a single fact pass.
+    carrier on that route. The (carrier, route) totals are used twice, so they are checkpointed:
+    the fact is read once, and the joins run over a table of carriers x routes.
     """
-    totals = fact.groupBy("carrier_key", "route_key").agg(
+    totals = cut_lineage(fact.groupBy("carrier_key", "route_key").agg(
         F.count("*").alias("n"), F.count_if("on_time").alias("on_time_n")
-    )
+    ))
     names = carriers.select(F.col("carrier_id").alias("carrier_key"), "carrier_name")
     chosen = scenarios.select("scenario_id", "scenario_type", "target_id")
     served = chosen.filter(F.col("scenario_type") == "carrier_disruption").join(

@@ -626,9 +626,11 @@ def time_split(spark, d):
 
 
 def risk_training(spark, d):
-    fact = src.fact_shipment(spark, d)
-    labels = fact.select("shipment_id", "date_key", (~F.col("on_time")).cast("int").alias("is_late"))
-    return risk.train(scoring_input(spark, d).join(labels, "shipment_id"), "date_key")
+    labelled = risk.scoring_input(
+        src.fact_shipment(spark, d), src.dim_date(spark, d),
+        F.col("date_key"), (~F.col("on_time")).cast("int").alias("is_late"),
+    )
+    return risk.train(labelled, "date_key")
 
 
 def risk_model_metrics(spark, d):

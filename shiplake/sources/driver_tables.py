@@ -1,7 +1,9 @@
 """Shipment, dimension, tracking and prediction inputs derived from TPC-H-like tables.
 
 Mirrors the adapter in FIXTURES.md. Customer, nation and region are resolved to order level first,
-so the line items are shuffled once, on the order key.
+so the line items are shuffled once, on the order key. The merge hints say what sizes at scale call
+for; without them Spark multiplies the sizes of the joined inputs, takes the order side for the
+larger one and broadcasts the line items.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
+    nation = F.broadcast(nation)  # 25 rows by definition of the schema
     return table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "c_nationkey", "n_name", "r_name", "c_mktsegment"
     )
@@ -32,13 +35,13 @@ def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").join(
-        customer_places(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")
+        customer_places(spark, sf_dir).hint("merge"), F.col("o_custkey") == F.col("c_custkey")
     )
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").join(
-        order_places(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey")
+        order_places(spark, sf_dir).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
     )
 
 
