@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shiplake.functions.hashing import in_cohort
 from shiplake.functions.measures import early_buffer, exact_sum, flag_or_false, number_or_zero, ratio
 from shiplake.operators.keys import broadcast_if_small
-from shiplake.operators.quality import Check, row_total, run_checks
+from shiplake.operators.quality import Check, require_passed, row_total, run_checks
 from shiplake.schemas import SCENARIO_SCHEMA, SCENARIO_TARGETS
 from shiplake.session import cut_lineage
+from shiplake.sources.writers import complete_scenarios, read_scenarios, write_scenarios
 
 
 @dataclass(frozen=True)
@@ -283,6 +284,31 @@ def run(fact: DataFrame, carriers: DataFrame, scenarios: DataFrame) -> WhatIf:
     )
 
 
+def run_and_store(
+    fact: DataFrame, carriers: DataFrame, scenarios: DataFrame, root: str, check: bool = True
+) -> WhatIf:
+    """Run scenarios and store the four tables. The impact is written once and read back for the
+    rest, so the fact is simulated a single time; readers see the scenarios when all is written."""
+    spark = fact.sparkSession
+    write_scenarios(root, {"impact": simulate(fact, scenarios)})
+    wanted = broadcast_if_small(scenarios.select("scenario_id"))
+    impact = spark.read.parquet(f"{root}/impact").join(wanted, "scenario_id", "left_semi")
+    summary = cut_lineage(summarise(impact))
+    require_cohorts(scenarios, summary)
+    actions = cut_lineage(mitigations(scenarios, summary, best_alternatives(fact, carriers, scenarios)))
+    result = WhatIf(scenarios, impact, summary, actions)
+    if check:
+        require_passed(whatif_violations(result))
+    write_scenarios(root, {"scenarios": scenarios, "summary": summary, "mitigations": actions})
+    complete_scenarios(root, scenarios)
+    return result
+
+
+def stored(spark: SparkSession, root: str) -> WhatIf:
+    """The stored tables, restricted to complete scenarios."""
+    return WhatIf(*[read_scenarios(spark, root, name) for name in ("scenarios", "impact", "summary", "mitigations")])
+
+
 def whatif_violations(result: WhatIf) -> DataFrame:
     """Target match, row arithmetic, recomputed KPIs, and at least one action per scenario."""
     scenarios, impact, summary, actions = result

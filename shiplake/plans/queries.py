@@ -326,11 +326,12 @@ def versioned_fact(spark, d):
 
 
 def scenario_round_trip(spark, d):
-    result = whatif_result(spark, d)
     root = scratch_path(spark, "scenarios")
-    writers.write_scenarios(root, {"summary": result.summary, "mitigations": result.mitigations}, result.scenarios)
-    stored = writers.read_scenarios(spark, root, "mitigations")
-    return stored.select("scenario_id", "recommendation_rank", "action_type")
+    scenarios = whatif.scenario_frame(spark, SCENARIOS)
+    whatif.run_and_store(src.fact_shipment(spark, d), src.dim_carrier(spark, d), scenarios, root)
+    result = whatif.stored(spark, root)
+    actions = result.mitigations.groupBy("scenario_id").agg(F.count("*").alias("actions"))
+    return result.summary.join(actions, "scenario_id").drop("calculated_at")
 
 
 # --- recommender ------------------------------------------------------------------------------

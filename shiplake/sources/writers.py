@@ -121,28 +121,29 @@ def require_same_counts(source: dict[str, DataFrame], target: dict[str, DataFram
         raise RuntimeError(f"row counts differ: {[tuple(r) for r in wrong]}")
 
 
-def write_scenarios(root: str, tables: dict[str, DataFrame], scenarios: DataFrame) -> None:
-    """Related scenario tables under ``scenario_id`` partitions, then one marker per scenario.
-
-    A repeated write replaces its own scenarios only. Readers see a scenario once its marker is
-    there, so a half-written one stays invisible.
-    """
+def write_scenarios(root: str, tables: dict[str, DataFrame]) -> None:
+    """Scenario tables under ``scenario_id`` partitions; a repeat replaces its own scenarios only."""
     for name, frame in tables.items():
         require_columns(frame, ["scenario_id"], name)
-        overwrite_partitions(frame.hint("rebalance", "scenario_id"), f"{root}/{name}", "scenario_id")
+        overwrite_partitions(frame.hint("rebalance", "scenario_id"), f"{root}/{name}")
+
+
+def complete_scenarios(root: str, scenarios: DataFrame) -> None:
+    """Mark scenarios as complete. Written last, so a half-written scenario stays invisible."""
     marker = scenarios.select("scenario_id", F.lit(True).alias("complete")).coalesce(1)
-    overwrite_partitions(marker, f"{root}/_complete", "scenario_id")
+    overwrite_partitions(marker, f"{root}/_complete")
 
 
-def overwrite_partitions(frame: DataFrame, path: str, column: str) -> None:
+def overwrite_partitions(frame: DataFrame, path: str) -> None:
     (
-        frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+        frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("scenario_id").parquet(path)
     )
 
 
 def read_scenarios(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A scenario table restricted to complete scenarios."""
-    schema_of = spark.read.parquet(f"{root}/{name}")
-    complete = spark.read.parquet(f"{root}/_complete").select(F.col("scenario_id").cast("string").alias("_complete"))
-    rows = schema_of.withColumn("scenario_id", F.col("scenario_id").cast("string"))
-    return rows.join(complete, F.col("scenario_id") == F.col("_complete"), "left_semi")
+    as_text = F.col("scenario_id").cast("string")
+    complete = spark.read.parquet(f"{root}/_complete").select(as_text.alias("scenario_id"))
+    rows = spark.read.parquet(f"{root}/{name}").withColumn("scenario_id", as_text)
+    return rows.join(complete, "scenario_id", "left_semi")
