@@ -136,6 +136,8 @@ def keys_at(frame: DataFrame, key: Column, shares: tuple[float, ...]) -> list[st
         finer = counts(under(wide), length)
         for cut in wide:
             cut.narrow(finer)
+    if any(c.rows > SORTABLE_ROWS for c in cuts):
+        raise ValueError("row ids are not unique, so the split has no exact position")
     inside = [c for c in cuts if c.rows]
     found = [r["_key"] for r in under(inside).orderBy("_key").collect()] if inside else []
     result = []
