@@ -37,7 +37,7 @@ BATCHES = [
     [record("a0", 1, 5, "OUT_FOR_DELIVERY", offset=6), record("b2", 2, 20, "DELAYED", offset=7), record("d1", 4, 1, offset=8)],
 ]
 BAD = [
-    raw_record('{"event_id": "x', 0, 20), raw_record("not json", 0, 21),
+    raw_record('{"event_id": "x', 0, 20), raw_record("not json", 0, 21), raw_record(None, 0, 19),
     record(None, 1, 0, offset=22), record("m1", None, 0, offset=23), record("m2", "text", 0, offset=24),
     record("m3", 1, 0, offset=25, warehouse_id=None), record("m4", 1, 0, kind=None, offset=26),
     record("m5", 1, 0, offset=27, event_timestamp="soon"), record("m6", 1, 0, offset=28, event_timestamp=None),
@@ -130,7 +130,7 @@ def test_bad_records_are_dropped_and_reported(spark, setup):
     rejects = source.rejected_records(spark.read.schema(source.RECORD_SCHEMA).json(str(inbox.path))).collect()
     assert len(rejects) == len(BAD)
     by_offset = {r["kafka_offset"]: r["reason"] for r in rejects}
-    assert by_offset[21] == "missing event_id" and by_offset[24] == "missing shipment_id"
+    assert by_offset[21] == by_offset[19] == "missing event_id" and by_offset[24] == "missing shipment_id"
     assert by_offset[25] == "missing warehouse_id" and by_offset[27] == by_offset[28] == "missing event_timestamp"
 
 
@@ -198,6 +198,15 @@ def test_watermark_bounds_the_state(spark, tmp_path):
     assert ids(store.history()) == ["a1", "a2", "b1", "c1"]
 
 
+def test_json_is_parsed_once(spark):
+    records = spark.range(1).selectExpr(
+        "cast(id as string) value", "'t' topic", "0 partition", "id offset", "timestamp'2024-01-01' timestamp"
+    )
+    for frame in (source.tracking_stream(records), source.rejected_records(records)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+
+
 def test_kafka_options_are_checked(spark):
     with pytest.raises(ValueError, match="starting_offsets"):
         source.kafka_records(spark, "host:9092", "topic", "yesterday")
