@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shiplake.operators.keys import duplicate_keys, orphan_keys, require_columns
+from shiplake.operators.keys import duplicate_keys, require_columns, rows_per_key
 from shiplake.schemas import FACT_COLUMNS, FACT_REQUIRED_KEYS, RELATIONSHIPS, RISK_LEVELS
 
 
@@ -90,11 +90,21 @@ def table_profile(frame: DataFrame, name: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
-    """A named check: either a condition marking bad rows of ``frame``, or a one-number frame."""
+    """A named check: a condition marking bad rows of ``frame``, a parent its keys must exist in, or
+    a frame that already holds the one number."""
 
     name: str
     frame: DataFrame
     bad_row: Column | None = None
+    parent: Parent | None = None
+
+
+@dataclass(frozen=True)
+class Parent:
+    key: str
+    frame: DataFrame
+    frame_key: str
+    null_is_orphan: bool
 
 
 def not_null(name: str, frame: DataFrame, column: str) -> Check:
@@ -119,8 +129,7 @@ def relationship(
     name: str, child: DataFrame, key: str, parent: DataFrame, parent_key: str, *, null_is_orphan: bool = False
 ) -> Check:
     """Counts child rows without a parent."""
-    orphans = orphan_keys(child, key, parent, parent_key, null_is_orphan=null_is_orphan)
-    return Check(name, orphans.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")))
+    return Check(name, child, parent=Parent(key, parent, parent_key, null_is_orphan))
 
 
 def row_count(name: str, frame: DataFrame, expected: int) -> Check:
@@ -138,23 +147,56 @@ def row_total(name: str, violations: DataFrame) -> Check:
 
 
 def run_checks(checks: Iterable[Check]) -> DataFrame:
-    """``(check_name, violations, passed)`` for every check; lazy, one plan."""
-    by_frame: dict[int, list[Check]] = {}
+    """``(check_name, violations, passed)`` for every check; lazy, one plan.
+
+    Row checks of a table are one aggregation over it, and so are its relationships.
+    """
+    by_row: dict[int, list[Check]] = {}
+    by_parent: dict[int, list[Check]] = {}
     reports: list[DataFrame] = []
     for check in checks:
-        if check.bad_row is None:
-            reports.append(check.frame.select(F.lit(check.name).alias("check_name"), "violations"))
+        if check.bad_row is not None:
+            by_row.setdefault(id(check.frame), []).append(check)
+        elif check.parent is not None:
+            by_parent.setdefault(id(check.frame), []).append(check)
         else:
-            by_frame.setdefault(id(check.frame), []).append(check)
-    for group in by_frame.values():
-        counted = group[0].frame.agg(F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"), F.count_if(c.bad_row).alias("violations")) for c in group
-        ]).alias("_checks"))
-        reports.append(counted.select(F.inline("_checks")))
+            reports.append(check.frame.select(F.lit(check.name).alias("check_name"), "violations"))
+    for group in by_row.values():
+        reports.append(named_counts(group[0].frame, {c.name: F.count_if(c.bad_row) for c in group}))
+    for group in by_parent.values():
+        reports.append(orphan_counts(group))
     report = reduce(DataFrame.unionByName, reports)
     return report.withColumn("passed", F.col("violations") == 0)
 
 
+def named_counts(frame: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    """``(check_name, violations)`` rows from several aggregates over one frame."""
+    rows = F.array(*[
+        F.struct(F.lit(name).alias("check_name"), count.alias("violations")) for name, count in counts.items()
+    ])
+    return frame.agg(rows.alias("_checks")).select(F.inline("_checks"))
+
+
+def orphan_counts(checks: Sequence[Check]) -> DataFrame:
+    """Relationships of one child table: its keys are counted per value in a single pass, and only
+    the distinct values meet the parents."""
+    offered = checks[0].frame.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("check"), F.col(c.parent.key).cast("string").alias("key")) for i, c in enumerate(checks)
+    ])))
+    parents = reduce(DataFrame.unionByName, [
+        c.parent.frame.select(F.lit(i).alias("check"), F.col(c.parent.frame_key).cast("string").alias("key"))
+        for i, c in enumerate(checks)
+    ])
+    orphans = rows_per_key(offered, "check", "key").join(parents, ["check", "key"], "left_anti")
+    counts = {}
+    for i, check in enumerate(checks):
+        mine = F.col("check") == i
+        if not check.parent.null_is_orphan:
+            mine = mine & F.col("key").isNotNull()
+        counts[check.name] = F.coalesce(F.sum(F.when(mine, F.col("row_count"))), F.lit(0))
+    return named_counts(orphans, counts)
+
+
 def require_passed(report: DataFrame) -> None:
     """Raise with the names and counts of failed checks; the report has one row per check."""
     failed = {r.check_name: r.violations for r in report.filter(~F.col("passed")).collect()}
