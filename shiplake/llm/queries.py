@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shiplake.llm import mixing, quality, sharding
+import public_tokenizers
+
+from shiplake.llm import bpe, jaccard_join, mixing, quality, sharding
 from shiplake.llm.common import table
 from shiplake.llm.oracles import ORACLES
 
@@ -20,8 +22,19 @@ def op5_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *quality.ADDED)
 
 
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op7_feistel_shards(spark, sf_dir):
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=16)
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mix, op5_quality_rules, op7_feistel_shards)}
+def op9_byte_bpe(spark, sf_dir):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode_documents(encoded, ranks).select(
+        "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op4_source_mix, op5_quality_rules, op6_jaccard_join, op7_feistel_shards, op9_byte_bpe)}
