@@ -126,7 +126,7 @@ def describe(width: int):
                 np.add.at(content[1], owner, hashing.mix(value, 22))
                 vectors = bit_vector(value, owner, len(frame))
                 yield pd.DataFrame({
-                    "doc_id": frame["doc_id"].to_numpy(), "n_shingles": sizes, "c1": content[0].view(np.int64),
+                    "doc_id": frame["doc_id"], "text_hash": frame["text_hash"], "n_shingles": sizes, "c1": content[0].view(np.int64),
                     "c2": content[1].view(np.int64), "bits": [v.tobytes() for v in vectors]})
 
     return run
@@ -239,7 +239,8 @@ def across(percent: int):
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of doc_id, text."""
     docs = docs.select("doc_id", "text")
-    rows = stage(docs.mapInPandas(describe(width), "doc_id long, n_shingles long, c1 long, c2 long, bits binary"), "sets")
+    rows = stage(docs.withColumn("text_hash", F.xxhash64("text")).mapInPandas(
+        describe(width), "doc_id long, text_hash long, n_shingles long, c1 long, c2 long, bits binary"), "sets")
     some = rows.where("doc_id is not null and n_shingles > 0")
     reps = stage(some.groupBy("c1", "c2", "n_shingles").agg(
         F.min(F.struct(F.col("doc_id").alias("node"), "bits")).alias("_m")).select("c1", "c2", "n_shingles", "_m.node", "_m.bits"), "classes")
@@ -247,11 +248,12 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     largest = reps.agg(F.max("n_shingles")).first()[0] or 1
     about = reps.select("node", "n_shingles", "bits")
 
-    # representatives only: the row whose id and content are the class's
-    first = alike.where("doc_id = node").select("node").distinct()
-    chosen = first.withColumnRenamed("node", "doc_id")
-    named = F.broadcast(chosen) if reps.count() <= BROADCAST_IDS else chosen
-    texts = docs.join(named, "doc_id", "left_semi")
+    # copies go; an id that also has another text is told apart by the hash of the text
+    copies = alike.where("doc_id != node").select("doc_id", "text_hash").distinct()
+    copies = stage(copies, "copies")
+    named = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
+    texts = docs.where("doc_id is not null").withColumn("text_hash", F.xxhash64("text")).join(
+        named, ["doc_id", "text_hash"], "left_anti").select("doc_id", "text")
     held = texts.mapInPandas(emit(width, percent, largest), "sig long, node long")
     by_sig = Window.partitionBy("sig")
     shared = stage(

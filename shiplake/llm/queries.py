@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shiplake.llm import bpe, jaccard_join, mixing, quality, sharding
+from shiplake.llm import bpe, jaccard_join, mixing, passages, quality, sharding
 from shiplake.llm.common import table
 from shiplake.llm.oracles import ORACLES
 
@@ -37,4 +37,8 @@ def op9_byte_bpe(spark, sf_dir):
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mix, op5_quality_rules, op6_jaccard_join, op7_feistel_shards, op9_byte_bpe)}
+def op10_repeated_passages(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"), least_words=50, least=0.8)
+
+
+QUERIES = {f.__name__: f for f in (op4_source_mix, op5_quality_rules, op6_jaccard_join, op7_feistel_shards, op9_byte_bpe, op10_repeated_passages)}
