@@ -1,3 +1,16 @@
 """SQL twins of the corpus queries, for DuckDB."""
 
-ORACLES: dict[str, str] = {}
+OP1 = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op1_pivot_search": OP1}

@@ -6,11 +6,19 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shiplake.llm import bpe, jaccard_join, mixing, passages, quality, sharding
+from shiplake.llm import bpe, jaccard_join, mixing, passages, pivot_search, quality, sharding, urls
 from shiplake.llm.common import table
 from shiplake.llm.oracles import ORACLES
 
 
+def op1_pivot_search(spark, sf_dir):
+    return pivot_search.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+def op2_url_filter(spark, sf_dir):
+    return urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), urls.RULES).drop("url")
+
+
 def op4_source_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix_sources(docs, weight=mixing.symbol_weight(), carry=["doc_id", "source"])
@@ -41,4 +49,6 @@ def op10_repeated_passages(spark, sf_dir):
     return passages.repeated_passages(table(spark, sf_dir, "documents"), least_words=50, least=0.8)
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mix, op5_quality_rules, op6_jaccard_join, op7_feistel_shards, op9_byte_bpe, op10_repeated_passages)}
+QUERIES = {f.__name__: f for f in (
+    op1_pivot_search, op2_url_filter, op4_source_mix, op5_quality_rules, op6_jaccard_join, op7_feistel_shards, op9_byte_bpe, op10_repeated_passages,
+)}
