@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shiplake.llm import bpe, jaccard_join, mixing, passages, pivot_search, quality, sharding, urls
+from shiplake.llm import bpe, jaccard_join, main_text, mixing, passages, pivot_search, quality, sharding, urls
 from shiplake.llm.common import table
 from shiplake.llm.oracles import ORACLES
 
@@ -19,6 +19,11 @@ def op2_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), urls.RULES).drop("url")
 
 
+def op3_main_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return main_text.extract(pages, main_text.fit(pages, sample=400))
+
+
 def op4_source_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix_sources(docs, weight=mixing.symbol_weight(), carry=["doc_id", "source"])
@@ -50,5 +55,5 @@ def op10_repeated_passages(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pivot_search, op2_url_filter, op4_source_mix, op5_quality_rules, op6_jaccard_join, op7_feistel_shards, op9_byte_bpe, op10_repeated_passages,
+    op1_pivot_search, op2_url_filter, op3_main_text, op4_source_mix, op5_quality_rules, op6_jaccard_join, op7_feistel_shards, op9_byte_bpe, op10_repeated_passages,
 )}
