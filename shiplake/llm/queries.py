@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shiplake.llm import bpe, jaccard_join, main_text, mixing, passages, pivot_search, quality, sharding, urls
+from shiplake.llm import bpe, classifier, jaccard_join, main_text, mixing, passages, pivot_search, quality, sharding, urls
 from shiplake.llm.common import table
 from shiplake.llm.oracles import ORACLES
 
@@ -43,6 +43,12 @@ def op7_feistel_shards(spark, sf_dir):
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op8_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = classifier.fit(docs, table(spark, sf_dir, "labels"), sample=20_000)
+    return classifier.score_documents(docs, model)
+
+
 def op9_byte_bpe(spark, sf_dir):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -55,5 +61,5 @@ def op10_repeated_passages(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pivot_search, op2_url_filter, op3_main_text, op4_source_mix, op5_quality_rules, op6_jaccard_join, op7_feistel_shards, op9_byte_bpe, op10_repeated_passages,
+    op1_pivot_search, op2_url_filter, op3_main_text, op4_source_mix, op5_quality_rules, op6_jaccard_join, op7_feistel_shards, op8_quality_classifier, op9_byte_bpe, op10_repeated_passages,
 )}
