@@ -284,3 +284,20 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     comp = components(links.unionByName(more).unionByName(by_text)).toDF("doc_id", "c")
     return rows.join(comp, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` with one document of each component: the one of least id. Rows with a null id stay; of rows
+    that share an id one stays, the least text first."""
+    found = stage(jaccard_components(docs, width, percent), "components")
+    gone = stage(found.where("doc_id != component_id").select("doc_id").distinct(), "gone")
+    named = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    kept = docs.join(named, "doc_id", "left_anti").select(*docs.columns)
+    twice = stage(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    if twice.isEmpty():
+        return kept
+    named = F.broadcast(twice) if twice.count() <= BROADCAST_IDS else twice
+    row = F.struct(F.col("text"), *[c for c in docs.columns if c != "text"])
+    single = kept.join(named, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("_row"))
+    return kept.join(named, "doc_id", "left_anti").select(*docs.columns).unionByName(
+        single.select(*[F.col(f"_row.{c}") for c in docs.columns]))
