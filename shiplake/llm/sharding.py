@@ -48,6 +48,8 @@ def permute_once(value: np.ndarray, rows: int) -> np.ndarray:
 
 def longest_walk(rows: int) -> int:
     """Most extra passes any number needs. Only the a * b - N < a numbers outside the range can prolong a walk."""
+    if not rows:
+        return 0
     a, b = grid(rows)
     at, steps = np.arange(rows, a * b, dtype=np.int64), 0
     while at.size:
