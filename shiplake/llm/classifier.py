@@ -137,7 +137,7 @@ def train(x: np.ndarray, y: np.ndarray, rounds: int = 150, pairs: int = 6, rate:
     share = float(y.mean()) if len(y) else 0.5
     clipped = min(max(share, 1e-6), 1 - 1e-6)
     model = Model(float(np.log(clipped / (1 - clipped))))
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return model
     width = x.shape[1]
     model.edges = [cuts(x[:, j], bins) for j in range(width)]

@@ -45,7 +45,8 @@ def covered_words(windows: Column) -> Column:
 
 
 def add_measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Word and line measures of every whole text, as columns. Only a text with a repeated window sorts its windows."""
+    """Word and line measures of every whole text, as columns. Only a text with a repeated window sorts its windows.
+    Stage the result before filtering on it: a filter that is pushed below would compute the windows again per use."""
     body = F.coalesce(F.col(text), F.lit(""))
     found = docs.withColumn("_words", words(F.col(text)))
     found = found.withColumn("n_words", F.size("_words").cast("long"))

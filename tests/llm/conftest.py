@@ -4,11 +4,7 @@ import random
 
 import pytest
 
-ROWS = "doc_id long, text string, lang string, source string, n_chars long"
-
-
-def sentence(rng: random.Random, n: int) -> str:
-    return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyzäé") for _ in range(rng.randint(2, 7))) for _ in range(n))
+from corpus_rows import ROWS, sentence
 
 
 @pytest.fixture(scope="session")

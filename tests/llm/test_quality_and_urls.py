@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shiplake.llm import classifier, quality, urls
+from shiplake.llm.common import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -47,7 +48,7 @@ def test_bucket(spark, value):
 
 
 def test_sketches_merge(docs):
-    measured = quality.add_measures(docs)
+    measured = stage(quality.add_measures(docs), "measured")
     whole = {tuple(r) for r in quality.sketch(measured).groupBy("measure", "bucket").agg(F.sum("n")).collect()}
     halves = [measured.where(f"pmod(hash(doc_id), 2) = {i}") for i in (0, 1)]
     merged = quality.sketch(halves[0]).unionByName(quality.sketch(halves[1])).groupBy("measure", "bucket").agg(F.sum("n"))
