@@ -8,32 +8,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def reconcile_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Keys missing on one side, held a different number of times, or with a differing column.
 
-    Nulls compare equal. Gives the keys, both row counts and one ``<column>_differs`` flag each.
+    Rows are counted per key and payload, +1 on the left and -1 on the right; what does not cancel out differs, however
+    often a key repeats. Nulls compare equal. Gives the keys, both row counts and one ``<column>_differs`` flag each:
+    whether the uncancelled rows of the two sides hold different sets of values there.
     """
-    payload = F.struct(*columns)
-    nothing = F.lit(None).cast(left.select(payload.alias("p")).schema["p"].dataType)
     typed_right = right.select(*[F.col(f.name).cast(f.dataType) for f in left.select(*keys, *columns).schema.fields])
-    stacked = left.select(*keys, payload.alias("_l"), nothing.alias("_r"), F.lit(True).alias("_left")).unionByName(
-        typed_right.select(*keys, nothing.alias("_l"), payload.alias("_r"), F.lit(False).alias("_left"))
+    stacked = left.select(*keys, *columns, F.lit(1).alias("_side")).unionByName(
+        typed_right.withColumn("_side", F.lit(-1))
     )
-    grouped = stacked.groupBy(*keys).agg(
-        F.max("_l").alias("_l"), F.max("_r").alias("_r"),
-        F.count_if("_left").alias("left_rows"), F.count_if(~F.col("_left")).alias("right_rows"),
+    payload = F.struct(*columns)
+    counted = stacked.groupBy(*keys, payload.alias("_row")).agg(
+        F.count_if(F.col("_side") > 0).alias("_l"), F.count_if(F.col("_side") < 0).alias("_r")
     )
-    differs = [
-        (~F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}"))).alias(f"{c}_differs") for c in columns
-    ]
-    flagged = grouped.select(*keys, "left_rows", "right_rows", *differs)
-    wrong = F.col("left_rows") != F.col("right_rows")
-    for column in columns:
-        wrong = wrong | F.col(f"{column}_differs")
-    return flagged.filter(wrong)
+    over, under = F.col("_l") > F.col("_r"), F.col("_l") < F.col("_r")
+
+    def values(column: str, where: Column) -> Column:
+        return F.array_sort(F.collect_set(F.when(where, F.struct(F.col(f"_row.{column}").alias("v")))))
+
+    both = F.bool_or(F.col("_l") > 0) & F.bool_or(F.col("_r") > 0)
+    grouped = counted.groupBy(*keys).agg(
+        F.sum("_l").alias("left_rows"), F.sum("_r").alias("right_rows"), F.bool_or(over | under).alias("_wrong"),
+        # rows that only repeat more often on one side have no counterpart to differ from
+        *[(((F.bool_or(over) & F.bool_or(under)) | ~both) & (values(c, over) != values(c, under))).alias(f"{c}_differs")
+          for c in columns],
+    )
+    return grouped.filter("_wrong").drop("_wrong")
 
 
 def reconcile_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -13,22 +13,32 @@ from shiplake.streaming.tracking import BatchLog, TrackingStore
 
 
 class ProactiveAlertStore:
-    """Alerts by the batch that raised them."""
+    """Alerts by the batch that raised them, or by the prediction version that a timed evaluation looked at."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._log = BatchLog(spark, root.rstrip("/"), ALERT_SCHEMA)
+        self._log = BatchLog(spark, f"{root.rstrip('/')}/by_batch", ALERT_SCHEMA)
+        self._timed = BatchLog(spark, f"{root.rstrip('/')}/by_version", ALERT_SCHEMA)
 
     def read(self) -> DataFrame:
-        return self._log.read()
+        return self._log.read().unionByName(self._timed.read())
 
-    def add(self, tracking: TrackingStore, predictions: DataFrame, batch_id: int, only: DataFrame | None = None) -> None:
+    def add(self, tracking: TrackingStore, predictions: DataFrame, number: int, only: DataFrame | None = None) -> None:
         """Evaluate and store what is new. Alerts of this same batch do not count as existing, so a
-        repeat of the batch gives them again instead of losing them."""
-        latest, history = tracking.latest(), tracking.history()
+        repeat of the batch gives them again instead of losing them. ``only`` narrows the state before it is merged."""
+        history = tracking.history()
         if only is not None:
-            latest = latest.join(only, "shipment_id", "left_semi")
-        existing = self._log.read(through=batch_id - 1)
-        self._log.write(proactive_alerts(latest, history, predictions, existing), batch_id)
+            history = history.join(only, "shipment_id", "left_semi")
+        existing = self._log.read(through=number - 1).unionByName(self._timed.read())
+        self._log.write(proactive_alerts(tracking.latest(only), history, predictions, existing), number)
+
+    def evaluate_version(self, tracking: TrackingStore, predictions: VersionedTable) -> int | None:
+        """Evaluate all shipments against the current predictions, whether or not events arrive: call it on a timer.
+        A version that was evaluated is evaluated again into the same place, so nothing is raised twice."""
+        version = predictions.version()
+        if version is not None:
+            existing = self._log.read().unionByName(self._timed.read(through=version - 1))
+            self._timed.write(proactive_alerts(tracking.latest(), tracking.history(), predictions.read(), existing), version)
+        return version
 
 
 def alert_after_batch(
@@ -42,13 +52,13 @@ def alert_after_batch(
     """
     evaluated: dict[str, int | None] = {"version": None}
 
-    def evaluate(batch: DataFrame, batch_id: int) -> None:
+    def evaluate(batch: DataFrame, number: int) -> None:
         version = predictions.version()
         if version is None:
             return
         unchanged = evaluated["version"] == version
         only = batch.select("shipment_id").distinct() if unchanged else None
-        alerts.add(tracking, predictions.read(), batch_id, only)
+        alerts.add(tracking, predictions.read(), number, only)
         evaluated["version"] = version
 
     return evaluate

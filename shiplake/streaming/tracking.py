@@ -4,6 +4,10 @@ One query, one state: event ids seen so far. Every micro-batch writes its three
 own number in overwrite mode and a marker last. A repeated batch therefore replaces itself, and
 readers look only at batches whose marker exists, so the three outputs always agree.
 
+Batch numbers restart with a fresh checkpoint. Each checkpoint therefore has a run number in the store, outputs are kept
+under (run, batch), and the batches of a later run leave out the event ids that earlier runs have committed: a replay
+from the start into a kept store changes nothing. A newer run ends the older ones.
+
 State for event ids grows with the ids, as it must for a guarantee without time limit; use the
 RocksDB state store. ``watermark`` bounds it, in exchange for forgetting ids older than that.
 """
@@ -18,10 +22,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from shiplake.operators.tracking import delay_alerts, latest_state, merge_latest
+from shiplake.operators.upsert import unseen
 from shiplake.schemas import TRACKING_COLUMNS, TRACKING_ORDER, TRACKING_SCHEMA
 from shiplake.sources.versioned import VersionedTable
 
 BATCH = T.StructField("batch_id", T.LongType())
+RUN_BITS = 40  # a stored number is (run << RUN_BITS) + batch
 DELAY_ALERT_SCHEMA = T.StructType([
     *[TRACKING_SCHEMA[c] for c in (
         "event_id", "shipment_id", "carrier_id", "warehouse_id", "event_type", "event_timestamp"
@@ -40,8 +46,10 @@ class BatchLog:
     def write(self, frame: DataFrame, batch_id: int) -> None:
         frame.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
-    def read(self, after: int | None = None, through: int | None = None) -> DataFrame:
-        """Rows of the batches in (after, through]; other directories are pruned."""
+    def read(
+        self, after: int | None = None, through: int | None = None, spans: list[tuple[int, int]] | None = None
+    ) -> DataFrame:
+        """Rows of the batches in (after, through], and in one of the closed ``spans``; other directories are pruned."""
         try:
             rows = self.spark.read.schema(T.StructType([*self.schema.fields, BATCH])).parquet(self.path)
         except AnalysisException as error:
@@ -52,6 +60,11 @@ class BatchLog:
             rows = rows.filter(F.col("batch_id") > after)
         if through is not None:
             rows = rows.filter(F.col("batch_id") <= through)
+        if spans is not None:
+            inside = F.lit(False)
+            for first, last in spans:
+                inside = inside | F.col("batch_id").between(first, last)
+            rows = rows.filter(inside)
         return rows.select(*self.schema.fieldNames())
 
 
@@ -68,41 +81,69 @@ class TrackingStore:
         ]))
         self._snapshot = VersionedTable(spark, f"{self.root}/latest_snapshot", TRACKING_SCHEMA)
 
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """``batch`` holds events not seen in earlier batches; an empty one is skipped."""
+    def run_of(self, checkpoint: str) -> int:
+        """The run that a checkpoint belongs to, noted inside it; a fresh checkpoint starts the next run."""
+        note = f"{checkpoint.rstrip('/')}/store_run"
+        try:
+            return self.spark.read.schema("run long").json(note).first()["run"]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        run = max((first >> RUN_BITS for first, _ in self._spans()), default=-1) + 1
+        self.spark.createDataFrame([(run,)], "run long").coalesce(1).write.json(note)
+        return run
+
+    def new_events(self, batch: DataFrame, run: int) -> DataFrame:
+        """The batch without ids that earlier runs committed. The first run has none before it and reads nothing."""
+        earlier = [span for span in self._spans() if span[0] >> RUN_BITS < run] if run else []
+        return unseen(self._history.read(spans=earlier), batch, ["event_id"]) if earlier else batch
+
+    def write_batch(self, batch: DataFrame, batch_id: int, run: int = 0) -> int:
+        """``batch`` holds events not seen before; an empty one is skipped. Returns the stored number."""
+        number = (run << RUN_BITS) + batch_id
         if batch.isEmpty():
-            return
-        self._history.write(batch, batch_id)
-        self._alerts.write(delay_alerts(batch), batch_id)
-        self._changes.write(latest_state(batch), batch_id)
+            return number
+        self._history.write(batch, number)
+        self._alerts.write(delay_alerts(batch), number)
+        self._changes.write(latest_state(batch), number)
         done = self.spark.range(1).select(F.current_timestamp().alias("committed_at")).coalesce(1)
-        self._committed.write(done, batch_id)
+        self._committed.write(done, number)
+        return number
 
-    def last_batch(self) -> int:
-        """Number of the newest complete batch; -1 if there is none."""
+    def _spans(self) -> list[tuple[int, int]]:
+        """First and last complete number of every run: a row per run."""
         try:
             done = self.spark.read.schema("committed_at timestamp, batch_id long").parquet(f"{self.root}/committed")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return -1
-        return done.agg(F.coalesce(F.max("batch_id"), F.lit(-1)).alias("last")).first()["last"]
+            return []
+        run = F.shiftright("batch_id", RUN_BITS).alias("run")
+        return sorted((r.run << RUN_BITS, r.last) for r in done.groupBy(run).agg(F.max("batch_id").alias("last")).collect())
+
+    def last_batch(self) -> int:
+        """Number of the newest complete batch; -1 if there is none."""
+        return max((last for _, last in self._spans()), default=-1)
 
     def history(self) -> DataFrame:
-        return self._history.read(through=self.last_batch())
+        return self._history.read(spans=self._spans())
 
     def delay_alerts(self) -> DataFrame:
-        return self._alerts.read(through=self.last_batch())
+        return self._alerts.read(spans=self._spans())
 
-    def latest(self) -> DataFrame:
-        """Snapshot plus the changes since. Merging is idempotent, so an overlap does no harm."""
-        changes = self._changes.read(after=self._snapshot.position(), through=self.last_batch())
-        return merge_latest(self._snapshot.read(), changes)
+    def latest(self, only: DataFrame | None = None) -> DataFrame:
+        """Snapshot plus the changes since, of all shipments or of those in ``only``. Merging is idempotent, so an
+        overlap does no harm."""
+        state, changes = self._snapshot.read(), self._changes.read(after=self._snapshot.position(), spans=self._spans())
+        if only is not None:
+            state, changes = (x.join(only, "shipment_id", "left_semi") for x in (state, changes))
+        return merge_latest(state, changes)
 
     def compact(self) -> int:
         """Fold the changes into a new snapshot, so that readers open few files."""
-        last = self.last_batch()
-        changes = self._changes.read(after=self._snapshot.position(), through=last)
+        spans = self._spans()
+        last = max((end for _, end in spans), default=-1)
+        changes = self._changes.read(after=self._snapshot.position(), spans=spans)
         return self._snapshot.publish(merge_latest(self._snapshot.read(), changes), position=last)
 
 
@@ -122,14 +163,15 @@ def start_tracking(
     after_batch: Callable[[DataFrame, int], None] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start the query. ``after_batch`` runs once the batch is committed, with the batch's new events."""
+    """Start the query. ``after_batch`` runs once the batch is committed, with its new events and stored number."""
+    run = store.run_of(checkpoint)
 
     def persist(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # the outputs share one run of the stateful plan
+        batch = store.new_events(batch, run).persist()  # the outputs share one run of the stateful plan
         try:
-            store.write_batch(batch, batch_id)
+            number = store.write_batch(batch, batch_id, run)
             if after_batch is not None and not batch.isEmpty():
-                after_batch(batch, batch_id)
+                after_batch(batch, number)
         finally:
             batch.unpersist()
 
