@@ -13,10 +13,6 @@ def exact_sum(column: Column) -> Column:
     return F.sum(column.cast("decimal(24,8)"))
 
 
-def count_true(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def ratio(part: Column, whole: Column) -> Column:
     """Double division; null for an empty whole."""
     return F.try_divide(part.cast("double"), whole.cast("double"))

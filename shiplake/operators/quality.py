@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shiplake.operators.keys import duplicate_keys, require_columns, rows_per_key
+from shiplake.operators.keys import check_inputs, duplicate_keys, rows_per_key
 from shiplake.schemas import FACT_COLUMNS, FACT_REQUIRED_KEYS, RELATIONSHIPS, RISK_LEVELS
 
 
@@ -50,7 +50,7 @@ def require_no_nulls(frame: DataFrame, columns: Sequence[str]) -> None:
         raise RuntimeError(f"null values found: {bad}")
 
 
-def duplicate_report(frame: DataFrame, keys: Sequence[str], limit: int | None = 20) -> DataFrame:
+def duplicate_report(frame: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
     """Duplicated keys, most repeated first; the report length is a parameter, ``None`` for all."""
     ranked = duplicate_keys(frame, keys).orderBy(F.desc("row_count"), *keys)
     return ranked if limit is None else ranked.limit(limit)
@@ -268,8 +268,8 @@ def staging_fact_checks(fact: DataFrame, dims: dict[str, DataFrame], expected_ro
 
 
 def prediction_checks(predictions: DataFrame) -> list[Check]:
-    require_columns(
-        predictions, ["shipment_id", "late_risk_probability", "predicted_is_late", "risk_level"], "predictions"
+    check_inputs(
+        ("predictions", predictions, ("shipment_id", "late_risk_probability", "predicted_is_late", "risk_level"))
     )
     probability = F.col("late_risk_probability")
     return [

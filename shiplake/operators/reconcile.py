@@ -90,6 +90,6 @@ def require_round_trip(source: DataFrame, written: DataFrame, label: str) -> int
     counts = reconcile_row_counts({label: source}, {label: written}).first()
     if not counts["matches"]:
         raise RuntimeError(
-            f"{label} lost rows: source={counts['source_rows']}, read_back={counts['target_rows']}"
+            f"{label}: wrote {counts['source_rows']} rows, {counts['target_rows']} came back"
         )
     return counts["target_rows"]

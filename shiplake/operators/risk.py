@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shiplake.functions.measures import ratio, ratio_or_zero, risk_tier
 from shiplake.functions.timeparts import monday_based_weekday, weekday_number
-from shiplake.operators.keys import lookup_table, require_columns
+from shiplake.operators.keys import check_inputs, lookup_table
 from shiplake.operators.orders import add_region_keys
 from shiplake.operators.quality import prediction_checks, require_no_nulls, require_passed, run_checks
 from shiplake.operators.tracking import at
@@ -113,7 +113,7 @@ def keys_at(frame: DataFrame, key: Column, shares: tuple[float, ...]) -> list[st
     refined a few characters at a time until few rows share it; only those are sorted. A pass
     serves all positions and brings back counts, at most one per distinct prefix extension.
     """
-    keys = frame.select(key.alias("_key"))
+    keys = frame.select(key.alias("_key")).filter("_key is not null")
 
     def under(cuts: list[Cut]) -> DataFrame:
         chosen = F.lit(False)
@@ -136,24 +136,26 @@ def keys_at(frame: DataFrame, key: Column, shares: tuple[float, ...]) -> list[st
         finer = counts(under(wide), length)
         for cut in wide:
             cut.narrow(finer)
-    if any(c.rows > SORTABLE_ROWS for c in cuts):
-        raise ValueError("row ids are not unique, so the split has no exact position")
-    inside = [c for c in cuts if c.rows]
+    # rows that still share a prefix hold one id at one time: one key, without sorting
+    same = {c.prefix: under([c]).agg(F.min("_key")).first()[0] for c in cuts if c.rows and c.rows > SORTABLE_ROWS}
+    inside = [c for c in cuts if c.rows and c.prefix not in same]
     found = [r["_key"] for r in under(inside).orderBy("_key").collect()] if inside else []
     result = []
     for cut in cuts:
         mine = [k for k in found if k.startswith(cut.prefix)] if cut.rows else []
-        result.append(mine[cut.position - cut.skipped] if mine else None)
+        result.append(same.get(cut.prefix) or (mine[cut.position - cut.skipped] if mine else None) if cut.rows else None)
     return result
 
 
 def split_points(frame: DataFrame, moment: str, row_id: str = "shipment_id") -> SplitPoints:
-    """Where the last 20 and the last 10 percent of the rows begin, in time order. Ids are unique."""
+    """Where the last 20 and the last 10 percent of the rows begin, in time order. Rows without a time or an id do not
+    count. Rows with one id at one time have one key and fall on one side together, at every size."""
     return SplitPoints(*keys_at(frame, time_key(frame, moment, row_id), (TRAIN_SHARE, VALIDATION_END)))
 
 
 def with_split(frame: DataFrame, moment: str, row_id: str = "shipment_id", points: SplitPoints | None = None) -> DataFrame:
-    """Adds ``split``: train, validation or test. A comparison per row, no window, no shuffle."""
+    """Adds ``split``: train, validation or test, or null without a time or an id. A comparison per row, no window, no
+    shuffle."""
     points = points or split_points(frame, moment, row_id)
     key = time_key(frame, moment, row_id)
     label = F.lit("train")
@@ -161,7 +163,7 @@ def with_split(frame: DataFrame, moment: str, row_id: str = "shipment_id", point
         label = F.when(key >= points.validation_from, "validation").otherwise(label)
     if points.test_from is not None:
         label = F.when(key >= points.test_from, "test").otherwise(label)
-    return frame.withColumn("split", label)
+    return frame.withColumn("split", F.when(key.isNotNull(), label))
 
 
 # --- model ------------------------------------------------------------------------------------
@@ -278,19 +280,25 @@ def choose_threshold(scored: DataFrame, probability: str, label: Column) -> Data
 
 
 def classification_metrics(scored: DataFrame, probability: str, label: Column, threshold: float) -> DataFrame:
-    """One row of hold-out metrics at four places, from one pass over the rows.
+    """One row of hold-out metrics at four places.
 
-    Rows are counted per probability at six places, the precision stored, which leaves at most
-    1,000,001 groups. The area under the ROC curve follows from the running count over those; the
-    confusion counts compare the unrounded probability with the threshold.
+    Rows are counted per unrounded probability, so close scores are no ties. The area under the ROC curve needs the
+    running count over those: ten thousand stretches of the unit interval are summed first, and each stretch then
+    counts on from its start, in a task of its own.
     """
     positive = F.col(probability) >= threshold
-    counts = scored.groupBy(F.round(probability, 6).alias("_p")).agg(
+    counts = scored.groupBy(F.col(probability).alias("_p")).agg(
         F.count_if(label).alias("late"), F.count_if(~label).alias("other"),
         F.count_if(label & positive).alias("tp"), F.count_if(~label & positive).alias("fp"),
+    ).withColumn("_stretch", F.floor(F.coalesce("_p", F.lit(-1.0)) * 10_000))
+    before = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.groupBy("_stretch").agg(F.sum("other").alias("_other")).select(
+        "_stretch", F.coalesce(F.sum("_other").over(before), F.lit(0)).alias("_start")
+    )
+    inside = Window.partitionBy("_stretch").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.join(F.broadcast(starts), "_stretch").withColumn(  # at most 10,002 rows
+        "below", F.col("_start") + F.coalesce(F.sum("other").over(inside), F.lit(0))
     )
-    below = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.withColumn("below", F.coalesce(F.sum("other").over(below), F.lit(0)))
     sums = ranked.agg(
         F.sum("late").alias("late"), F.sum("other").alias("other"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
         F.sum(F.col("late").cast("double") * (F.col("below") + F.col("other") / 2)).alias("area"),
@@ -344,7 +352,7 @@ def train(labelled: DataFrame, moment: str = "order_timestamp") -> TrainingResul
 
 def score(model: RiskModel, frame: DataFrame, threshold: float) -> DataFrame:
     """Predictions. Label and tier come from the unrounded probability, the stored one has six places."""
-    require_columns(frame, ["shipment_id", *CATEGORICAL, *NUMERIC], "scoring input")
+    check_inputs(("scoring input", frame, ("shipment_id", *CATEGORICAL, *NUMERIC)))
     raw = F.col("probability_raw")
     return with_probability(model, frame).select(
         "shipment_id",

@@ -168,9 +168,10 @@ def require_cohorts(scenarios: DataFrame, summary: DataFrame) -> None:
     """Raise if a scenario matched no shipment or its sample came out empty."""
     empty = scenarios.select("scenario_id").join(summary, "scenario_id", "left").filter(
         F.coalesce("affected_shipments", F.lit(0)) == 0
-    ).limit(5).collect()
-    if empty:
-        raise ValueError(f"scenarios without affected shipments: {[r.scenario_id for r in empty]}")
+    )
+    count, first = empty.agg(F.count("*"), F.min("scenario_id")).first()
+    if count:
+        raise ValueError(f"scenarios without affected shipments: {count}, the first is {first}")
 
 
 def best_alternatives(fact: DataFrame, carriers: DataFrame, scenarios: DataFrame) -> DataFrame:

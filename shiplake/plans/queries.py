@@ -636,9 +636,12 @@ def threshold_search(spark, d):
 
 
 def classification_metrics(spark, d):
-    return risk.classification_metrics(
-        labelled_predictions(spark, d), "late_risk_probability", F.col("is_late"), THRESHOLD
+    """On scores that differ beyond the sixth place."""
+    keys_ = src.fact_shipment(spark, d).select("shipment_id", "order_key")
+    finer = labelled_predictions(spark, d).join(keys_, "shipment_id").withColumn(
+        "late_risk_probability", F.col("late_risk_probability") + (F.col("order_key") % 1009).cast("double") / F.lit(1e9)
     )
+    return risk.classification_metrics(finer, "late_risk_probability", F.col("is_late"), THRESHOLD)
 
 
 def scoring_input(spark, d):

@@ -23,7 +23,7 @@ def refresh_fact(
     root: str,
     *,
     mode: str = "overwrite",
-    cleansed_files: int | None = writers.CLEANSED_FILES,
+    cleansed_files: int | None = None,
     expected_rows: int | None = None,
 ) -> VersionedTable:
     """Each zone is read back from what was written, so no step is computed twice.

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from shiplake.operators.keys import require_columns
+from shiplake.operators.keys import check_inputs
 from shiplake.schemas import CURATED_SCHEMA, DIMENSIONS, PREDICTION_SCHEMA
 
 LATIN_1 = "ISO-8859-1"
@@ -24,7 +24,7 @@ def read_orders(spark: SparkSession, path: str, *, infer_types: bool = False) ->
 def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Some columns of a headered CSV; the parser skips the others."""
     source = read_orders(spark, path)
-    require_columns(source, columns, path)
+    check_inputs((path, source, columns))
     return source.select(*[F.col(f"`{c}`") for c in columns])
 
 
@@ -54,7 +54,7 @@ def read_merged(spark: SparkSession, root: str, schema: StructType | None = None
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """Prediction CSV with a header; the id stays text. The label may be 0/1 or true/false."""
     source = spark.read.option("header", True).csv(path)
-    require_columns(source, PREDICTION_SCHEMA.fieldNames()[:4], "predictions")
+    check_inputs(("predictions", source, PREDICTION_SCHEMA.fieldNames()[:4]))
     return source.select(
         "shipment_id",
         F.col("late_risk_probability").try_cast("double").alias("late_risk_probability"),

@@ -7,13 +7,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shiplake.operators.keys import lookup_table, require_columns
+from shiplake.operators.keys import check_inputs, lookup_table
 from shiplake.operators.orders import with_month
 from shiplake.operators.reconcile import reconcile_row_counts
 from shiplake.schemas import CURATED_PARTITIONS
 
 MODES = ("overwrite", "errorifexists")
-CLEANSED_FILES = 8  # fixed value: file count of the cleansed zone at the original volume
 
 # Tables of the dashboard snapshot.
 REQUIRED_SNAPSHOT = [
@@ -33,8 +32,8 @@ def check_mode(mode: str) -> str:
     return mode
 
 
-def write_cleansed(frame: DataFrame, path: str, mode: str = "overwrite", files: int | None = CLEANSED_FILES) -> None:
-    """A fixed number of files, or as many as the data size asks for when ``files`` is None."""
+def write_cleansed(frame: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
+    """As many files as the data size asks for, or a fixed number of them."""
     spread = frame.hint("rebalance") if files is None else frame.repartition(files)
     spread.write.mode(check_mode(mode)).parquet(path)
 
@@ -124,7 +123,7 @@ def require_same_counts(source: dict[str, DataFrame], target: dict[str, DataFram
 def write_scenarios(root: str, tables: dict[str, DataFrame]) -> None:
     """Scenario tables under ``scenario_id`` partitions; a repeat replaces its own scenarios only."""
     for name, frame in tables.items():
-        require_columns(frame, ["scenario_id"], name)
+        check_inputs((name, frame, ["scenario_id"]))
         overwrite_partitions(frame.hint("rebalance", "scenario_id"), f"{root}/{name}")
 
 

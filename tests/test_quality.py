@@ -116,7 +116,7 @@ def test_row_count_reconciliation(spark):
         {"a": spark.range(3), "b": spark.range(2)}, {"a": spark.range(3), "c": spark.range(1)}
     )
     assert {r["table_name"]: r["matches"] for r in report.collect()} == {"a": True, "b": False, "c": False}
-    with pytest.raises(RuntimeError, match="lost rows"):
+    with pytest.raises(RuntimeError, match="came back"):
         reconcile.require_round_trip(spark.range(3), spark.range(2), "x")
 
 
@@ -130,6 +130,23 @@ def test_size_checked_broadcast(spark):
     assert not hinted(big.join(keys.broadcast_if_small(small, 9), "k"))
     with pytest.raises(ValueError):
         keys.lookup_table(big, ["k"], "d")
-    keys.require_unique(small, ["k"], "d")
-    with pytest.raises(ValueError):
-        keys.require_unique(big, ["k"], "d")
+
+
+def test_input_faults_are_listed_together(spark):
+    frame = spark.createDataFrame([(1, 2)], "a int, b int")
+    keys.check_inputs(("x", frame, ["a"]), ("y", frame, ("a", "b")))
+    with pytest.raises(keys.InputFault, match=r"x\.c, y\.d, y\.e"):
+        keys.check_inputs(("x", frame, ["a", "c"]), ("y", frame, ["d", "b", "e"]))
+
+
+def test_repeated_keys_reconcile_by_payload(spark):
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "k int, v string")
+
+    def check(left, right):
+        return [tuple(r) for r in reconcile.reconcile_rows(left, right, ["k"], ["v"]).collect()]
+
+    assert check(rows((1, "a"), (1, "b")), rows((1, "b"), (1, "b"))) == [(1, 2, 2, True)]
+    assert check(rows((1, "a"), (1, "b")), rows((1, "b"), (1, "a"))) == []
+    assert check(rows((1, "a"), (1, "a")), rows((1, "a"))) == [(1, 2, 1, False)]
+    assert check(rows((1, None), (2, "x")), rows((1, None))) == [(2, 1, 0, True)]

@@ -124,11 +124,17 @@ def test_split_of_few_rows(labelled):
     assert risk.with_split(labelled.limit(0), "order_timestamp").count() == 0
 
 
-def test_repeated_ids_have_no_exact_split(spark, monkeypatch):
-    monkeypatch.setattr(risk, "SORTABLE_ROWS", 10)
+@pytest.mark.parametrize("sortable", [10, 20_000])
+def test_repeated_ids_fall_on_one_side(spark, monkeypatch, sortable):
+    monkeypatch.setattr(risk, "SORTABLE_ROWS", sortable)
     same = spark.range(100).selectExpr("'x' shipment_id", "20240101 date_key")
-    with pytest.raises(ValueError, match="not unique"):
-        risk.with_split(same, "date_key")
+    assert [r["split"] for r in risk.with_split(same, "date_key").distinct().collect()] == ["test"]
+
+
+def test_rows_without_time_have_no_split(spark):
+    rows = spark.range(20).selectExpr("cast(id as string) shipment_id", "if(id < 10, 20240101 + id, null) date_key")
+    got = [r["split"] for r in risk.with_split(rows, "date_key").collect()]
+    assert (got.count(None), got.count("train"), got.count("validation"), got.count("test")) == (10, 8, 1, 1)
 
 
 def test_training_scoring_and_reload(spark, labelled, tmp_path):
