@@ -6,7 +6,7 @@ from __future__ import annotations
 CTES = {
     "order_rows": """
         SELECT concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, CAST(l.l_quantity AS INT)) AS shipment_id,
-               CAST(l.l_orderkey AS INT) AS order_key,
+               CAST(l.l_orderkey AS BIGINT) AS order_key,
                l.l_suppkey, l.l_returnflag, l.l_extendedprice, l.l_discount, c.c_nationkey, c.c_mktsegment,
                n.n_name, r.r_name, o.o_orderdate, l.l_shipdate,
                CAST(((datediff('day', o.o_orderdate, l.l_shipdate) % 7) + 7) % 7 AS INT) AS lead_time,
@@ -313,7 +313,7 @@ def profile(table: str, name: str, columns: list[tuple[str, str]]) -> str:
 
 
 FACT_TYPES = [
-    ("shipment_id", "string"), ("order_key", "int"), ("carrier_key", "string"), ("warehouse_key", "string"),
+    ("shipment_id", "string"), ("order_key", "bigint"), ("carrier_key", "string"), ("warehouse_key", "string"),
     ("route_key", "string"), ("date_key", "int"), ("lead_time", "int"), ("scheduled_time", "int"),
     ("delay_hours", "int"), ("on_time", "boolean"), ("sales", "double"), ("profit", "double"),
 ]
@@ -445,6 +445,16 @@ QUERIES = {
                     for c in COMPARED)
         + " FROM fact f FULL JOIN (SELECT * FROM faulty_once WHERE warehouse_key <> 'WH017') b USING (shipment_id)) m"
         " WHERE twice OR gone OR " + " OR ".join(f"{c}_d" for c in COMPARED),
+    "orders_from_csv": """
+        SELECT o.order_key * 100 + o.scheduled_time * 10 + o.lead_time AS order_item_id, o.order_key AS order_id,
+               CASE WHEN o.lead_time < 5 THEN CAST(strftime(o.o_orderdate, '%Y%m%d') AS INT) END AS date_key,
+               o.lead_time = 6 AS date_failed, o.lead_time < 5 AS date_known,
+               concat('WH', lpad(CAST(o.c_nationkey + 1 AS VARCHAR), 3, '0')) AS warehouse_key, r.route_id AS route_key,
+               o.l_extendedprice AS sales,
+               CAST(CAST(o.l_extendedprice AS DECIMAL(18,2)) * (CAST(0.05 AS DECIMAL(4,2)) - CAST(o.l_discount AS DECIMAL(4,2))) AS DOUBLE) AS order_profit_per_order
+        FROM order_rows o LEFT JOIN nation_routes r ON r.origin_market = o.r_name AND r.destination_region = o.n_name""",
+    "carrier_assign_coverage": """
+        SELECT count(DISTINCT shipment_id) AS items, count(DISTINCT shipment_id) AS one_carrier FROM fact""",
     "row_count_reconcile": """
         SELECT 'fact' AS table_name, (SELECT count(*) FROM fact ) AS source_rows, (SELECT count(*) FROM faulty ) AS target_rows,
                (SELECT count(*) FROM fact ) = (SELECT count(*) FROM faulty ) AS matches

@@ -10,7 +10,7 @@ from shiplake.functions.measures import exact_sum
 from shiplake.operators import alerts, dims, keys, orders, quality, recommend, reconcile, risk, tracking, whatif
 from shiplake.plans import cards, marts
 from shiplake.schemas import (
-    CURATED_PARTITIONS, FACT_COLUMNS, OPEN_EVENT_TYPES, PREDICTION_SCHEMA,
+    CURATED_PARTITIONS, FACT_COLUMNS, OPEN_EVENT_TYPES, ORDER_COLUMNS, PREDICTION_SCHEMA,
 )
 from shiplake.session import scratch_path
 from shiplake.sources import driver_tables as src, readers, writers
@@ -314,6 +314,38 @@ def date_export_round_trip(spark, d):
     return written.groupBy("shipment_date").agg(F.count("*").alias("shipments"))
 
 
+def orders_from_csv(spark, d):
+    """Raw order files, Latin-1 under the raw headers, with unreadable dates at a lead time of 6 and none at 5: written,
+    read, cleaned and given their region, route and date keys."""
+    rows, lead = src.order_rows(spark, d), F.col("days_for_shipping_real")
+    text = F.when(lead == 6, "not a date").when(lead != 5, F.date_format("order_date", "M/d/yyyy H:mm"))
+    rows = rows.withColumn("order_date_raw", text).withColumn(
+        "order_item_id", F.col("order_id") * 100 + F.col("days_for_shipment_scheduled") * 10 + lead
+    )
+    path = scratch_path(spark, "orders-csv")
+    rows.select(*[F.col(name).alias(raw) for raw, (name, _) in ORDER_COLUMNS.items()]).write.option("header", True).option(
+        "encoding", readers.LATIN_1).csv(path)
+    cleaned = orders.clean_orders(readers.read_orders(spark, path))
+    keyed = orders.add_date_key(
+        orders.add_region_keys(cleaned, src.dim_warehouse(spark, d), nation_routes(spark, d)), src.dim_date(spark, d)
+    )
+    return keyed.select(
+        "order_item_id", "order_id", "date_key", (F.col("order_date").isNull() & F.col("order_date_raw").isNotNull())
+        .alias("date_failed"), "date_known", "warehouse_key", "route_key", "sales", "order_profit_per_order",
+    )
+
+
+def carrier_assign_coverage(spark, d):
+    """Items with exactly one carrier, a known one, over two runs on differently dealt rows."""
+    rows, carriers = src.order_rows(spark, d).select("order_item_id"), src.dim_carrier(spark, d)
+    twice = orders.add_carrier_key(rows, carriers).unionByName(orders.add_carrier_key(rows.repartition(5), carriers))
+    known = carriers.select(F.col("carrier_id").alias("carrier_key"), F.lit(True).alias("known"))
+    per_item = twice.join(known, "carrier_key", "left").groupBy("order_item_id").agg(
+        F.min("carrier_key").alias("lo"), F.max("carrier_key").alias("hi"), F.bool_and(F.coalesce("known", F.lit(False))).alias("known")
+    )
+    return per_item.agg(F.count("*").alias("items"), F.count_if((F.col("lo") == F.col("hi")) & F.col("known")).alias("one_carrier"))
+
+
 def csv_round_trip(spark, d):
     path = scratch_path(spark, "predictions-csv")
     writers.write_csv(src.fact_predictions(spark, d), path)
@@ -693,7 +725,8 @@ QUERIES = {f.__name__: f for f in (
     null_counts, duplicate_keys, distinct_profile, table_profile,
     orphan_keys, unaccepted_values, row_reconcile, row_count_reconcile, id_symmetric_diff,
     dq_report, mart_report, prediction_report,
-    curated_round_trip, curated_layout, date_export_round_trip, csv_round_trip, versioned_fact, scenario_round_trip,
+    curated_round_trip, curated_layout, date_export_round_trip, csv_round_trip, orders_from_csv, carrier_assign_coverage,
+    versioned_fact, scenario_round_trip,
     carrier_route_performance, carrier_route_contract, carrier_score, carrier_score_with_cost,
     candidate_violations, best_carrier_per_route,
     whatif_impact, whatif_summary, whatif_best_alternative, whatif_mitigation, whatif_scenarios, whatif_violations,

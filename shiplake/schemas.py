@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 FACT_SCHEMA = T.StructType([
     T.StructField("shipment_id", T.StringType()),
-    T.StructField("order_key", T.IntegerType()),
+    T.StructField("order_key", T.LongType()),
     T.StructField("carrier_key", T.StringType()),
     T.StructField("warehouse_key", T.StringType()),
     T.StructField("route_key", T.StringType()),
@@ -69,7 +69,7 @@ RELATIONSHIPS = {
 # Raw order header -> (clean name, type).
 ORDER_COLUMNS = {
     "Order Item Id": ("order_item_id", "bigint"),
-    "Order Id": ("order_id", "int"),
+    "Order Id": ("order_id", "bigint"),
     "order date (DateOrders)": ("order_date_raw", "string"),
     "Days for shipping (real)": ("days_for_shipping_real", "int"),
     "Days for shipment (scheduled)": ("days_for_shipment_scheduled", "int"),
@@ -84,7 +84,7 @@ TRACKING_PAYLOAD = T.StructType([
     T.StructField("schema_version", T.StringType()),
     T.StructField("event_id", T.StringType()),
     T.StructField("shipment_id", T.LongType()),
-    T.StructField("order_key", T.IntegerType()),
+    T.StructField("order_key", T.LongType()),
     T.StructField("carrier_id", T.StringType()),
     T.StructField("warehouse_id", T.StringType()),
     T.StructField("event_type", T.StringType()),
@@ -95,7 +95,7 @@ TRACKING_REQUIRED = ["event_id", "shipment_id", "warehouse_id", "event_type", "e
 TRACKING_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()),
     T.StructField("shipment_id", T.StringType()),
-    T.StructField("order_key", T.IntegerType()),
+    T.StructField("order_key", T.LongType()),
     T.StructField("carrier_id", T.StringType()),
     T.StructField("warehouse_id", T.StringType()),
     T.StructField("event_type", T.StringType()),

@@ -69,7 +69,7 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     margin = F.lit(0.05).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
     return order_lines(spark, sf_dir).select(
         shipment_key().alias("order_item_id"),
-        F.col("l_orderkey").cast("int").alias("order_id"),
+        F.col("l_orderkey").cast("bigint").alias("order_id"),
         F.col("o_orderdate").alias("order_date"),
         lead.alias("days_for_shipping_real"),
         scheduled.alias("days_for_shipment_scheduled"),
@@ -155,7 +155,7 @@ def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events under the tracking contract; columns the tables cannot give are null or constant."""
     events = event_rows(table(spark, sf_dir, "events"))
     return (
-        events.withColumn("order_key", F.lit(None).cast("int"))
+        events.withColumn("order_key", F.lit(None).cast("bigint"))
         .withColumn("region", F.lit(None).cast("string"))
         .withColumn("kafka_topic", F.lit("shipment-tracking-events"))
         .select(*TRACKING_COLUMNS)
