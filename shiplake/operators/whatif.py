@@ -289,24 +289,25 @@ def run_and_store(
     fact: DataFrame, carriers: DataFrame, scenarios: DataFrame, root: str, check: bool = True
 ) -> WhatIf:
     """Run scenarios and store the four tables. The impact is written once and read back for the
-    rest, so the fact is simulated a single time; readers see the scenarios when all is written."""
-    spark = fact.sparkSession
-    write_scenarios(root, {"impact": simulate(fact, scenarios)})
-    wanted = broadcast_if_small(scenarios.select("scenario_id"))
-    impact = spark.read.parquet(f"{root}/impact").join(wanted, "scenario_id", "left_semi")
+    rest, so the fact is simulated a single time. Each call is a run of its own and is published last: a repeat that
+    stops part-way, or fails a check, leaves readers with the earlier run whole."""
+    spark, run_id = fact.sparkSession, f"r{uuid.uuid4().hex}"
+    write_scenarios(root, {"impact": simulate(fact, scenarios)}, run_id)
+    impact = spark.read.parquet(f"{root}/impact/run_id={run_id}").withColumn(
+        "scenario_id", F.col("scenario_id").cast("string"))
     summary = cut_lineage(summarise(impact))
     require_cohorts(scenarios, summary)
     actions = cut_lineage(mitigations(scenarios, summary, best_alternatives(fact, carriers, scenarios)))
     result = WhatIf(scenarios, impact, summary, actions)
     if check:
         require_passed(whatif_violations(result))
-    write_scenarios(root, {"scenarios": scenarios, "summary": summary, "mitigations": actions})
-    complete_scenarios(root, scenarios)
+    write_scenarios(root, {"scenarios": scenarios, "summary": summary, "mitigations": actions}, run_id)
+    complete_scenarios(root, scenarios, run_id)
     return result
 
 
 def stored(spark: SparkSession, root: str) -> WhatIf:
-    """The stored tables, restricted to complete scenarios."""
+    """The stored tables, each scenario from its last complete run."""
     return WhatIf(*[read_scenarios(spark, root, name) for name in ("scenarios", "impact", "summary", "mitigations")])
 
 

@@ -362,9 +362,13 @@ def versioned_fact(spark, d):
 
 
 def scenario_round_trip(spark, d):
-    root = scratch_path(spark, "scenarios")
+    """A run over half the delay, the wanted run, and a repeat that stops after its impact: readers see the second."""
+    root, fact, carriers = scratch_path(spark, "scenarios"), src.fact_shipment(spark, d), src.dim_carrier(spark, d)
     scenarios = whatif.scenario_frame(spark, SCENARIOS)
-    whatif.run_and_store(src.fact_shipment(spark, d), src.dim_carrier(spark, d), scenarios, root)
+    other = scenarios.withColumn("added_delay_hours", F.col("added_delay_hours") / 2)
+    whatif.run_and_store(fact, carriers, other, root)
+    whatif.run_and_store(fact, carriers, scenarios, root)
+    writers.write_scenarios(root, {"impact": whatif.simulate(fact, other)}, "stopped")
     result = whatif.stored(spark, root)
     actions = result.mitigations.groupBy("scenario_id").agg(F.count("*").alias("actions"))
     return result.summary.join(actions, "scenario_id").drop("calculated_at")

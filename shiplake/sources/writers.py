@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shiplake.operators.keys import check_inputs, lookup_table
@@ -120,29 +121,40 @@ def require_same_counts(source: dict[str, DataFrame], target: dict[str, DataFram
         raise RuntimeError(f"row counts differ: {[tuple(r) for r in wrong]}")
 
 
-def write_scenarios(root: str, tables: dict[str, DataFrame]) -> None:
-    """Scenario tables under ``scenario_id`` partitions; a repeat replaces its own scenarios only."""
+def write_scenarios(root: str, tables: dict[str, DataFrame], run: str) -> None:
+    """Scenario tables of one run, apart from those of any other run; nobody reads them before they are published."""
     for name, frame in tables.items():
         check_inputs((name, frame, ["scenario_id"]))
-        overwrite_partitions(frame.hint("rebalance", "scenario_id"), f"{root}/{name}")
+        frame.hint("rebalance", "scenario_id").write.mode("overwrite").partitionBy("scenario_id").parquet(
+            f"{root}/{name}/run_id={run}"
+        )
 
 
-def complete_scenarios(root: str, scenarios: DataFrame) -> None:
-    """Mark scenarios as complete. Written last, so a half-written scenario stays invisible."""
-    marker = scenarios.select("scenario_id", F.lit(True).alias("complete")).coalesce(1)
-    overwrite_partitions(marker, f"{root}/_complete")
+def published_runs(spark: SparkSession, root: str) -> DataFrame:
+    """scenario_id, run_id: the run that readers see for each scenario."""
+    markers = spark.read.schema("scenario_id string, run_id string, number long").json(f"{root}/_published")
+    return markers.groupBy("scenario_id").agg(F.max(F.struct("number", "run_id")).alias("_m")).select(
+        "scenario_id", F.col("_m.run_id").alias("run_id"), F.col("_m.number").alias("number")
+    )
 
 
-def overwrite_partitions(frame: DataFrame, path: str) -> None:
-    (
-        frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("scenario_id").parquet(path)
-    )
+def complete_scenarios(root: str, scenarios: DataFrame, run: str) -> None:
+    """Publish a run for its scenarios: one marker, written last, moves all four tables of a scenario at once. Until
+    then readers keep the earlier run."""
+    spark = scenarios.sparkSession
+    try:
+        last = published_runs(spark, root).agg(F.max("number")).first()[0] or 0
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = 0
+    marker = scenarios.select("scenario_id", F.lit(run).alias("run_id"), F.lit(last + 1).alias("number"))
+    marker.coalesce(1).write.mode("append").json(f"{root}/_published")
 
 
 def read_scenarios(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A scenario table restricted to complete scenarios."""
-    as_text = F.col("scenario_id").cast("string")
-    complete = spark.read.parquet(f"{root}/_complete").select(as_text.alias("scenario_id"))
-    rows = spark.read.parquet(f"{root}/{name}").withColumn("scenario_id", as_text)
-    return rows.join(complete, "scenario_id", "left_semi")
+    """A scenario table, each scenario from its published run."""
+    current = published_runs(spark, root).drop("number")
+    rows = spark.read.parquet(f"{root}/{name}")
+    rows = rows.withColumns({c: F.col(c).cast("string") for c in ("scenario_id", "run_id")})
+    return rows.join(current, ["scenario_id", "run_id"], "left_semi").drop("run_id")

@@ -146,13 +146,17 @@ def test_stored_runs_are_complete_repeatable_and_hidden_until_done(spark, inputs
     root = str(tmp_path / "whatif")
     whatif.run_and_store(fact, carriers, scenarios.filter("scenario_id <> 'r'"), root)
     whatif.run_and_store(fact, carriers, scenarios.filter("scenario_id <> 'r'"), root)
-    whatif.write_scenarios(root, {"impact": whatif.simulate(fact, scenarios.filter("scenario_id = 'r'"))})  # crash here
+    whatif.write_scenarios(root, {"impact": whatif.simulate(fact, scenarios.filter("scenario_id = 'r'"))}, "crashed")
     kept = whatif.stored(spark, root)
     assert kept.impact.count() == result.impact.filter("scenario_id <> 'r'").count()
     assert {r["scenario_id"] for r in kept.summary.collect()} == {"w", "c"}
     whatif.run_and_store(fact, carriers, scenarios, root)
     assert whatif.stored(spark, root).impact.count() == result.impact.count()
     assert all(r["passed"] for r in whatif.whatif_violations(whatif.stored(spark, root)).collect())
+    harder = scenarios.withColumn("added_delay_hours", F.col("added_delay_hours") * 2)
+    whatif.write_scenarios(root, {"impact": whatif.simulate(fact, harder)}, "stopped")  # a repeat that does not end
+    seen = whatif.stored(spark, root)
+    assert whatif.summarise(seen.impact).drop("calculated_at").exceptAll(seen.summary.drop("calculated_at")).isEmpty()
 
 
 def test_affected_card_takes_the_newest_scenario(result):
