@@ -13,4 +13,99 @@ WITH vectors AS (
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op1_pivot_search": OP1}
+WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]"
+# measure, slack of the quartile distance, whether it has a lower fence
+FENCED = (("m_word", 50, True), ("m_symbol", 100, False), ("m_dup_line", 500, False), ("m_repeat", 300, False))
+
+
+def fence_levels() -> str:
+    """Quartile fences per (lang, source), per lang and over all, from the bucket counts."""
+    parts = []
+    for name, keys in (("fine", "lang, source"), ("coarse", "lang"), ("whole", "1")):
+        columns = ["max(total) AS n_rows"]
+        for measure, slack, two_sided in FENCED:
+            q1, q3 = (f"min(bucket) FILTER (WHERE measure = '{measure}' AND 4 * cum >= {k} * total)" for k in (1, 3))
+            spread = f"3 * greatest({q3} - {q1}, {slack})"
+            columns.append(f"{q3} + {spread} AS {measure}_high")
+            if two_sided:
+                columns.append(f"{q1} - {spread} AS {measure}_low")
+        group = "" if keys == "1" else f"{keys}, "
+        parts.append(f"""{name} AS (
+  SELECT {group}{', '.join(columns)} FROM (
+    SELECT {group}measure, bucket, sum(n) OVER (PARTITION BY {keys}, measure ORDER BY bucket) AS cum,
+           sum(n) OVER (PARTITION BY {keys}, measure) AS total
+    FROM (SELECT {group}measure, bucket, count(*) AS n FROM entries GROUP BY {group}measure, bucket)
+  ) {'' if keys == '1' else 'GROUP BY ' + keys}
+)""")
+    return ",\n".join(parts)
+
+
+def inside_fences() -> str:
+    tests = []
+    for measure, _, two_sided in FENCED:
+        for side, sign in (("high", "<="), ("low", ">=")) if two_sided else (("high", "<="),):
+            at = (f"CASE WHEN f.n_rows >= 200 THEN f.{measure}_{side} WHEN c.n_rows >= 200 THEN c.{measure}_{side} "
+                  f"WHEN f.n_rows > 0 THEN w.{measure}_{side} END")
+            tests.append(f"coalesce({measure} {sign} {at}, true)")
+    return " AND ".join(tests)
+
+
+OP5 = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines
+  FROM documents
+), windows AS (
+  SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS s FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM texts)
+), twice AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, s) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM (SELECT rid, i, unnest(range(8)) AS k FROM twice) GROUP BY rid
+), counted AS (
+  SELECT t.rid, doc_id, lang, source, length(body) AS chars, len(lines) AS n_lines, len(w) AS n_words,
+         length(regexp_replace(body, '{SPACE}', '', 'g')) AS word_chars,
+         length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM texts t LEFT JOIN covered c USING (rid)
+), measured AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         100 * word_chars // greatest(n_words, 1) AS m_word, 10000 * n_symbols // greatest(chars, 1) AS m_symbol,
+         10000 * n_dup_lines // greatest(n_lines, 1) AS m_dup_line, 10000 * n_repeat_words // greatest(n_words, 1) AS m_repeat
+  FROM counted
+), entries AS (
+  SELECT lang, source, measure, (v >> scale) << scale AS bucket FROM (
+    SELECT lang, source, measure, v, greatest(length(bin(v)) - 7, 0) AS scale FROM (
+      {" UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m}::BIGINT AS v FROM measured WHERE NOT base_failed" for m, _, _ in FENCED)}))
+), {fence_levels()}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {inside_fences()} AS kept
+FROM measured m
+LEFT JOIN fine f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
+LEFT JOIN coarse c ON m.lang IS NOT DISTINCT FROM c.lang
+CROSS JOIN whole w
+"""
+
+OP6 = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM texts WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_pivot_search": OP1, "op5_quality_rules": OP5, "op6_jaccard_join": OP6}
