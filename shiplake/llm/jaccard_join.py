@@ -34,6 +34,7 @@ from shiplake.llm.components import components
 RESERVES = 4
 BITS = 1024
 CELL = 2048
+ROWS = 1000  # pairs compared at a time
 BROADCAST_IDS = 1_000_000
 
 
@@ -91,11 +92,26 @@ def signatures(value: np.ndarray, owner: np.ndarray, sizes: np.ndarray, bands: B
     return np.concatenate(out_sig), np.concatenate(out_owner)
 
 
-def bit_vector(value: np.ndarray, owner: np.ndarray, sets: int) -> np.ndarray:
-    """For each set, BITS parities of token counts."""
-    spot = (hashing.mix(value, 14) % np.uint64(BITS)).astype(np.int64)
-    odd = (np.bincount(owner * BITS + spot, minlength=sets * BITS) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(sets, BITS), axis=1)
+def bit_vectors(value: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """For each set, parities of token counts: BITS of them, or the power of two from its size on."""
+    width = np.maximum(BITS, 2 ** np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    base = np.concatenate(([0], np.cumsum(width)))
+    spot = base[owner] + (hashing.mix(value, 14) & (width[owner] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(spot, minlength=base[-1]) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [packed[x // 8:y // 8] for x, y in zip(base[:-1].tolist(), base[1:].tolist(), strict=True)]
+
+
+def folded(vectors: list[bytes], width: int) -> np.ndarray:
+    """The vectors as rows of ``width`` bytes; a longer one is folded, which leaves the bound valid."""
+    if all(len(v) == width for v in vectors):
+        return np.frombuffer(b"".join(vectors), np.uint64).reshape(len(vectors), -1)
+    out = np.empty((len(vectors), width // 8), np.uint64)
+    for row, v in zip(out, vectors, strict=True):
+        x = np.frombuffer(v, np.uint64)
+        while len(x) > len(row):
+            x = x[:len(x) // 2] ^ x[len(x) // 2:]
+        row[:] = x
+    return out
 
 
 def token_sets(texts: pd.Series, words: hashing.Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,7 +120,7 @@ def token_sets(texts: pd.Series, words: hashing.Words, width: int) -> tuple[np.n
     return value, owner, np.bincount(owner, minlength=len(counts))
 
 
-def slices(frame: pd.DataFrame, chars: int = 2_000_000) -> Iterator[pd.DataFrame]:
+def slices(frame: pd.DataFrame, chars: int = 500_000) -> Iterator[pd.DataFrame]:
     """Stretches of a batch with texts of bounded total length (one text at least)."""
     length = frame["text"].str.len().fillna(0).to_numpy().cumsum()
     cuts = np.unique(np.searchsorted(length, np.arange(chars, (length[-1] if len(length) else 0) + chars, chars), "right"))
@@ -124,10 +140,9 @@ def describe(width: int):
                 content = np.zeros((2, len(frame)), np.uint64)
                 np.add.at(content[0], owner, hashing.mix(value, 21))
                 np.add.at(content[1], owner, hashing.mix(value, 22))
-                vectors = bit_vector(value, owner, len(frame))
                 yield pd.DataFrame({
                     "doc_id": frame["doc_id"], "text_hash": frame["text_hash"], "n_shingles": sizes, "c1": content[0].view(np.int64),
-                    "c2": content[1].view(np.int64), "bits": [v.tobytes() for v in vectors]})
+                    "c2": content[1].view(np.int64), "bits": bit_vectors(value, owner, sizes)})
 
     return run
 
@@ -173,30 +188,48 @@ def linked(percent: int):
     return run
 
 
-def verify(pairs: DataFrame, docs: DataFrame, about: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked. Only sets named by a pair that passes the size and bit bounds are built."""
-    one = about.select("node", F.col("n_shingles").alias("n"), "bits")
-    passing = stage(
-        pairs.join(one.toDF("a", "na", "ba"), "a").join(one.toDF("b", "nb", "bb"), "b")
-        .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        .mapInPandas(close_enough(percent), "a long, b long"), "pairs")
-    ids = stage(passing.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pair-nodes")
+def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The staged pairs (a, b) that are linked. Only sets named by a pair are built."""
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pair-nodes")
     named = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     sets = (
         docs.join(named, docs["doc_id"] == named["node"], "left_semi").mapInPandas(full_sets(width), "node long, tokens binary"))
     sets = stage(sets, "pair-sets")
     return (
-        passing.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+        pairs.select("a", "b").join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         .mapInPandas(linked(percent), "a long, b long").distinct())
 
 
+def resolve(pairs: DataFrame, links: DataFrame | None, docs: DataFrame, about: DataFrame, width: int, percent: int) -> DataFrame:
+    """All links that the pairs add to the components of ``links``. Pairs beyond the size and bit bounds go; the closest
+    pair of each node is verified first, and then only pairs that still cross components."""
+    one = about.select("node", F.col("n_shingles").alias("n"), "bits")
+    passing = stage(
+        pairs.join(one.toDF("a", "na", "ba"), "a").join(one.toDF("b", "nb", "bb"), "b")
+        .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        .mapInPandas(close_enough(percent), "a long, b long, apart int"), "pairs")
+    best_a = passing.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    best_b = passing.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    first = stage(best_a.unionByName(best_b).distinct(), "closest")
+    found = verify(first, docs, width, percent)
+    found = stage(found if links is None else links.unionByName(found), "links")
+    comps = components(found)
+    crossing = stage(
+        passing.join(first, ["a", "b"], "left_anti")
+        .join(comps.toDF("a", "ca"), "a", "left").join(comps.toDF("b", "cb"), "b", "left")
+        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "crossing")
+    return stage(found.unionByName(verify(crossing, docs, width, percent)), "links")
+
+
 def close_enough(percent: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if len(f):
-                x, y = (np.frombuffer(b"".join(f[c]), np.uint64).reshape(len(f), -1) for c in ("ba", "bb"))
-                apart = np.bitwise_count(x ^ y).sum(axis=1)
-                yield f.loc[apart <= most_differing(f["na"].to_numpy(), f["nb"].to_numpy(), percent), ["a", "b"]]
+        for f in (whole.iloc[i:i + ROWS] for whole in frames for i in range(0, len(whole), ROWS)):
+            width = np.minimum(f["ba"].str.len(), f["bb"].str.len()).to_numpy()
+            for w in np.unique(width).tolist():
+                g = f[width == w]
+                apart = np.bitwise_count(folded(g["ba"].tolist(), w) ^ folded(g["bb"].tolist(), w)).sum(axis=1)
+                keep = apart <= most_differing(g["na"].to_numpy(), g["nb"].to_numpy(), percent)
+                yield g.loc[keep, ["a", "b"]].assign(apart=apart[keep].astype("int32"))
 
     return run
 
@@ -204,34 +237,44 @@ def close_enough(percent: int):
 def across(percent: int):
     """Pairs of a sorted stream of cells that cross components and pass the bounds."""
 
-    def pairs(cell: pd.DataFrame) -> pd.DataFrame:
-        node, comp, n, side = (cell[c].to_numpy() for c in ("node", "comp", "n_shingles", "side"))
-        bits = np.frombuffer(b"".join(cell["bits"]), np.uint64).reshape(len(cell), -1)
+    def pairs(node, comp, n, side, bits):
         names, sizes = np.unique(comp, return_counts=True)
-        found = []
-        for i in np.flatnonzero(comp != names[sizes.argmax()]):  # any pair across components has such a row
-            near = (comp != comp[i]) & (side != side[i] if side[i] else True)
-            others = np.flatnonzero(near & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
+        if len(names) < 2:
+            return
+        for i in np.flatnonzero(comp != names[sizes.argmax()]).tolist():  # any pair across components has such a row
+            near = (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+            others = np.flatnonzero(near & (side != side[i]) if side[i] else near)
             if others.size:
                 apart = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1)
                 hit = others[apart <= most_differing(n[others], n[i], percent)]
-                found.append(np.stack((np.minimum(node[hit], node[i]), np.maximum(node[hit], node[i]))))
-        both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"a": both[0], "b": both[1]})
+                if hit.size:
+                    yield np.minimum(node[hit], node[i]), np.maximum(node[hit], node[i])
+
+    def cells(frame: pd.DataFrame, last: bool) -> tuple[list, pd.DataFrame]:
+        key = frame[["sig", "i", "j"]].to_numpy()
+        cuts = (np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist() + [len(key)] * last
+        node, comp, n, side = (frame[c].to_numpy() for c in ("node", "comp", "n_shingles", "side"))
+        bits = frame["bits"].tolist()
+        found, start = [], 0
+        for end in cuts:
+            own = bits[start:end]
+            found += pairs(*(x[start:end] for x in (node, comp, n, side)), folded(own, min(map(len, own))))
+            start = end
+        return found, frame.iloc[start:]
+
+    def table(found: list) -> pd.DataFrame:
+        both = np.concatenate([np.stack(x, axis=1) for x in found]) if found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame(np.unique(both, axis=0), columns=["a", "b"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for frame in frames:
             frame = frame if held is None else pd.concat((held, frame), ignore_index=True)
-            key = frame[["sig", "i", "j"]].to_numpy()
-            if not len(key):
-                continue
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            for a, b in zip(np.concatenate(([0], cuts[:-1])), cuts, strict=False) if len(cuts) else ():
-                yield pairs(frame.iloc[a:b])
-            held = frame.iloc[cuts[-1] if len(cuts) else 0:]
+            if len(frame):
+                found, held = cells(frame, last=False)
+                yield table(found)
         if held is not None and len(held):
-            yield pairs(held)
+            yield table(cells(held, last=True)[0])
 
     return run
 
@@ -260,7 +303,8 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
         held.select("sig", "node", F.count(F.lit(1)).over(by_sig).alias("n"), F.min("node").over(by_sig).alias("hub"))
         .where("n > 1"), "shared")
     star = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = stage(verify(star, docs, about, width, percent), "links")
+    star = stage(star, "star")
+    links = resolve(star, None, docs, about, width, percent)
 
     comps = components(links)
     labelled = shared.where("n > 2").join(comps, "node", "left").select(
@@ -278,10 +322,10 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
         .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     )
     rest = cells.mapInPandas(across(percent), "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
-    more = verify(rest, docs, about, width, percent)
+    links = resolve(rest, links, docs, about, width, percent)
     # copies are linked to their representative; so are all texts of an id
     by_text = alike.select(F.col("node").alias("a"), F.col("doc_id").alias("b")).where("a != b").distinct()
-    comp = components(links.unionByName(more).unionByName(by_text)).toDF("doc_id", "c")
+    comp = components(links.unionByName(by_text)).toDF("doc_id", "c")
     return rows.join(comp, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
 
