@@ -148,7 +148,7 @@ def lookups(pattern: str, buckets: int) -> Callable:
                 chosen = [raw[n] for n in numbers]
                 lengths = np.fromiter(map(len, chosen), "u4", len(chosen))
                 rows.append((bucket, block, mark, pack(np.diff(np.array(numbers), prepend=0)),
-                             join_parts(pack(lengths), b"".join(chosen))))
+                             join_parts(pack(lengths), pack_bytes(b"".join(chosen)))))
             yield pd.DataFrame(rows, columns=["bucket", "block", "mark", "numbers", "words"])
 
     return run
@@ -170,6 +170,7 @@ def answers(ranks) -> Callable:
         table, known, rows = ranks.value, {}, []
         for block, mark, numbers, blob in zip(group["block"], group["mark"], group["numbers"], group["words"], strict=True):
             head, body = cut_parts(blob)
+            body = unpack_bytes(body)
             lengths, ids, at = [], [], 0
             for n in unpack(head).tolist():
                 word = body[at:at + n]
@@ -198,6 +199,14 @@ def places(pattern: str) -> Callable:
     return run
 
 
+def pack_bytes(body: bytes) -> bytes:
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def unpack_bytes(blob: bytes) -> bytes:
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+
+
 def gather(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The stretches values[start : start + length], one after the other."""
     total = int(length.sum())
