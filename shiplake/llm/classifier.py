@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shiplake.llm.common import SPACE, WORD, words
+from shiplake.llm.common import SPACE, WORD, hash_sample, words
 
 FEATURES = (
     "log_words", "word_length", "symbols", "exclamations", "bars", "capitals", "digits", "distinct_words", "stops",
@@ -184,10 +184,11 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
     """The model, from at most ``sample`` labelled rows that are not held out."""
-    chosen = (
+    known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        .groupBy("doc_id").agg(F.max("quality").alias("quality"))
     )
+    chosen = hash_sample(known, sample, "doc_id")
     rows = with_features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).select(*FEATURES, "quality").toPandas()
     return train(rows[list(FEATURES)].to_numpy(float), rows["quality"].to_numpy(float))
 

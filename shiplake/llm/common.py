@@ -29,3 +29,11 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def hash_sample(frame: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """At most ``rows`` rows, those of least hash of ``columns``. A cut at twice the wanted share comes first, so that
+    each task offers few rows however many tasks there are."""
+    place, total = F.pmod(F.xxhash64(*columns), F.lit(1 << 40)), frame.count()
+    cut = frame.where(place < min(1 << 40, (1 << 40) * (2 * rows + 100) // max(total, 1)))
+    return cut.orderBy(place, *columns).limit(rows)

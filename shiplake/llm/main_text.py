@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from shiplake.llm.common import hash_sample
 from shiplake.llm.dom import Tree, read_page
 
 # Words of class, id and role attributes that name a region.
@@ -208,7 +209,7 @@ def train(pages: list[str], strength: float = 4.0, rounds: int = 30) -> Model:
 def fit(pages: DataFrame, sample: int = 400, longest: int = 200_000) -> Model:
     """The model, from the bounded sample described above."""
     marked = pages.where(F.col("html").rlike(r"(?i)<(article|main)[\s>]") & (F.length("html") <= longest))
-    rows = marked.orderBy(F.xxhash64("html"), "html").select("html").limit(sample).collect()
+    rows = hash_sample(marked.select("html"), sample, "html").collect()
     return train([r["html"] for r in rows])
 
 
