@@ -33,7 +33,8 @@ WIDTH = 5
 HASHES = 4
 ENOUGH = 2
 AROUND = 12
-GAP = 10
+LISTED = 2_000_000  # occurrences listed at once
+DISTANCE = 0.05  # what a chain pays for a skipped shingle
 BROADCAST_ROWS = 1_000_000
 SPANS = ("doc_id long, text_hash long, start_word long, n_words long, source_id long, source_start long, "
          "source_words long, similarity double")
@@ -106,46 +107,119 @@ def agreed(matches: list, width: int) -> bool:
     return False
 
 
+def diagonal_runs(a: np.ndarray, b: np.ndarray, codes: int) -> np.ndarray:
+    """(start in a, start in b, length) of every maximal word-for-word run, whatever its place in the source: each
+    occurrence of a shingle counts. Few occurrences are listed and sorted; many are found diagonal by diagonal."""
+    n, m = len(a), len(b)
+    counts = np.bincount(b, minlength=codes)
+    times = counts[a]
+    if times.sum() <= LISTED:
+        i = np.repeat(np.arange(n), times)
+        within = np.arange(len(i)) - np.repeat(np.cumsum(times) - times, times)
+        j = np.argsort(b, kind="stable")[np.repeat((np.cumsum(counts) - counts)[a], times) + within]
+        key = np.sort((j - i + n) * (n + 1) + i)
+        first = np.flatnonzero(np.diff(key, prepend=-2) != 1)
+        i = key[first] % (n + 1)
+        return np.column_stack((i, key[first] // (n + 1) - n + i, np.diff(np.append(first, len(key)))))
+    found = []
+    for off in range(1 - n, m):
+        i = max(0, -off)
+        same = a[i:min(n, m - off)] == b[i + off:min(m, n + off)]
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], same.view(np.int8), [0]))))
+        if len(edge):
+            found.append(np.column_stack((edge[::2] + i, edge[::2] + i + off, edge[1::2] - edge[::2])))
+    return np.concatenate(found)
+
+
+def chains(i: np.ndarray, j: np.ndarray, n: np.ndarray) -> Iterator[list[int]]:
+    """Runs in the order of both texts, best chain first; every run is on one of them."""
+    score, before = n.astype(float), np.full(len(n), -1)
+    ends, their = i + n, j + n
+    for t in range(1, len(n)):
+        gap = np.maximum(i[t] - ends[:t], 0) + np.maximum(j[t] - their[:t], 0)
+        again = np.maximum(np.maximum(ends[:t] - i[t], their[:t] - j[t]), 0)
+        value = np.where((j[:t] < j[t]) & (i[:t] < i[t]) & (again < n[t]), score[:t] - again - DISTANCE * gap, 0)
+        best = int(value.argmax())
+        if value[best] > 0:
+            score[t], before[t] = score[t] + value[best], best
+    seen = np.zeros(len(n), bool)
+    for t in np.argsort(-score, kind="stable").tolist():
+        if not seen[t]:
+            chain = []
+            while t >= 0:
+                seen[t] = True
+                chain.append(t)
+                t = int(before[t])
+            yield chain[::-1]
+
+
+def previous(codes: np.ndarray) -> np.ndarray:
+    """The place where each value stood before, or -1."""
+    order = np.argsort(codes, kind="stable")
+    out = np.full(len(codes), -1)
+    same = codes[order[1:]] == codes[order[:-1]]
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
+
 def shared_runs(a: np.ndarray, b: np.ndarray, width: int, least: float) -> list[tuple[int, int, int, int, float]]:
-    """(start, end, start, end, Jaccard) of runs of shared shingles, in shingle numbers of a and of b."""
-    order = np.argsort(b, kind="stable")
-    at = np.searchsorted(b, a, sorter=order)
-    at[at == len(b)] = 0
-    hit = b[order[at]] == a
-    places = np.flatnonzero(hit)
-    if len(places) < least * width:
+    """(start, end, start, end, Jaccard) of alike stretches, in shingle numbers of a and of b. Every stretch between two
+    runs of a chain is judged by its exact Jaccard, however wide the gaps inside; longest first, those that reach a place
+    of a that no other reached are kept."""
+    names, both = np.unique(np.concatenate((a, b)), return_inverse=True)
+    a, b = both[:len(a)], both[len(a):]
+    in_a, in_b = np.zeros((2, len(names)), bool)
+    in_a[a], in_b[b] = True, True
+    if not (in_a & in_b).any():
         return []
-    partner = order[at[places]]
-
-    def judged(pick: slice):
-        p, q = places[pick], partner[pick]
-        off = q - p
-        near = np.abs(off - np.median(off)) <= 16 + len(p) // 8
-        p, q = p[near], q[near]
-        if not len(p):
-            return None
-        s, e, hs, he = p[0], p[-1], q.min(), q.max()
-        x, y = np.unique(a[s:e + 1]), np.unique(b[hs:he + 1])
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return int(s), int(e), int(hs), int(he), both / (len(x) + len(y) - both)
-
-    def split(lo: int, hi: int, gap: int) -> list[slice]:
-        steps = (np.diff(places[lo:hi]) > gap) | ((np.diff(partner[lo:hi]) != 1) if gap == 1 else False)
-        cuts = np.flatnonzero(steps) + 1 + lo
-        return [slice(s, e) for s, e in zip([lo, *cuts], [*cuts, hi], strict=True)]
-
-    found = []
-    for run in split(0, len(places), GAP):
-        if places[run][-1] - places[run][0] + 1 < width:
-            continue
-        got = judged(run)
-        if got and got[4] >= least and got[1] - got[0] + 1 >= width:
-            found.append(got)
+    runs = diagonal_runs(a, b, len(names))
+    runs = runs[np.lexsort((runs[:, 1], runs[:, 0]))]
+    i, j, n = runs.T
+    last, their_last = i + n - 1, j + n - 1
+    before_a, before_b = previous(a), previous(b)
+    hits = np.concatenate(([0], np.cumsum(in_b[a])))
+    lost_a = np.concatenate(([0], np.cumsum(~in_b[a] & (before_a < 0))))
+    lost_b = np.concatenate(([0], np.cumsum(~in_a[b] & (before_b < 0))))
+    place = np.full(len(names), len(b))
+    reached, found = np.zeros(len(a), bool), []
+
+    def bridged(chain: np.ndarray) -> Iterator[np.ndarray]:
+        """Parts of a chain; it is split where shingles that the other text lacks outweigh all that it could share."""
+        todo = [chain]
+        while todo:
+            part = todo.pop()
+            x, y = part[:-1], part[1:]
+            lost = (np.maximum(lost_a[i[y]] - lost_a[last[x] + 1], 0) + np.maximum(lost_b[j[y]] - lost_b[their_last[x] + 1], 0))
+            cuts = np.flatnonzero(lost * least > (hits[last[part[-1]] + 1] - hits[i[part[0]]]) * (1 - least) + 1e-6) + 1
+            if len(cuts):
+                todo += np.split(part, cuts)
+            else:
+                yield part
+
+    def judged(part: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        for k, first in enumerate(part):
+            s, hs, e, he = i[first], j[first], last[part[k:]], their_last[part[k:]]
+            if e[-1] - s + 1 < width:
+                return
+            new_a, new_b = before_a[s:e[-1] + 1] < s, before_b[hs:he[-1] + 1] < hs
+            x, y = a[s:e[-1] + 1][new_a], b[hs:he[-1] + 1][new_b]
+            place[y] = np.flatnonzero(new_b) + hs
+            at, theirs = np.flatnonzero(new_a) + s, place[x]
+            place[y] = len(b)
+            common = theirs < len(b)
+            by = np.maximum(np.searchsorted(e, at[common]), np.searchsorted(he, theirs[common]))
+            shared = np.cumsum(np.bincount(by, minlength=len(e)))
+            jaccard = shared / (np.cumsum(new_a)[e - s] + np.cumsum(new_b)[he - hs] - shared)
+            for t in np.flatnonzero((jaccard >= least) & (e - s + 1 >= width)).tolist():
+                yield int(s), int(e[t]), int(hs), int(he[t]), float(jaccard[t])
+
+    for chain in chains(i, j, n):
+        if last[chain[-1]] - i[chain[0]] + 1 < width or reached[i[chain[0]]:last[chain[-1]] + 1].all():
             continue
-        for part in split(run.start, run.stop, 1):  # not alike as a whole: its word-for-word parts
-            if part.stop - part.start >= width:
-                got = judged(part)
-                if got and got[4] >= least:
+        for part in bridged(np.array(chain)):
+            for got in sorted(judged(part), key=lambda g: (g[0] - g[1], -g[4])):
+                if not reached[got[0]:got[1] + 1].all():
+                    reached[got[0]:got[1] + 1] = True
                     found.append(got)
     return found
 

@@ -165,6 +165,18 @@ def test_repeats_of_fifty_words(docs, corpus, no_docs):
     assert passages.repeated_passages(no_docs).count() == 0
 
 
+def shared_words(a, b):
+    found = passages.shared_runs(np.array(a, np.uint64), np.array(b, np.uint64), 46, 0.8)
+    return {i for s, e, *_ in found for i in range(s, e + 1)}, found
+
+
+def test_edge_of_a_passage_stands_earlier_in_the_source():
+    passage = list(range(1000, 1051))
+    for edge in (1, 11):
+        source = passage[:edge] + list(range(2000, 2300)) + passage + list(range(3000, 3100))
+        assert shared_words(list(range(60)) + passage + list(range(100, 160)), source)[0] == set(range(60, 111))
+
+
 def test_repeats_are_cut_once(spark):
     rng = random.Random(3)
     shared, a, b, c = (sentence(rng, 60) for _ in range(4))
