@@ -177,6 +177,17 @@ def test_edge_of_a_passage_stands_earlier_in_the_source():
         assert shared_words(list(range(60)) + passage + list(range(100, 160)), source)[0] == set(range(60, 111))
 
 
+def test_every_passage_of_a_run_is_found():
+    x, y = list(range(1000, 1056)), list(range(2000, 2051))
+    for between in ([], [6001, 6002, 6003]):
+        source = list(range(100)) + x + list(range(3000, 3100)) + y + list(range(4000, 4100))
+        words, found = shared_words([5007, 5008, *x, *between, *y, 5009], source)
+        at = 2 + len(x) + len(between)
+        assert words == {*range(2, 2 + len(x)), *range(at, at + len(y))} and len(found) == 2
+    parts = [list(range(1000 * k, 1000 * k + 50)) for k in range(1, 7)]
+    assert len(shared_words(sum(parts, []), sum(parts[::-1], []))[0]) == 300
+
+
 def test_repeats_are_cut_once(spark):
     rng = random.Random(3)
     shared, a, b, c = (sentence(rng, 60) for _ in range(4))
