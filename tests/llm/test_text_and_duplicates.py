@@ -188,6 +188,19 @@ def test_every_passage_of_a_run_is_found():
     assert len(shared_words(sum(parts, []), sum(parts[::-1], []))[0]) == 300
 
 
+def test_edited_passages_are_found():
+    text = list(range(1000, 1096))
+    gap = text[:43] + list(range(5000, 5010)) + text[53:]  # six words replaced: 10 shingles, Jaccard 86 / 106
+    apart = text[:43] + list(range(5000, 5005)) + text[48:49] + list(range(5005, 5010)) + text[54:]
+    for edited in (gap, apart):
+        words, found = shared_words([1, 2, *text, 3], [4, 5, 6, *edited, 7])
+        assert words == set(range(2, 98)) and found[0][4] >= 0.8
+    # the edited passage goes on into a stretch of which little is left
+    rest = list(range(2000, 2200))
+    worn = [x if k % 12 < 3 else x + 5000 for k, x in enumerate(rest)]
+    assert shared_words(text + rest, gap + worn)[0] >= set(range(96))
+
+
 def test_repeats_are_cut_once(spark):
     rng = random.Random(3)
     shared, a, b, c = (sentence(rng, 60) for _ in range(4))
