@@ -6,10 +6,15 @@ centre's hash is the least of each of them. Windows narrower than the shortest p
 about 2n / width of them. Two texts with a common passage of that length have, for every hash function, windows with
 the same least hash around the same place.
 
-Windows meet by that hash. A hash shared by n windows gives n - 1 pairs with the earliest text, and the windows with the
-same surroundings give as many with the earliest of those; never all pairs. The windows of a pair of texts are joined
-as intervals: stretches that enough hash functions agree on are candidates. Verification takes both whole texts, finds
-runs of shared shingles, and keeps runs of at least ``least_words`` words whose shingle sets have Jaccard >= 0.8.
+Windows meet by that hash. Each is paired with the earliest text that holds it and with the earliest of those with the
+same surroundings. The windows of a pair of texts are joined as intervals: stretches that enough hash functions agree on
+are candidates. Verification takes both whole texts, finds word-for-word runs on every diagonal, joins them in chains, and
+keeps the stretches of chains of at least ``least_words`` words whose shingle sets have Jaccard >= 0.8.
+
+Windows whose centre no verified passage reaches are looked at again, against every earlier window of their hash, in cells
+of bounded size. A stretch of the shortest length around the centre that another place holds at 0.8 shares a least number
+of shingles with it, hence of bits in a vector of its surroundings; pairs that share as many are verified, the closest of
+each window first, then all that windows still without a passage have. Windows with equal surroundings go as one.
 Texts that are copies form one class; its earliest row stands for it and the others are reported as whole repeats.
 
 Defined cases: null, empty and shorter texts have no passage. Rows with a null id take no part. Rows that share an id
@@ -19,11 +24,13 @@ Other columns of the input are ignored, or passed on by ``remove_repeats``.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shiplake.llm import hashing
@@ -35,9 +42,13 @@ ENOUGH = 2
 AROUND = 12
 LISTED = 2_000_000  # occurrences listed at once
 DISTANCE = 0.05  # what a chain pays for a skipped shingle
+BITS = 1024
+CELL = 2048
 BROADCAST_ROWS = 1_000_000
 SPANS = ("doc_id long, text_hash long, start_word long, n_words long, source_id long, source_start long, "
          "source_words long, similarity double")
+PAIRS = "doc_id long, text_hash long, source_id long, source_hash long"
+DRAWN = "sig long, doc_id long, text_hash long, c int, seeks boolean, around long, need float, bits binary"
 
 
 def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
@@ -224,6 +235,17 @@ def shared_runs(a: np.ndarray, b: np.ndarray, width: int, least: float) -> list[
     return found
 
 
+def agreeing(least_words: int):
+    """The pairs of texts whose windows agree."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.loc[[agreed(m, least_words - WIDTH + 1) for m in frame["matches"]],
+                            ["doc_id", "text_hash", "source_id", "source_hash"]]
+
+    return run
+
+
 def check_pairs(least_words: int, least: float):
     width = least_words - WIDTH + 1
 
@@ -232,8 +254,6 @@ def check_pairs(least_words: int, least: float):
         for frame in frames:
             out = []
             for row in frame.itertuples(index=False):
-                if not agreed(row.matches, width):
-                    continue
                 a, b = (hashing.shingles(h, np.array([len(h)]), WIDTH, short_whole=False)[0]
                         for h in (words.of(row.text, True), words.of(row.source_text, True)))
                 for s, e, hs, he, similarity in shared_runs(a, b, width, least):
@@ -243,6 +263,75 @@ def check_pairs(least_words: int, least: float):
     return run
 
 
+def fewest_distinct(codes: np.ndarray, width: int) -> np.ndarray:
+    """Number of distinct values of each stretch of ``width``."""
+    n, at = len(codes), np.arange(len(codes))
+    low = np.maximum(np.maximum(previous(codes) + 1, at - width + 1), 0)
+    change = np.bincount(low, minlength=n + 1) - np.bincount(at + 1, minlength=n + 1)
+    return np.cumsum(change)[:n - width + 1]
+
+
+def sketch(least_words: int, least: float):
+    """For each window a bit vector and a hash of its surroundings, and the number of bits (``need``) that they share
+    with every place that holds some stretch of the least length around the centre at ``least``."""
+    width = least_words - WIDTH + 1
+    reach = math.ceil(width / least)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = hashing.Words()
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                h = words.of(row.text, True)
+                value = hashing.shingles(h, np.array([len(h)]), WIDTH, short_whole=False)[0]
+                spot = (hashing.mix(value, 31) & np.uint64(BITS - 1)).astype(np.int64)
+                need = fewest_distinct(spot, width) - (1 - least) * fewest_distinct(value, width)
+                places = list(row.places)
+                for some in (places[x:x + 1000] for x in range(0, len(places), 1000)):
+                    sig, c, left, right, seeks = (np.array([q[f] for q in some]) for f in ("sig", "c", "l", "r", "seeks"))
+                    lo, hi = np.maximum(left, c - reach), np.minimum(right, c + reach)
+                    bits, around = np.zeros((len(some), BITS), np.uint8), []
+                    for k, (x, y) in enumerate(zip(lo.tolist(), hi.tolist(), strict=True)):
+                        bits[k, spot[x:y + 1]] = 1
+                        around.append(xxhash.xxh64_intdigest(value[x:y + 1].tobytes()) >> 1)
+                    low = [need[x:y + 1].min() for x, y in zip(
+                        np.maximum(left, c - width + 1).tolist(), np.minimum(c, right - width + 1).tolist(), strict=True)]
+                    yield pd.DataFrame({
+                        "sig": sig, "doc_id": row.doc_id, "text_hash": row.text_hash, "c": c.astype("i4"), "seeks": seeks.astype(bool),
+                        "around": around, "need": np.array(low, np.float32),
+                        "bits": [v.tobytes() for v in np.packbits(bits, axis=1)]})
+
+    return run
+
+
+def closer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of a sorted stream of cells, the windows that seek a source with the earlier places that share enough bits."""
+
+    def cell(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        doc, side, need = (f[c].to_numpy() for c in ("doc_id", "side", "need"))
+        bits = np.frombuffer(b"".join(f["bits"]), np.uint64).reshape(len(f), -1)
+        for i in np.flatnonzero(f["seeks"].to_numpy()).tolist():
+            others = np.flatnonzero((doc < doc[i]) & ((side != side[i]) if side[i] else True))
+            if others.size:
+                both = np.bitwise_count(bits[others] & bits[i]).sum(axis=1)
+                hit = others[both + 1e-3 >= need[i]]
+                if hit.size:
+                    yield pd.DataFrame({
+                        "doc_id": doc[i], "text_hash": f["text_hash"].iat[i], "c": f["c"].iat[i], "source_id": doc[hit],
+                        "source_hash": f["text_hash"].to_numpy()[hit], "score": both[both + 1e-3 >= need[i]].astype("i4")})
+
+    held = None
+    for frame in frames:
+        held = frame if held is None else pd.concat((held, frame), ignore_index=True)
+        key = held[["sig", "i", "j"]].to_numpy()
+        cuts = (np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()
+        found = [g for x, y in zip([0, *cuts], cuts) for g in cell(held.iloc[x:y])]
+        if found:
+            yield pd.concat(found, ignore_index=True)
+        held = held.iloc[cuts[-1] if cuts else 0:].reset_index(drop=True)
+    if held is not None and len(held):
+        yield from cell(held)
+
+
 def small(frame: DataFrame) -> DataFrame:
     """The staged table, marked for broadcast only below a row bound."""
     return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
@@ -268,26 +357,77 @@ def repeated_passages(docs: DataFrame, least_words: int = 50, least: float = 0.8
     me = F.struct("doc_id", "c", "l", "r", "text_hash")
     by_sig, by_place = Window.partitionBy("sig"), Window.partitionBy("sig", "near")
     met = windows.withColumns({"n": F.count(F.lit(1)).over(by_sig), "first": F.min(me).over(by_sig)}).where("n > 1")
-    met = met.withColumn("here", F.min(me).over(by_place))
-    shared = stage(met.where("doc_id != first.doc_id").withColumn(
-        "hub", F.when(F.col("doc_id") == F.col("here.doc_id"), F.col("first")).otherwise(F.col("here")))
-        .select("doc_id", "text_hash", "k", "l", "c", "r", "hub"), "passage-windows")
+    shared = stage(met.withColumn("here", F.min(me).over(by_place)).drop("near"), "passage-windows")
     pairs = stage(
-        shared.groupBy("doc_id", "text_hash", F.col("hub.doc_id").alias("source_id"), F.col("hub.text_hash").alias("source_hash"))
+        shared.withColumn("hub", F.explode(F.array_distinct(F.array("first", "here")))).where("doc_id != hub.doc_id")
+        .groupBy("doc_id", "text_hash", F.col("hub.doc_id").alias("source_id"), F.col("hub.text_hash").alias("source_hash"))
         .agg(F.collect_list(F.struct("k", "l", "c", "r", F.col("hub.c").alias("hc"), F.col("hub.l").alias("hl"),
                                      F.col("hub.r").alias("hr"))).alias("matches"))
-        .where(F.size(F.array_distinct(F.transform("matches", lambda m: m["k"]))) >= ENOUGH), "passage-pairs")
+        .where(F.size(F.array_distinct(F.transform("matches", lambda m: m["k"]))) >= ENOUGH)
+        .mapInPandas(agreeing(least_words), PAIRS), "passage-pairs")
+    spans = stage(verify(pairs, docs, least_words, least), "passage-spans")
+    more = further_pairs(shared, spans, pairs, docs, least_words, least)
+    key = ["doc_id", "text_hash", "c"]
+    closest = stage(
+        more.groupBy(*key).agg(F.max_by(F.struct("source_id", "source_hash"), "score").alias("m"))
+        .select("doc_id", "text_hash", "m.*").distinct(), "passage-closest")
+    spans = stage(spans.unionByName(verify(closest, docs, least_words, least)), "passage-spans")
+    rest = without_source(more, spans).select(*closest.columns).distinct().join(closest, closest.columns, "left_anti")
+    return whole.unionByName(spans).unionByName(verify(stage(rest, "passage-rest"), docs, least_words, least))
+
+
+def verify(pairs: DataFrame, docs: DataFrame, least_words: int, least: float) -> DataFrame:
+    """The passages of the staged pairs of texts."""
     ids = stage(pairs.select(F.explode(F.array(F.struct("doc_id", "text_hash"), F.struct(
         F.col("source_id").alias("doc_id"), F.col("source_hash").alias("text_hash")))).alias("x")).select("x.*").distinct(), "passage-ids")
     named = docs.join(small(ids), ["doc_id", "text_hash"], "left_semi").distinct()
-    checked = (
+    return (
         pairs.join(named, ["doc_id", "text_hash"])
         .join(named.select(F.col("doc_id").alias("source_id"), F.col("text_hash").alias("source_hash"),
                            F.col("text").alias("source_text")), ["source_id", "source_hash"])
-        .select("doc_id", "text_hash", "text", "source_id", "source_text", "matches")
+        .select("doc_id", "text_hash", "text", "source_id", "source_text")
         .mapInPandas(check_pairs(least_words, least), SPANS)
     )
-    return whole.unionByName(checked)
+
+
+def without_source(places: DataFrame, spans: DataFrame) -> DataFrame:
+    """The places (doc_id, text_hash, c) that no span reaches."""
+    reached = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
+        F.col("start_word").alias("s"), (F.col("start_word") + F.col("n_words") - WIDTH).alias("e"))).alias("_spans"))
+    return places.join(reached, ["doc_id", "text_hash"], "left").where(
+        F.col("_spans").isNull() | ~F.exists("_spans", lambda x: F.col("c").between(x["s"], x["e"]))).drop("_spans")
+
+
+def further_pairs(shared: DataFrame, spans: DataFrame, tried: DataFrame, docs: DataFrame, least_words: int, least: float) -> DataFrame:
+    """doc_id, text_hash, c, source_id, source_hash, score: windows that verification left without a source, with the
+    other earlier holders of their signature that pass the bit bound. Places with the same surroundings are one class."""
+    many = shared.where("n > 2").select("sig", "doc_id", "text_hash", "l", "c", "r", F.col("first.doc_id").alias("least"))
+    seeking = stage(without_source(many.where("doc_id != least"), spans).select("sig", "doc_id", "text_hash", "c"), "passage-seeking")
+    places = stage(
+        many.join(seeking.select("sig").distinct(), "sig").join(
+            seeking.withColumn("seeks", F.lit(True)), ["sig", "doc_id", "text_hash", "c"], "left")
+        .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
+            "sig", "c", "l", "r", F.coalesce("seeks", F.lit(False)).alias("seeks"))).alias("places")), "passage-places")
+    texts = docs.join(small(places.select("doc_id", "text_hash")), ["doc_id", "text_hash"], "left_semi").distinct()
+    drawn = stage(texts.join(places, ["doc_id", "text_hash"]).mapInPandas(sketch(least_words, least), DRAWN), "passage-sketches")
+    one = F.struct("doc_id", "text_hash", (~F.col("seeks")).alias("idle"), "c", "need", "bits")
+    heads = stage(drawn.groupBy("sig", "around").agg(F.min(one).alias("m")).select("sig", "around", "m.*"), "passage-heads")
+    alike = (
+        drawn.where("seeks").select("sig", "around", "doc_id", "text_hash", "c")
+        .join(heads.select("sig", "around", F.col("doc_id").alias("source_id"), F.col("text_hash").alias("source_hash")), ["sig", "around"])
+        .where("doc_id != source_id").select("doc_id", "text_hash", "c", "source_id", "source_hash", F.lit(BITS).alias("score")))
+    blocks = heads.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min("idle").alias("idle")).where("n > 1 and not idle").select(
+        "sig", (F.floor((F.col("n") - 1) / CELL) + 1).alias("blocks"))
+    cells = (
+        heads.join(blocks, "sig").withColumn("own", F.pmod(F.xxhash64("doc_id", "around"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
+                "doc_id", "text_hash", "c", "need", "bits", (~F.col("idle")).alias("seeks"))
+        .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j"))
+    found = cells.mapInPandas(closer, PAIRS + ", c int, score int").unionByName(alike)
+    keys = ["doc_id", "text_hash", "source_id", "source_hash"]
+    return stage(found.groupBy(*keys, "c").agg(F.max("score").alias("score")).join(tried, keys, "left_anti"), "passage-further")
 
 
 def cut_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

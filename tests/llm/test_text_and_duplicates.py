@@ -201,6 +201,22 @@ def test_edited_passages_are_found():
     assert shared_words(text + rest, gap + worn)[0] >= set(range(96))
 
 
+def test_earlier_texts_with_a_part_hide_no_source(spark):
+    """Document 1 of each case holds 45 words of a 60-word passage, too few; two later ones hold all of it."""
+    rng = random.Random(12)
+    rows, edited = [], set()
+    for case in range(0, 600, 10):
+        p = sentence(rng, 60).split()
+        near = list(p) if case % 20 else [*p[:29], sentence(rng, 1), *p[30:]]
+        for i, words in ((1, p[:45]), (2, p[20:]), (5, p), (9, near)):
+            rows.append((case + i, " ".join([sentence(rng, 30), *words, sentence(rng, 30)])))
+        edited |= {case + 9} if near != p else set()
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), 50, 0.8).collect()
+    whole = {r.doc_id for r in got if r.doc_id - r.source_id == 4 and r.start_word <= 30 and r.start_word + r.n_words >= 90}
+    by_hand = {i for i, _ in rows if i % 10 == 9}
+    assert by_hand - edited <= whole and len(whole) >= 0.97 * len(by_hand) and whole <= by_hand
+
+
 def test_repeats_are_cut_once(spark):
     rng = random.Random(3)
     shared, a, b, c = (sentence(rng, 60) for _ in range(4))
