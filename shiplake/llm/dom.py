@@ -8,7 +8,7 @@ from html import unescape
 
 # Element names as the HTML standard groups them.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "select", "object", "xmp"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "xmp"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "div", "dl",
     "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup",

@@ -244,6 +244,12 @@ def test_main_text(html, text):
     assert main_text.train([]).main_text(html) == text
 
 
+@pytest.mark.parametrize("tag", ["math", "object"])
+def test_text_inside_formulas_and_objects_stays(tag):
+    html = f"<article><p>{LONG} Then <{tag}>a + b</{tag}> holds.</p><{tag} data=x><p>{LONG}</p></{tag}></article>"
+    assert main_text.train([]).main_text(html) == f"{LONG} Then a + b holds.\n\n{LONG}"
+
+
 def test_messages_give_exact_marginals():
     """Sum-product against the sum over all labellings."""
     html = "<div><p>One two three. <p class=ad>x<ul><li><a>y</a><li>z</ul></div>"
