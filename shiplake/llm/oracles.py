@@ -108,4 +108,115 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_pivot_search": OP1, "op5_quality_rules": OP5, "op6_jaccard_join": OP6}
+# crc32 of a number's decimal digits: every byte enters and is followed by eight shifts
+CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+    string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, s: CASE WHEN s >= 0 THEN xor(crc, s) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END), 4294967295)"""
+
+OP11 = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, {CRC32} % 4 AS part,
+         ' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}]+', ' ', 'g')) || ' ' AS body
+  FROM documents
+), chars AS (
+  SELECT rid, unnest(string_split(body, '')) AS c, generate_subscripts(string_split(body, ''), 1) AS pos
+  FROM texts WHERE length(body) > 2
+), placed AS (
+  SELECT rid, unicode(c)::BIGINT AS a, lead(unicode(c)::BIGINT, 1) OVER w AS b, lead(unicode(c)::BIGINT, 2) OVER w AS d
+  FROM chars WINDOW w AS (PARTITION BY rid ORDER BY pos)
+), grams AS (
+  SELECT rid, gram, count(*) AS n FROM (
+    SELECT rid, a AS gram FROM placed WHERE a <> 32
+    UNION ALL SELECT rid, a * 2097152 + b FROM placed WHERE b IS NOT NULL
+    UNION ALL SELECT rid, (a * 2097152 + b) * 2097152 + d FROM placed WHERE d IS NOT NULL AND b <> 32
+  ) GROUP BY rid, gram
+), profiles AS (
+  SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY sum(n) DESC, gram) - 1 AS place
+  FROM grams JOIN texts USING (rid) WHERE lang IS NOT NULL AND part <> 2 GROUP BY lang, gram
+  QUALIFY place < 300
+), own AS (
+  SELECT rid, gram, row_number() OVER (PARTITION BY rid ORDER BY n DESC, gram) - 1 AS place FROM grams QUALIFY place < 300
+), distances AS (
+  SELECT rid, l.lang, sum(coalesce(abs(o.place - p.place), 300))::BIGINT AS distance, count(*) AS grams
+  FROM own o CROSS JOIN (SELECT DISTINCT lang FROM profiles) l LEFT JOIN profiles p ON p.lang = l.lang AND p.gram = o.gram
+  GROUP BY rid, l.lang
+), best AS (
+  SELECT * FROM distances QUALIFY row_number() OVER (PARTITION BY rid ORDER BY distance, lang) = 1
+)
+SELECT doc_id, coalesce(part = 2, false) AS held_out, coalesce(best.lang, 'und') AS lang_pred,
+       CASE WHEN best.lang IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE - distance::DOUBLE / (300 * grams)::DOUBLE END AS score
+FROM texts LEFT JOIN best USING (rid)
+"""
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP12 = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({FOLDED}, '{TERM}') AS found FROM documents
+), held AS (
+  SELECT rid, doc_id, found, len(found)::BIGINT AS n FROM texts WHERE len(found) > 0
+), totals AS (
+  SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM held
+), tf AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(found) AS term FROM held) GROUP BY rid, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf CROSS JOIN totals GROUP BY term, n_docs
+), asked AS (
+  SELECT item_id, asked_text, term, count(*) AS times FROM (
+    SELECT item_id, text AS asked_text, unnest(regexp_extract_all({FOLDED}, '{TERM}')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)
+  ) GROUP BY item_id, asked_text, term
+), scored AS (
+  SELECT item_id, asked_text, rid, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN held USING (rid) CROSS JOIN totals
+  GROUP BY item_id, asked_text, rid, doc_id
+), placed AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id, asked_text ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank,
+         doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 20
+"""
+
+
+def op13(clusters: int = 40, rounds: int = 5, salt: int = 2) -> str:
+    """Every round is a step of its own."""
+    assigned = """assigned{r} AS MATERIALIZED (
+  SELECT rid, vec_id, v, cluster, distance FROM (
+    SELECT rid, vec_id, v, cluster, list_sum(list_transform(list_zip(v, centroid), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+    FROM vectors CROSS JOIN centroids{r}
+  ) QUALIFY row_number() OVER (PARTITION BY rid ORDER BY distance, cluster) = 1
+)"""
+    moved = """moved{r} AS (
+  SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS centroid FROM (
+    SELECT cluster, pos, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM (
+      SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM assigned{r}) GROUP BY cluster, pos
+  ) GROUP BY cluster
+), centroids{next} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.centroid, c.centroid) AS centroid FROM centroids{r} c LEFT JOIN moved{r} m USING (cluster)
+)"""
+    steps = []
+    for r in range(rounds):
+        steps += [assigned.format(r=r), moved.format(r=r, next=r + 1)]
+    steps.append(assigned.format(r=rounds))
+    return f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), centroids0 AS MATERIALIZED (
+  SELECT cluster, v AS centroid FROM (
+    SELECT v, (row_number() OVER (ORDER BY sha256('{salt}:' || vec_id) NULLS LAST, v) - 1)::INTEGER AS cluster FROM vectors
+  ) WHERE cluster < {clusters}
+), {', '.join(steps)}
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(centroid, ',')) AS centroid_sha256
+FROM assigned{rounds} JOIN centroids{rounds} USING (cluster)
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_pivot_search": OP1, "op5_quality_rules": OP5, "op6_jaccard_join": OP6,
+    "op11_rank_order_language": OP11, "op12_shared_term_search": OP12, "op13_bitplane_clusters": op13(),
+}

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shiplake.llm import bpe, classifier, jaccard_join, main_text, mixing, passages, pivot_search, quality, sharding, urls
+from shiplake.llm import (
+    bitplanes, bpe, classifier, jaccard_join, language, lexical_search, main_text, mixing, passages, pivot_search, quality, sharding, urls,
+)
 from shiplake.llm.common import table
 from shiplake.llm.oracles import ORACLES
 
@@ -60,6 +62,23 @@ def op10_repeated_passages(spark, sf_dir):
     return passages.repeated_passages(table(spark, sf_dir, "documents"), least_words=50, least=0.8)
 
 
+def op11_rank_order_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)))
+    profiles = language.fit(docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+    return language.predict(docs, profiles, carry=["doc_id", "held_out"])
+
+
+def op12_shared_term_search(spark, sf_dir):
+    return lexical_search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_bitplane_clusters(spark, sf_dir):
+    found = bitplanes.centroid_clusters(table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, salt=2)
+    return found.withColumn("centroid_sha256", bitplanes.digest()).drop("centroid")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pivot_search, op2_url_filter, op3_main_text, op4_source_mix, op5_quality_rules, op6_jaccard_join, op7_feistel_shards, op8_quality_classifier, op9_byte_bpe, op10_repeated_passages,
+    op11_rank_order_language, op12_shared_term_search, op13_bitplane_clusters,
 )}
