@@ -40,8 +40,8 @@ WIDTH = 5
 HASHES = 4
 ENOUGH = 2
 AROUND = 12
-LISTED = 2_000_000  # occurrences listed at once
-DISTANCE = 0.05  # what a chain pays for a skipped shingle
+ANCHOR = 16  # shingles of the runs that stretches grow from
+DISTANCE = 0.05  # what a run pays for a skipped shingle
 BITS = 1024
 CELL = 2048
 BROADCAST_ROWS = 1_000_000
@@ -118,50 +118,52 @@ def agreed(matches: list, width: int) -> bool:
     return False
 
 
-def diagonal_runs(a: np.ndarray, b: np.ndarray, codes: int) -> np.ndarray:
-    """(start in a, start in b, length) of every maximal word-for-word run, whatever its place in the source: each
-    occurrence of a shingle counts. Few occurrences are listed and sorted; many are found diagonal by diagonal."""
-    n, m = len(a), len(b)
-    counts = np.bincount(b, minlength=codes)
-    times = counts[a]
-    if times.sum() <= LISTED:
-        i = np.repeat(np.arange(n), times)
-        within = np.arange(len(i)) - np.repeat(np.cumsum(times) - times, times)
-        j = np.argsort(b, kind="stable")[np.repeat((np.cumsum(counts) - counts)[a], times) + within]
-        key = np.sort((j - i + n) * (n + 1) + i)
-        first = np.flatnonzero(np.diff(key, prepend=-2) != 1)
-        i = key[first] % (n + 1)
-        return np.column_stack((i, key[first] // (n + 1) - n + i, np.diff(np.append(first, len(key)))))
-    found = []
-    for off in range(1 - n, m):
-        i = max(0, -off)
-        same = a[i:min(n, m - off)] == b[i + off:min(m, n + off)]
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], same.view(np.int8), [0]))))
-        if len(edge):
-            found.append(np.column_stack((edge[::2] + i, edge[::2] + i + off, edge[1::2] - edge[::2])))
-    return np.concatenate(found)
-
-
-def chains(i: np.ndarray, j: np.ndarray, n: np.ndarray) -> Iterator[list[int]]:
-    """Runs in the order of both texts, best chain first; every run is on one of them."""
-    score, before = n.astype(float), np.full(len(n), -1)
-    ends, their = i + n, j + n
-    for t in range(1, len(n)):
-        gap = np.maximum(i[t] - ends[:t], 0) + np.maximum(j[t] - their[:t], 0)
-        again = np.maximum(np.maximum(ends[:t] - i[t], their[:t] - j[t]), 0)
-        value = np.where((j[:t] < j[t]) & (i[:t] < i[t]) & (again < n[t]), score[:t] - again - DISTANCE * gap, 0)
-        best = int(value.argmax())
-        if value[best] > 0:
-            score[t], before[t] = score[t] + value[best], best
-    seen = np.zeros(len(n), bool)
-    for t in np.argsort(-score, kind="stable").tolist():
-        if not seen[t]:
-            chain = []
-            while t >= 0:
-                seen[t] = True
-                chain.append(t)
-                t = int(before[t])
-            yield chain[::-1]
+def long_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """(start in a, start in b, length) of every maximal word-for-word run of at least ``ANCHOR`` shingles, longest first.
+
+    A run begins at a pair of equal grams of ``ANCHOR`` shingles whose shingles before them differ, and ends where those
+    behind differ; on a diagonal beginnings and ends alternate. Only such pairs are listed, so that text which repeats
+    itself costs what it has runs, not what it has equal places."""
+    n, m = len(a) - ANCHOR + 1, len(b) - ANCHOR + 1
+    if n < 1 or m < 1:
+        return np.zeros((0, 3), np.int64)
+    gram = [np.zeros(n, np.uint64), np.zeros(m, np.uint64)]
+    for g, codes in zip(gram, (a, b), strict=True):
+        for k in range(ANCHOR):
+            g[:] = g * np.uint64(0xD6E8FEB86659FD93) + codes[k:k + len(g)].astype(np.uint64) + np.uint64(1)
+    before = np.append(-1, a[:n - 1]), np.append(-2, b[:m - 1])
+    behind = np.append(a[ANCHOR:], -1), np.append(b[ANCHOR:], -2)
+    i, j = unequal_pairs(gram, before)
+    x, y = unequal_pairs(gram, behind)
+    starts, ends = np.lexsort((i, j - i)), np.lexsort((x, y - x))
+    i, j, x = i[starts], j[starts], x[ends]
+    runs = np.column_stack((i, j, x - i + ANCHOR))
+    return runs[np.lexsort((j, i, -runs[:, 2]))]
+
+
+def unequal_pairs(gram: list[np.ndarray], beside: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a and of b with equal grams and unequal neighbours."""
+    table = []
+    for g, s in zip(gram, beside, strict=True):
+        order = np.lexsort((s, g))
+        first = np.flatnonzero(np.append(True, (g[order][1:] != g[order][:-1]) | (s[order][1:] != s[order][:-1])))
+        table.append((order, first, np.diff(np.append(first, len(g))), g[order[first]], s[order[first]]))
+    (order_a, first_a, rows_a, gram_a, side_a), (order_b, first_b, rows_b, gram_b, side_b) = table
+    low, high = np.searchsorted(gram_b, gram_a, "left"), np.searchsorted(gram_b, gram_a, "right")
+    left, right = spread(low, high - low)
+    differ = side_a[left] != side_b[right]
+    left, right = left[differ], right[differ]
+    times = rows_a[left] * rows_b[right]
+    group = np.repeat(np.arange(len(left)), times)
+    within = np.arange(len(group)) - np.repeat(np.cumsum(times) - times, times)
+    across = rows_b[right][group]
+    return order_a[first_a[left][group] + within // across], order_b[first_b[right][group] + within % across]
+
+
+def spread(start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each stretch its number and every place in it."""
+    number = np.repeat(np.arange(len(start)), count)
+    return number, np.arange(len(number)) - np.repeat(np.cumsum(count) - count, count) + start[number]
 
 
 def previous(codes: np.ndarray) -> np.ndarray:
@@ -173,65 +175,139 @@ def previous(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def few_lost(codes: np.ndarray, shared: np.ndarray, width: int, least: float) -> np.ndarray:
+    """Places within some stretch of ``width`` of which few distinct shingles are missing in the other text."""
+    marked = np.where(shared, -1, codes)
+    lost = fewest_distinct(marked, width) - (np.convolve(shared, np.ones(width, int), "valid") > 0)
+    good = np.flatnonzero(lost <= (1 - least) / least * width)
+    edge = np.bincount(good, minlength=len(codes) + 1) - np.bincount(good + width, minlength=len(codes) + 1)
+    return np.cumsum(edge)[:len(codes)] > 0
+
+
+class Stretch:
+    """A stretch of a beside one of b, grown from a run as long as the Jaccard of the two shingle sets allows."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, codes: int, least: float) -> None:
+        self.sides, self.least = (a, b), least
+        self.held = np.zeros((2, codes), bool)
+        self.keys = []
+        for x in (a, b):  # the places of each shingle, found by one search
+            self.keys.append(np.sort(x.astype(np.int64) * (len(x) + 2) + np.arange(len(x))))
+
+    def grow(self, i: int, j: int, n: int) -> tuple[int, int, int, int, float]:
+        a, b = self.sides
+        self.s, self.e, self.hs, self.he = i, i + n - 1, j, j + n - 1
+        self.shared = self.union = len(np.unique(a[i:i + n]))
+        for held, x, at in zip(self.held, self.sides, (i, j), strict=True):
+            held[x[at:at + n]] = True
+        while self.joined(forward=True) or self.joined(forward=False):
+            pass
+        self.held[0, a[self.s:self.e + 1]] = False
+        self.held[1, b[self.hs:self.he + 1]] = False
+        return self.s, self.e, self.hs, self.he, self.shared / self.union
+
+    def joined(self, forward: bool) -> bool:
+        """Takes in the next run ahead or behind, whatever the gap, if the whole keeps the Jaccard. The gap can lose what
+        the stretch and as long a run could afford; it is looked through in doubled steps."""
+        afford = int(2 * self.shared * (1 - self.least) / self.least - (self.union - self.shared)) + 1
+        look, seen = min(32, afford), 0
+        while look > seen:
+            for i, j, n in self.candidates(forward, seen, look):
+                if self.takes(i, j, n, forward):
+                    return True
+            look, seen = min(2 * look, afford), look
+        return False
+
+    def candidates(self, forward: bool, seen: int, look: int) -> list[tuple[int, int, int]]:
+        """(outer start or end in a, in b, length) of the runs next to the stretch, the longest for their gap first."""
+        a, b = self.sides
+        size, keys = len(b) + 2, self.keys[1]
+        if forward:
+            at = np.arange(self.e + 1, min(self.e + 1 + look, len(a)))
+            found = np.searchsorted(keys, a[at] * size + self.he + 1)
+            place = keys[np.minimum(found, len(keys) - 1)]
+            fits = (found < len(keys)) & (place // size == a[at])
+            at, j = at[fits], (place % size)[fits]
+            near = (j - self.he <= look) & ((at - self.e > seen) | (j - self.he > seen))
+        else:
+            at = np.arange(self.s - 1, max(self.s - 1 - look, -1), -1)
+            found = np.searchsorted(keys, a[at] * size + self.hs) - 1
+            place = keys[np.maximum(found, 0)]
+            fits = (found >= 0) & (place // size == a[at])
+            at, j = at[fits], (place % size)[fits]
+            near = (self.hs - j <= look) & ((self.s - at > seen) | (self.hs - j > seen))
+        at, j = at[near], j[near]
+        step = 1 if forward else -1
+        new = np.append(True, (np.diff(at) != step) | (np.diff(j) != step))[:len(at)]
+        runs = []
+        for i, h in zip(at[new].tolist(), j[new].tolist(), strict=True):
+            n = self.length(i, h, step)
+            gap = i - self.e + h - self.he if forward else self.s - i + self.hs - h
+            runs.append((n - DISTANCE * gap, i, h, n))
+        return [(i, h, n) for _, i, h, n in sorted(runs, reverse=True)]
+
+    def length(self, i: int, j: int, step: int) -> int:
+        """Length of the equal stretch from a place on."""
+        a, b = self.sides
+        most = min(len(a) - i, len(b) - j) if step > 0 else min(i, j) + 1
+        done, chunk = 0, 32
+        while done < most:
+            k = min(chunk, most - done)
+            x, y = (a[i + done:i + done + k], b[j + done:j + done + k]) if step > 0 else (
+                a[i - done - k + 1:i - done + 1][::-1], b[j - done - k + 1:j - done + 1][::-1])
+            differ = x != y
+            if differ.any():
+                return done + int(differ.argmax())
+            done, chunk = done + k, 2 * chunk
+        return most
+
+    def takes(self, i: int, j: int, n: int, forward: bool) -> bool:
+        (a, b), (in_a, in_b) = self.sides, self.held
+        if forward:
+            more_a, more_b = a[self.e + 1:i + n], b[self.he + 1:j + n]
+        else:
+            more_a, more_b = a[i - n + 1:self.s], b[j - n + 1:self.hs]
+        new_a, new_b = np.unique(more_a[~in_a[more_a]]), np.unique(more_b[~in_b[more_b]])
+        in_a[new_a] = True
+        met = in_b[new_a].sum() + in_a[new_b].sum()
+        union = self.union + (~in_b[new_a]).sum() + (~in_a[new_b]).sum()
+        if self.shared + met < self.least * union:
+            in_a[new_a] = False
+            return False
+        in_b[new_b] = True
+        self.shared, self.union = int(self.shared + met), int(union)
+        if forward:
+            self.e, self.he = i + n - 1, j + n - 1
+        else:
+            self.s, self.hs = i - n + 1, j - n + 1
+        return True
+
+
 def shared_runs(a: np.ndarray, b: np.ndarray, width: int, least: float) -> list[tuple[int, int, int, int, float]]:
-    """(start, end, start, end, Jaccard) of alike stretches, in shingle numbers of a and of b. Every stretch between two
-    runs of a chain is judged by its exact Jaccard, however wide the gaps inside; longest first, those that reach a place
-    of a that no other reached are kept."""
+    """(start, end, start, end, Jaccard) of alike stretches, in shingle numbers of a and of b.
+
+    Every alike stretch of 50 words at 0.8 has a word-for-word run of ``ANCHOR`` shingles: an edited word costs nine
+    shingles or more, so 36 others must be shared, on two sides of it. The runs are tried longest first, each that
+    reaches places of a that no stretch has yet; it grows over gaps of any width while the exact Jaccard is kept."""
+    if min(len(a), len(b)) < 1 or len(a) < width:
+        return []
     names, both = np.unique(np.concatenate((a, b)), return_inverse=True)
     a, b = both[:len(a)], both[len(a):]
     in_a, in_b = np.zeros((2, len(names)), bool)
     in_a[a], in_b[b] = True, True
-    if not (in_a & in_b).any():
+    good = few_lost(a, in_b[a], width, least)
+    if not good.any():
         return []
-    runs = diagonal_runs(a, b, len(names))
-    runs = runs[np.lexsort((runs[:, 1], runs[:, 0]))]
-    i, j, n = runs.T
-    last, their_last = i + n - 1, j + n - 1
-    before_a, before_b = previous(a), previous(b)
-    hits = np.concatenate(([0], np.cumsum(in_b[a])))
-    lost_a = np.concatenate(([0], np.cumsum(~in_b[a] & (before_a < 0))))
-    lost_b = np.concatenate(([0], np.cumsum(~in_a[b] & (before_b < 0))))
-    place = np.full(len(names), len(b))
-    reached, found = np.zeros(len(a), bool), []
-
-    def bridged(chain: np.ndarray) -> Iterator[np.ndarray]:
-        """Parts of a chain; it is split where shingles that the other text lacks outweigh all that it could share."""
-        todo = [chain]
-        while todo:
-            part = todo.pop()
-            x, y = part[:-1], part[1:]
-            lost = (np.maximum(lost_a[i[y]] - lost_a[last[x] + 1], 0) + np.maximum(lost_b[j[y]] - lost_b[their_last[x] + 1], 0))
-            cuts = np.flatnonzero(lost * least > (hits[last[part[-1]] + 1] - hits[i[part[0]]]) * (1 - least) + 1e-6) + 1
-            if len(cuts):
-                todo += np.split(part, cuts)
-            else:
-                yield part
-
-    def judged(part: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
-        for k, first in enumerate(part):
-            s, hs, e, he = i[first], j[first], last[part[k:]], their_last[part[k:]]
-            if e[-1] - s + 1 < width:
-                return
-            new_a, new_b = before_a[s:e[-1] + 1] < s, before_b[hs:he[-1] + 1] < hs
-            x, y = a[s:e[-1] + 1][new_a], b[hs:he[-1] + 1][new_b]
-            place[y] = np.flatnonzero(new_b) + hs
-            at, theirs = np.flatnonzero(new_a) + s, place[x]
-            place[y] = len(b)
-            common = theirs < len(b)
-            by = np.maximum(np.searchsorted(e, at[common]), np.searchsorted(he, theirs[common]))
-            shared = np.cumsum(np.bincount(by, minlength=len(e)))
-            jaccard = shared / (np.cumsum(new_a)[e - s] + np.cumsum(new_b)[he - hs] - shared)
-            for t in np.flatnonzero((jaccard >= least) & (e - s + 1 >= width)).tolist():
-                yield int(s), int(e[t]), int(hs), int(he[t]), float(jaccard[t])
-
-    for chain in chains(i, j, n):
-        if last[chain[-1]] - i[chain[0]] + 1 < width or reached[i[chain[0]]:last[chain[-1]] + 1].all():
-            continue
-        for part in bridged(np.array(chain)):
-            for got in sorted(judged(part), key=lambda g: (g[0] - g[1], -g[4])):
-                if not reached[got[0]:got[1] + 1].all():
-                    reached[got[0]:got[1] + 1] = True
-                    found.append(got)
+    runs = long_runs(a, b)
+    fine = np.concatenate(([0], np.cumsum(good)))
+    runs = runs[fine[runs[:, 0] + runs[:, 2]] > fine[runs[:, 0]]]
+    stretch, reached, found = Stretch(a, b, len(names), least), np.zeros(len(a), bool), []
+    for i, j, n in runs.tolist():
+        if not reached[i:i + n].all():
+            got = stretch.grow(i, j, n)
+            if got[1] - got[0] + 1 >= width and not reached[got[0]:got[1] + 1].all():
+                reached[got[0]:got[1] + 1] = True
+                found.append(got)
     return found
 
 
