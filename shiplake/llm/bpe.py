@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.taskcontext import TaskContext
 
+from shiplake.llm.common import release, tidy
+
 BLOCK_WORDS = 400_000
 LONG_WORD = 48
 PLACED = "block long, mark long, doc_ids binary, nulls binary, counts binary, codes binary"
@@ -151,7 +153,7 @@ def lookups(pattern: str, buckets: int) -> Callable:
                              join_parts(pack(lengths), pack_bytes(b"".join(chosen)))))
             yield pd.DataFrame(rows, columns=["bucket", "block", "mark", "numbers", "words"])
 
-    return run
+    return tidy(run)
 
 
 def join_parts(head: bytes, body: bytes) -> bytes:
@@ -181,6 +183,8 @@ def answers(ranks) -> Callable:
                 lengths.append(len(got))
                 ids += got
             rows.append((block, mark, numbers, pack(np.array(lengths, "u4")), pack(np.array(ids, "u4"))))
+        known.clear()
+        release()
         return pd.DataFrame(rows, columns=["block", "mark", "numbers", "lengths", "ids"])
 
     return run
@@ -196,7 +200,7 @@ def places(pattern: str) -> Callable:
             yield pd.DataFrame([(block, mark, numbers.tobytes(), missing.tobytes(), pack(counts), pack(codes))],
                                columns=["block", "mark", "doc_ids", "nulls", "counts", "codes"])
 
-    return run
+    return tidy(run)
 
 
 def pack_bytes(body: bytes) -> bytes:
@@ -268,4 +272,4 @@ def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             frame["decoded"] = [b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist())) for ids in frame["token_ids"]]
             yield frame
 
-    return encoded.mapInPandas(run, f"{ENCODED}, decoded binary")
+    return encoded.mapInPandas(tidy(run), f"{ENCODED}, decoded binary")

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shiplake.session import scratch_path
@@ -31,6 +37,40 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def packed(columns: list[str]) -> Column:
+    """The caller's columns as one struct, so that no column that an operator adds on its way can clash with them."""
+    return F.struct(F.lit(True).alias("packed"), *[F.col(quoted(c)).alias(c) for c in columns if c.lower() != "packed"],
+                    *[F.col(quoted(c)).alias("packed ") for c in columns if c.lower() == "packed"])
+
+
+def unpacked(columns: list[str], struct: str = "_row") -> list[Column]:
+    """The columns of a struct made by ``packed``, under their own names."""
+    return [F.col(struct).getField("packed " if c.lower() == "packed" else c).alias(c) for c in columns]
+
+
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def release() -> None:
+    """Give freed memory back to the machine: a Python worker lives on between stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]):
+    """The batch function, with the memory of a task given back after its last batch."""
+
+    def tidied(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from run(frames)
+        release()
+
+    return tidied
+
+
 def hash_sample(frame: DataFrame, rows: int, *columns: str) -> DataFrame:
     """At most ``rows`` rows, those of least hash of ``columns``. A cut at twice the wanted share comes first, so that
     each task offers few rows however many tasks there are."""

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shiplake.llm import hashing
-from shiplake.llm.common import stage
+from shiplake.llm.common import packed, stage, tidy, unpacked
 from shiplake.llm.components import components
 
 RESERVES = 4
@@ -144,7 +144,7 @@ def describe(width: int):
                     "doc_id": frame["doc_id"], "text_hash": frame["text_hash"], "n_shingles": sizes, "c1": content[0].view(np.int64),
                     "c2": content[1].view(np.int64), "bits": bit_vectors(value, owner, sizes)})
 
-    return run
+    return tidy(run)
 
 
 def emit(width: int, percent: int, largest: int):
@@ -158,7 +158,7 @@ def emit(width: int, percent: int, largest: int):
                 sig, at = signatures(value, owner, sizes, bands)
                 yield pd.DataFrame({"sig": sig.view(np.int64), "node": frame["doc_id"].to_numpy()[at]})
 
-    return run
+    return tidy(run)
 
 
 def full_sets(width: int):
@@ -171,7 +171,7 @@ def full_sets(width: int):
                 yield pd.DataFrame({"node": frame["doc_id"].to_numpy(),
                                     "tokens": [value[e - n:e].tobytes() for e, n in zip(ends, sizes, strict=True)]})
 
-    return run
+    return tidy(run)
 
 
 def linked(percent: int):
@@ -185,7 +185,7 @@ def linked(percent: int):
                 keep.append(100 * shared >= percent * (len(both) - shared))
             yield frame.loc[keep, ["a", "b"]]
 
-    return run
+    return tidy(run)
 
 
 def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -231,7 +231,7 @@ def close_enough(percent: int):
                 keep = apart <= most_differing(g["na"].to_numpy(), g["nb"].to_numpy(), percent)
                 yield g.loc[keep, ["a", "b"]].assign(apart=apart[keep].astype("int32"))
 
-    return run
+    return tidy(run)
 
 
 def across(percent: int):
@@ -276,7 +276,7 @@ def across(percent: int):
         if held is not None and len(held):
             yield table(cells(held, last=True)[0])
 
-    return run
+    return tidy(run)
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -331,17 +331,31 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
 
 
 def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """The rows of ``docs`` with one document of each component: the one of least id. Rows with a null id stay; of rows
-    that share an id one stays, the least text first."""
-    found = stage(jaccard_components(docs, width, percent), "components")
-    gone = stage(found.where("doc_id != component_id").select("doc_id").distinct(), "gone")
+    """The rows of ``docs`` with one document of each group of linked texts: the one of least id. Rows with a null id stay.
+
+    A document is an id with a text. Where an id has several texts each is linked for itself: the text of least hash goes
+    by the id, the others by numbers of their own, so that a text goes only if it is linked itself. Of rows alike in
+    id and text one stays, the least."""
+    keyed = docs.select(packed(docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_hash"))
+    again = stage(
+        keyed.where("_doc is not null").groupBy("_doc").agg(F.count(F.lit(1)).alias("n"), F.min("_hash").alias("_least"))
+        .where("n > 1").drop("n"), "repeated-ids")
+    named = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
+    apart = F.xxhash64("_doc", "_hash").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    marked = keyed.join(named, "_doc", "left").select("_row", "_doc", "_hash", F.col("_least").isNotNull().alias("_again"), F.when(
+        F.col("_least").isNull() | (F.col("_least") == F.col("_hash")), F.col("_doc")).otherwise(apart).alias("_node"))
+    found = stage(jaccard_components(
+        marked.select(F.col("_node").alias("doc_id"), F.col("_row")["text"].alias("text")), width, percent), "components")
+    # the least number of a group is its least id, unless a further text of that id is what the group holds
+    of_node = found.select(F.col("doc_id").alias("_node"), "component_id").where("_node is not null").distinct()
+    moved = stage(
+        marked.where(F.col("_again")).select("_node", "_doc", "_hash").distinct().join(of_node, "_node").groupBy("component_id")
+        .agg(F.min(F.struct("_doc", "_hash", "_node")).alias("m"), F.max(F.when(F.col("_node") == F.col("component_id"), F.col("_doc"))).alias("own"))
+        .where("m._doc < coalesce(own, component_id)")
+        .select("component_id", "m._node"), "moved")
+    gone = of_node.where("_node != component_id").select("_node").join(moved.select("_node"), "_node", "left_anti")
+    gone = stage(gone.unionByName(moved.select(F.col("component_id").alias("_node"))), "gone")
     named = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    kept = docs.join(named, "doc_id", "left_anti").select(*docs.columns)
-    twice = stage(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
-    if twice.isEmpty():
-        return kept
-    named = F.broadcast(twice) if twice.count() <= BROADCAST_IDS else twice
-    row = F.struct(F.col("text"), *[c for c in docs.columns if c != "text"])
-    single = kept.join(named, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("_row"))
-    return kept.join(named, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        single.select(*[F.col(f"_row.{c}") for c in docs.columns]))
+    kept = marked.join(named, "_node", "left_anti")
+    once = kept.where("_again").groupBy("_node").agg(F.min("_row").alias("_row"))
+    return kept.where("not _again").select("_row").unionByName(once.select("_row")).select(*unpacked(docs.columns))

@@ -4,8 +4,8 @@ Targets: sources in code point order (null last) weigh 1, 2, 3, 1, ... and share
 source stops at ``most`` times its own words and its excess is shared again by weight. Within a source, complete epochs
 come first: each document is taken floor(target / source words) times. The rest is a weighted sample without
 replacement: each document gets the exponential key -ln(u) / weight, keys are sorted, and sizes are summed along the
-order until the budget is met. The document that crosses the budget is taken in part, at a word boundary, so a source
-meets its target to a word.
+order until the budget is met. The document that crosses the budget is taken in part, so that a source's words are its
+target; with ``whole`` it is taken as a whole or not at all, whichever is nearer, and no text is ever cut.
 
 The prefix sum needs no global order. Keys fall into buckets that follow their order; bucket sums (partial
 aggregation) locate the one bucket per source in which the budget ends, and only its rows are sorted.
@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shiplake.functions.numbering import with_row_number
-from shiplake.llm.common import WORD, stage, word_count
+from shiplake.llm.common import WORD, packed, quoted, stage, unpacked, word_count
 
 LEAST_WEIGHT = 0.01
 
@@ -54,17 +54,17 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: i
 
 def mix_sources(
     docs: DataFrame, weight: Column | None = None, carry: list[str] | None = None, seed: int = 7,
-    cycle: tuple[int, ...] = (1, 2, 3), most: int = 3,
+    cycle: tuple[int, ...] = (1, 2, 3), most: int = 3, whole: bool = False,
 ) -> DataFrame:
     """The columns named by ``carry`` (all by default) with size, source_size, target and taken."""
-    carry = [c for c in (docs.columns if carry is None else carry) if c not in ("size", "source_size", "target", "taken")]
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ("size", "source_size", "target", "taken")]
     quality = F.lit(1.0) if weight is None else weight
     size = word_count(F.col("text"))
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", size, F.crc32(F.col("text").cast("binary")), F.lit(seed)), 11)
          .cast("double") + 0.5) / float(1 << 53)
     base = stage(
         docs.select(
-            *carry, F.col("source").alias("_source"), F.col("doc_id").alias("_doc"), size.alias("size"),
+            packed(carry).alias("_row"), F.col("source").alias("_source"), F.col("doc_id").alias("_doc"), size.alias("size"),
             (-F.log(u) / F.greatest(F.coalesce(quality, F.lit(0.0)), F.lit(LEAST_WEIGHT))).alias("_key"),
         ), "mix-base",
     )
@@ -97,10 +97,12 @@ def mix_sources(
     at_cut = joined.where(F.col("_bucket") == F.col("_cut")).withColumn(
         "_extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_budget") - F.col("_start")
                                                - F.coalesce(F.sum("size").over(order), F.lit(0)))))
+    if whole:
+        at_cut = at_cut.withColumn("_extra", F.when(2 * F.col("_extra") >= F.col("size"), F.col("size")).otherwise(0))
     away = joined.where(F.col("_cut").isNull() | (F.col("_bucket") != F.col("_cut"))).withColumn(
         "_extra", F.when(F.col("_bucket") < F.col("_cut"), F.col("size")).otherwise(F.lit(0).cast("long")))
     return at_cut.unionByName(away).select(
-        *carry, "size", "source_size", "target",
+        *unpacked(carry), "size", "source_size", "target",
         (F.col("_epochs") * F.col("size") + F.col("_extra")).cast("long").alias("taken"),
     )
 
@@ -113,10 +115,14 @@ def symbol_weight(text: str = "text") -> Column:
 
 
 def mixed_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mix itself: one row for each time a document is taken; the last, partial one is cut behind a word."""
+    """The mix itself: one row for each time a document is taken. A document that a mix without ``whole`` takes in part is
+    cut behind a word; with ``whole`` none is cut."""
     piece = r"[\x20\x09-\x0D]*" + WORD
-    copies = mixed.where(F.col("taken") > 0).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")).cast("long"))))
+    others = [c for c in columns if c != "text"]
+    copies = mixed.where(F.col("taken") > 0).select(
+        packed(others).alias("_row"), "text", "size", "taken",
+        F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")).cast("long"))).alias("_copy"))
     part = (F.col("taken") - (F.col("_copy") - 1) * F.col("size")).cast("int")
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(piece), F.lit(0)), 1, part), "")
-    return copies.withColumn("text", F.when(part < F.col("size"), cut).otherwise(F.col("text"))).select(*columns)
+    copies = copies.withColumn("text", F.when(part < F.col("size"), cut).otherwise(F.col("text")))
+    return copies.select("text", *unpacked(others)).select(*map(quoted, columns))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shiplake.llm import hashing
-from shiplake.llm.common import WORD, stage, word_count
+from shiplake.llm.common import WORD, packed, quoted, stage, tidy, unpacked, word_count
 
 WIDTH = 5
 HASHES = 4
@@ -98,7 +98,7 @@ def emit_windows(least_words: int):
             "doc_id": frame["doc_id"].to_numpy()[made[:, 0]], "text_hash": frame["text_hash"].to_numpy()[made[:, 0]],
             "k": made[:, 1].astype("i4"), "l": made[:, 2].astype("i4"), "c": made[:, 3].astype("i4"), "r": made[:, 4].astype("i4")})
 
-    return run
+    return tidy(run)
 
 
 def agreed(matches: list, width: int) -> bool:
@@ -319,7 +319,7 @@ def agreeing(least_words: int):
             yield frame.loc[[agreed(m, least_words - WIDTH + 1) for m in frame["matches"]],
                             ["doc_id", "text_hash", "source_id", "source_hash"]]
 
-    return run
+    return tidy(run)
 
 
 def check_pairs(least_words: int, least: float):
@@ -336,7 +336,7 @@ def check_pairs(least_words: int, least: float):
                     out.append((row.doc_id, row.text_hash, s, e - s + WIDTH, row.source_id, hs, he - hs + WIDTH, similarity))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in SPANS.split(", ")])
 
-    return run
+    return tidy(run)
 
 
 def fewest_distinct(codes: np.ndarray, width: int) -> np.ndarray:
@@ -376,7 +376,7 @@ def sketch(least_words: int, least: float):
                         "around": around, "need": np.array(low, np.float32),
                         "bits": [v.tobytes() for v in np.packbits(bits, axis=1)]})
 
-    return run
+    return tidy(run)
 
 
 def closer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -501,7 +501,7 @@ def further_pairs(shared: DataFrame, spans: DataFrame, tried: DataFrame, docs: D
                 F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
                 "doc_id", "text_hash", "c", "need", "bits", (~F.col("idle")).alias("seeks"))
         .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j"))
-    found = cells.mapInPandas(closer, PAIRS + ", c int, score int").unionByName(alike)
+    found = cells.mapInPandas(tidy(closer), PAIRS + ", c int, score int").unionByName(alike)
     keys = ["doc_id", "text_hash", "source_id", "source_hash"]
     return stage(found.groupBy(*keys, "c").agg(F.max("score").alias("score")).join(tried, keys, "left_anti"), "passage-further")
 
@@ -510,32 +510,30 @@ def cut_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Texts without the words of their spans; white space between kept words stays as it was."""
     find = re.compile(WORD).finditer
     for frame in frames:
-        frame = frame.copy()
         texts = []
-        for text, spans in zip(frame["text"], frame.pop("_spans"), strict=True):
-            if spans is not None and len(spans) and text:
-                ends = [m.span() for m in find(text)]
-                at, kept = 0, []
-                for start, n in sorted((s["start_word"], s["n_words"]) for s in spans):
-                    if start < len(ends):
-                        kept.append(text[at:max(at, ends[start][0])])
-                        at = max(at, ends[min(start + n, len(ends)) - 1][1])
-                text = "".join(kept) + text[at:]
-            texts.append(text)
-        frame["text"] = texts
-        yield frame
+        for text, spans in zip(frame["text"], frame["spans"], strict=True):
+            ends = [m.span() for m in find(text)]
+            at, kept = 0, []
+            for start, n in sorted((s["start_word"], s["n_words"]) for s in spans):
+                if start < len(ends):
+                    kept.append(text[at:max(at, ends[start][0])])
+                    at = max(at, ends[min(start + n, len(ends)) - 1][1])
+            texts.append("".join(kept) + text[at:])
+        yield pd.DataFrame({"doc_id": frame["doc_id"], "hash": frame["hash"], "text": texts})
 
 
 def remove_repeats(docs: DataFrame, least_words: int = 50, least: float = 0.8) -> DataFrame:
-    """The rows without the passages that an earlier text holds; a text of which nothing is left goes. Only rows with a
-    span pass through Python."""
+    """The rows without the passages that an earlier text holds; a text of which nothing is left goes. Only texts with a
+    span pass through Python, once for all rows that hold them."""
     spans = stage(
-        repeated_passages(docs, least_words, least).groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("start_word", "n_words")).alias("_spans")), "spans")
-    columns = docs.columns
-    keyed = docs.withColumn("_hash", F.xxhash64("text"))
-    table = spans.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_key"), "_spans")
-    joined = keyed.join(table, (F.col("doc_id") == F.col("_doc")) & (F.col("_hash") == F.col("_key")), "left")
-    whole = joined.where("_spans is null").select(*columns)
-    cut = joined.where("_spans is not null").select(*columns, "_spans").mapInPandas(cut_words, docs.schema)
-    return whole.unionByName(cut.where(F.col("text").rlike(WORD)))
+        repeated_passages(docs, least_words, least).groupBy("doc_id", F.col("text_hash").alias("hash"))
+        .agg(F.collect_list(F.struct("start_word", "n_words")).alias("spans")), "spans")
+    others = [c for c in docs.columns if c != "text"]
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text", packed(others).alias("_row"))
+    named = small(spans)
+    cut = stage(
+        keyed.join(named, ["doc_id", "hash"]).select("doc_id", "hash", "text", "spans").dropDuplicates(["doc_id", "hash"])
+        .mapInPandas(tidy(cut_words), "doc_id long, hash long, text string"), "cut-texts")
+    whole = keyed.join(named, ["doc_id", "hash"], "left_anti").select("text", "_row")
+    changed = keyed.drop("text").join(cut, ["doc_id", "hash"]).where(F.col("text").rlike(WORD)).select("text", "_row")
+    return whole.unionByName(changed).select("text", *unpacked(others)).select(*map(quoted, docs.columns))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shiplake.llm.common import SPACE, WORD, stage, words
+from shiplake.llm.common import SPACE, WORD, packed, stage, unpacked, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -132,10 +132,10 @@ def thresholds(measured: DataFrame, least_rows: int = 200) -> DataFrame:
 def quality_rules(docs: DataFrame, carry: list[str] | None = None, least_rows: int = 200) -> DataFrame:
     """Columns ``carry`` (all by default) with the measures, base_failed and kept. The texts are measured once; the
     measured rows are staged, and the fences join them by broadcast only while their measured size is small."""
-    carry = [c for c in (docs.columns if carry is None else carry) if c not in ADDED]
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ADDED]
     measured = stage(
-        add_measures(docs.select(*{*carry, "text", "lang", "source"})).select(
-            *carry, F.col("lang").alias("_lang"), F.col("source").alias("_source"), *ADDED[:-1], *[m for m, _, _ in MEASURES]),
+        add_measures(docs.select(packed(carry).alias("_row"), "text", "lang", "source")).select(
+            "_row", F.col("lang").alias("_lang"), F.col("source").alias("_source"), *ADDED[:-1], *[m for m, _, _ in MEASURES]),
         "quality-measured",
     )
     limits = stage(thresholds(measured.select(
@@ -148,4 +148,4 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None, least_rows: i
             inside &= F.coalesce(F.col(measure) >= F.col(f"_{measure}_low"), F.lit(True))
     return measured.join(
         limits, F.col("_lang").eqNullSafe(F.col("_t_lang")) & F.col("_source").eqNullSafe(F.col("_t_source")), "left"
-    ).select(*carry, *ADDED[:-1], (~F.col("base_failed") & inside).alias("kept"))
+    ).select(*unpacked(carry), *ADDED[:-1], (~F.col("base_failed") & inside).alias("kept"))

@@ -19,7 +19,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shiplake.llm.common import stage
+from shiplake.llm.common import packed, stage, unpacked
 
 # The rules of the filter, verdict and host with path.
 RULES = (
@@ -55,7 +55,8 @@ def rule_of(host: Column, path: Column, rules) -> Column:
 def sequences(text: Column, order: int) -> Column:
     """For each character, the ``order`` characters before it and itself."""
     padded = F.concat(F.lit(PAD * order), text)
-    return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substr(padded, i, F.lit(order + 1)))
+    grams = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substr(padded, i, F.lit(order + 1)))
+    return F.when(F.length(text) > 0, grams).otherwise(F.array().cast("array<string>"))
 
 
 def suffixes(gram: Column, order: int) -> Column:
@@ -81,8 +82,12 @@ def log_ratios(training: DataFrame, grams: DataFrame, order: int) -> DataFrame:
     if root is None or not root["ta"] or not root["tr"]:
         return grams.select("gram", F.lit(0.0).alias("ratio"))
     parts = grams.select("gram", F.explode(suffixes(F.col("gram"), order)).alias("part")).withColumn("context", context)
-    # the root context is one row that every sequence meets: it enters as four numbers, not by a join
-    seen = parts.join(counts, "part", "left").join(contexts.where("context != ''"), "context", "left")
+    # the root context is one row that every sequence meets: it enters as four numbers, not by a join; what follows it is
+    # a single character, of which there are no more than code points
+    first = parts.where("context = ''").join(F.broadcast(counts.where("length(part) = 1")), "part", "left").withColumns(
+        {c: F.lit(None).cast("long") for c in ("ta", "da", "tr", "dr")})
+    deeper = parts.where("context != ''").join(counts, "part", "left").join(contexts, "context", "left")
+    seen = first.unionByName(deeper)
     at_root = F.length("context") == 0
     levels = seen.groupBy("gram").agg(F.array_sort(F.collect_list(F.struct(
         F.length("part").alias("n"), F.coalesce("na", F.lit(0)).alias("na"), F.coalesce("nr", F.lit(0)).alias("nr"),
@@ -116,7 +121,8 @@ def judge_urls(pages: DataFrame, rules=RULES, order: int = 4) -> DataFrame:
     """The rows with host, path, rule, verdict and score (null where a rule decides)."""
     added = ("host", "path", "rule", "verdict", "score")
     host, path = address(F.col("url"))
-    judged = pages.select(*[c for c in pages.columns if c not in added], host.alias("host"), path.alias("path"))
+    carry = [c for c in pages.columns if c.lower() not in added]
+    judged = pages.select(packed(carry).alias("_row"), host.alias("host"), path.alias("path"))
     judged = judged.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn(
         "_text", F.concat("host", "path"))
     decided = judged.where("_rule is not null")
@@ -138,6 +144,6 @@ def judge_urls(pages: DataFrame, rules=RULES, order: int = 4) -> DataFrame:
     limit = threshold(scores.where(known))
     rest = judged.where("_rule is null").join(scores.select(F.col("text").alias("_text"), "score"), "_text").withColumn(
         "verdict", F.when(F.col("score") >= limit, "allow").otherwise("block"))
-    columns = [c for c in judged.columns if c[0] != "_"]
+    columns = [*unpacked(carry), "host", "path"]
     return decided.select(*columns, "_rule.rule", "_rule.verdict", F.lit(None).cast("double").alias("score")).unionByName(
         rest.select(*columns, F.lit(None).cast("string").alias("rule"), "verdict", "score"))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shiplake.llm import classifier, quality, urls
+from shiplake.llm import classifier, mixing, passages, quality, urls
 from shiplake.llm.common import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -165,3 +165,48 @@ def test_pairs_learn_an_interaction():
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
     model = classifier.train(x, y, rounds=60, pairs=1)
     assert model.pairs == [(0, 1)] and np.mean((model.score(x) >= 0.5) == y) > 0.85
+
+
+CLASHES = ["_row", "_lang", "_source", "_words", "_lines", "_hashes", "_windows", "_n_lines", "m_word", "m_symbol", "m_dup_line", "m_repeat",
+           "_m_word_high", "_t_lang", "_t_source", "_cum", "_one", "_key", "_doc", "_bucket", "_epochs", "_budget", "_cut", "_start",
+           "_extra", "_ps", "_cs", "_rank", "_w", "_rule", "_text", "gram", "part", "_hash", "_spans", "_node", "_least", "_copy", "packed", "a.b", "d`e"]
+
+
+def with_clashes(frame):
+    return frame.withColumns({c: F.lit(f"mine {c}") for c in CLASHES})
+
+
+def unharmed(found, before):
+    """Every clashing column came through with its own values."""
+    assert set(CLASHES) <= set(found.columns) and found.columns[:len(before.columns)] == before.columns
+    rows = found.select(*["`" + c.replace("`", "``") + "`" for c in CLASHES]).distinct().collect()
+    assert rows == [] or [tuple(r) for r in rows] == [tuple(f"mine {c}" for c in CLASHES)]
+
+
+def test_no_internal_name_clashes(spark, docs):
+    wide = with_clashes(docs)
+    unharmed(quality.quality_rules(wide), wide)
+    mixed = mixing.mix_sources(wide, whole=True)
+    unharmed(mixed, wide)
+    assert all(r.taken % r.size == 0 for r in mixed.where("size > 0").collect())
+    unharmed(mixing.mixed_copies(mixed, wide.columns), wide)
+    unharmed(passages.remove_repeats(wide), wide)
+    pages = with_clashes(spark.createDataFrame([(1, "http://a.org/x"), (2, "http://b.net/y")], "page_id long, url string"))
+    unharmed(urls.judge_urls(pages), pages)
+
+
+def test_empty_addresses_score_nothing_after_training(spark):
+    rows = [(i, f"https://{'good' if i % 2 else 'bad'}.example/{'ok' if i % 2 else 'spam'}/{i}") for i in range(200)]
+    rows += [(900, None), (901, "no address"), (902, "https://"), (903, "mailto:x")]
+    rules = (("allow", "good.example/"), ("block", "bad.example/"))
+    got = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert len(got) == len(rows) and all(got[i].score == 0.0 and (got[i].host, got[i].path) == ("", "") for i in (900, 901, 902, 903))
+
+
+def test_whole_mix_takes_no_part_and_comes_near(docs, corpus):
+    sizes, taken = {}, {}
+    for r in mixing.mix_sources(docs, whole=True).collect():
+        sizes[r.source] = max(sizes.get(r.source, 0), r.size)
+        taken.setdefault(r.source, [0, r.target])[0] += r.taken
+        assert r.size == 0 or r.taken % r.size == 0
+    assert all(abs(t - target) <= sizes[s] for s, (t, target) in taken.items())

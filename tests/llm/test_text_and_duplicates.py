@@ -126,11 +126,30 @@ def test_chain_of_links(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
 
 
-def test_one_of_each_group_stays(docs, corpus):
-    kept = jaccard_join.keep_one(docs, 5, 80)
-    comps = {i: c for i, _, c in components_by_hand(corpus, 5, 80)}
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({i for i, c in comps.items() if i == c})
-    assert kept.where("doc_id is null").count() == 2 and kept.columns == docs.columns
+def test_one_of_each_group_stays(spark, docs, corpus):
+    """Texts are linked, not ids: of every group of linked texts the one of least id stays, and no other text goes."""
+    texts = sorted({(i, t) for i, t, *_ in corpus if i is not None}, key=lambda x: (x[0], x[1] or ""))
+    comps = components_by_hand(list(enumerate(t for _, t in texts)), 5, 80)
+    groups = {}
+    for n, _, c in comps:
+        groups.setdefault(c, []).append(texts[n])
+    kept = jaccard_join.keep_one(docs.withColumns({"_row": F.lit(1), "_hash": F.lit("x")}), 5, 80)
+    assert kept.columns == [*docs.columns, "_row", "_hash"]
+    rows = [(r.doc_id, r.text) for r in kept.collect() if r.doc_id is not None]
+    assert len(rows) == len(groups) and {i for i, _ in rows} == {min(g)[0] if len(g) == 1 else min(i for i, _ in g) for g in groups.values()}
+    for group in groups.values():
+        stayed = [r for r in rows if r in group]
+        assert len(stayed) == 1 and stayed[0][0] == min(i for i, _ in group)
+    assert kept.where("doc_id is null").count() == 2
+
+
+def test_a_shared_id_costs_no_text(spark):
+    rng = random.Random(4)
+    a, b = sentence(rng, 60), sentence(rng, 60)
+    for first, second in ((a, b), (b, a)):
+        rows = [(1, first, "en", "s", 0), (2, first, "en", "s", 0), (2, second, "en", "s", 0), (2, second, "en", "s", 0), (3, second, "en", "s", 0)]
+        kept = jaccard_join.keep_one(spark.createDataFrame(rows, ROWS), 5, 80).collect()
+        assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, first), (2, second)])
 
 
 # --- passages
