@@ -25,8 +25,8 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: one row for each time the mix takes a document."""
-    return with_length(mixing.mixed_copies(mixing.mix_sources(docs, weight=mixing.symbol_weight()), docs.columns))
+    """Mixing: one row for each time the mix takes a document, whole."""
+    return mixing.mixed_copies(mixing.mix_sources(docs, weight=mixing.symbol_weight(), whole=True), docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
