@@ -20,10 +20,15 @@ def ended_shipments(history: DataFrame) -> DataFrame:
 
 def eligible_alerts(latest: DataFrame, history: DataFrame, predictions: DataFrame) -> DataFrame:
     """Open shipments of MEDIUM or HIGH risk that never ended, with priority and message."""
+    return eligible_states(latest.join(ended_shipments(history), "shipment_id", "left_anti"), predictions)
+
+
+def eligible_states(running: DataFrame, predictions: DataFrame) -> DataFrame:
+    """The same from the latest state of shipments that never ended; no history is needed."""
     risky = predictions.filter(F.col("risk_level").isin(ALERT_RISK_LEVELS)).select(
         "shipment_id", "late_risk_probability", "risk_level"
     )
-    moving = latest.filter(F.col("event_type").isin(OPEN_EVENT_TYPES))
+    moving = running.filter(F.col("event_type").isin(OPEN_EVENT_TYPES))
     percent = F.round(F.col("late_risk_probability") * 100, 1).cast("string")
     # Fixed value: wording of the notification.
     message = F.concat(
@@ -34,7 +39,6 @@ def eligible_alerts(latest: DataFrame, history: DataFrame, predictions: DataFram
     )
     return (
         moving.join(risky, "shipment_id")
-        .join(ended_shipments(history), "shipment_id", "left_anti")
         .select(
             "event_id", "shipment_id", "carrier_id", "warehouse_id",
             F.col("event_type").alias("trigger_event_type"), "event_timestamp",
@@ -56,6 +60,10 @@ def proactive_alerts(
     eligible = eligible_alerts(latest, history, predictions)
     if existing is not None:
         eligible = eligible.join(existing.select("shipment_id"), "shipment_id", "left_anti")
+    return open_alerts(eligible, evaluated_at)
+
+
+def open_alerts(eligible: DataFrame, evaluated_at: datetime | None = None) -> DataFrame:
     return (
         eligible.withColumn("alert_status", F.lit("OPEN"))
         .withColumn("evaluated_at", at(evaluated_at))

@@ -19,6 +19,7 @@ from shiplake.operators.quality import prediction_checks, require_no_nulls, requ
 from shiplake.operators.tracking import at
 from shiplake.operators.upsert import replace_rows
 from shiplake.schemas import PREDICTION_SCHEMA
+from shiplake.sources.bucketed import BucketedTable
 
 # Features, search grid in hundredths, selection rule, split shares.
 CATEGORICAL = ["route_key", "warehouse_key"]
@@ -366,13 +367,23 @@ def risk_distribution(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("risk_level").agg(F.count("*").alias("shipments"))
 
 
-def upsert_predictions(store: DataFrame, predictions: DataFrame, scored_at: datetime | None = None) -> DataFrame:
-    """Store after replacing the given shipments; raises if the predictions break their contract."""
+def stamped_predictions(predictions: DataFrame, scored_at: datetime | None = None) -> DataFrame:
+    """Predictions with their time; raises if they break their contract."""
     require_passed(run_checks(prediction_checks(predictions)))
-    stamped = predictions.withColumn("scored_at", at(scored_at)).select(*[
+    return predictions.withColumn("scored_at", at(scored_at)).select(*[
         F.col(f.name).cast(f.dataType).alias(f.name) for f in PREDICTION_SCHEMA.fields
     ])
-    return replace_rows(store, stamped, ["shipment_id"])
+
+
+def upsert_predictions(store: DataFrame, predictions: DataFrame, scored_at: datetime | None = None) -> DataFrame:
+    """Store after replacing the given shipments; raises if the predictions break their contract."""
+    return replace_rows(store, stamped_predictions(predictions, scored_at), ["shipment_id"])
+
+
+def publish_predictions(store: BucketedTable, predictions: DataFrame, scored_at: datetime | None = None) -> int:
+    """The same into a stored table, of which only the buckets of the given shipments are read and written. Returns the
+    version that readers see from now on."""
+    return store.upsert(stamped_predictions(predictions, scored_at))
 
 
 def save_model(result: TrainingResult, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shiplake.operators.quality import run_checks, row_total
 from shiplake.operators.reconcile import reconcile_rows, symmetric_difference
 from shiplake.operators.upsert import first_per_key, insert_or_ignore, merge_newest, newest_per_key, unseen
-from shiplake.schemas import DELAYED, TRACKING_ORDER
+from shiplake.schemas import DELAYED, TERMINAL_EVENT_TYPES, TRACKING_COLUMNS, TRACKING_ORDER
 
 HISTORY_ORDER = ["kafka_partition", "kafka_offset"]
 
@@ -34,6 +34,28 @@ def latest_state(events: DataFrame) -> DataFrame:
     return newest_per_key(events, ["shipment_id"], TRACKING_ORDER)
 
 
+def state_changes(events: DataFrame) -> DataFrame:
+    """The newest event per shipment, with ``ended``: whether any of its events, newest or not, was a terminal one."""
+    others = [c for c in TRACKING_COLUMNS if c not in TRACKING_ORDER and c != "shipment_id"]
+    picked = events.groupBy("shipment_id").agg(
+        F.max(F.struct(*TRACKING_ORDER, *others)).alias("_row"),
+        F.bool_or(F.col("event_type").isin(TERMINAL_EVENT_TYPES)).alias("ended"),
+    )
+    return picked.select("shipment_id", "_row.*", "ended").select(*TRACKING_COLUMNS, "ended")
+
+
+def merge_states(*parts: DataFrame) -> DataFrame:
+    """One state from several: the newest event, and ended once means ended for ever. A repeat or an overlap changes
+    nothing."""
+    stacked = parts[0].select(*TRACKING_COLUMNS, "ended")
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part.select(*TRACKING_COLUMNS, "ended"))
+    others = [c for c in TRACKING_COLUMNS if c not in TRACKING_ORDER and c != "shipment_id"]
+    picked = stacked.groupBy("shipment_id").agg(
+        F.max(F.struct(*TRACKING_ORDER, *others)).alias("_row"), F.bool_or("ended").alias("ended"))
+    return picked.select("shipment_id", "_row.*", "ended").select(*TRACKING_COLUMNS, "ended")
+
+
 def merge_latest(latest: DataFrame, batch: DataFrame) -> DataFrame:
     return merge_newest(latest, batch, ["shipment_id"], TRACKING_ORDER)
 

@@ -3,6 +3,22 @@
 from __future__ import annotations
 
 # Common table expressions; later ones may use earlier ones.
+def due_alerts(latest: str, history: str, levels: str) -> str:
+    """Shipments on their way in ``latest`` that ``history`` never saw end, with the alert they are due."""
+    return f"""
+        SELECT l.event_id, l.shipment_id, l.carrier_id, l.warehouse_id, l.event_type AS trigger_event_type, l.event_timestamp,
+               p.late_risk_probability, p.risk_level,
+               CASE p.risk_level WHEN 'HIGH' THEN 'CRITICAL' WHEN 'MEDIUM' THEN 'HIGH' END AS alert_priority,
+               'OPEN' AS alert_status,
+               concat('Proactive delay-risk warning for shipment ', l.shipment_id, ' at ', l.warehouse_id,
+                      ' while status is ', l.event_type, '. Predicted late-delivery risk: ', p.risk_level, ' (',
+                      round(p.late_risk_probability * 100, 1), '%); no DELAYED event has occurred.') AS notification_message,
+               TIMESTAMP '2024-02-01' AS evaluated_at
+        FROM {latest} l JOIN predictions p USING (shipment_id)
+        WHERE l.event_type IN ('SCAN', 'IN_TRANSIT', 'OUT_FOR_DELIVERY') AND p.risk_level IN ({levels})
+          AND NOT EXISTS (SELECT 1 FROM {history} t WHERE t.shipment_id = l.shipment_id AND t.event_type IN ('DELAYED', 'DELIVERED'))"""
+
+
 CTES = {
     "order_rows": """
         SELECT concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, CAST(l.l_quantity AS INT)) AS shipment_id,
@@ -97,18 +113,9 @@ CTES = {
         SELECT shipment_id, p AS late_risk_probability, p >= 0.36::DOUBLE AS predicted_is_late,
                CASE WHEN p >= 0.7::DOUBLE THEN 'HIGH' WHEN p >= 0.4::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
         FROM (SELECT shipment_id, sum(k)::DOUBLE / count(*)::DOUBLE / 100.0::DOUBLE AS p FROM track GROUP BY shipment_id)""",
-    "alerts": """
-        SELECT l.event_id, l.shipment_id, l.carrier_id, l.warehouse_id, l.event_type AS trigger_event_type, l.event_timestamp,
-               p.late_risk_probability, p.risk_level,
-               CASE p.risk_level WHEN 'HIGH' THEN 'CRITICAL' WHEN 'MEDIUM' THEN 'HIGH' END AS alert_priority,
-               'OPEN' AS alert_status,
-               concat('Proactive delay-risk warning for shipment ', l.shipment_id, ' at ', l.warehouse_id,
-                      ' while status is ', l.event_type, '. Predicted late-delivery risk: ', p.risk_level, ' (',
-                      round(p.late_risk_probability * 100, 1), '%); no DELAYED event has occurred.') AS notification_message,
-               TIMESTAMP '2024-02-01' AS evaluated_at
-        FROM latest l JOIN predictions p USING (shipment_id)
-        WHERE l.event_type IN ('SCAN', 'IN_TRANSIT', 'OUT_FOR_DELIVERY') AND p.risk_level IN ('MEDIUM', 'HIGH')
-          AND NOT EXISTS (SELECT 1 FROM hist t WHERE t.shipment_id = l.shipment_id AND t.event_type IN ('DELAYED', 'DELIVERED'))""",
+    "alerts": due_alerts("latest", "hist", "'MEDIUM', 'HIGH'"),
+    "seen_alerts": due_alerts("seen_latest", "seen", "'MEDIUM', 'HIGH'"),
+    "seen_high_alerts": due_alerts("seen_latest", "seen", "'HIGH'"),
     "performance": """
         SELECT f.carrier_key AS carrier_id, c.carrier_name, f.route_key AS route_id, count(*) AS total_shipments,
                avg(CASE WHEN f.on_time THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS on_time_rate,
@@ -332,6 +339,13 @@ PREDICTION_FAULT = """(SELECT shipment_id, late_risk_probability + CASE WHEN ris
 LONE = """(SELECT * REPLACE (CASE WHEN carrier_id NOT IN ('CARR001', 'CARR004') THEN carrier_name END AS carrier_name) FROM candidates
            WHERE route_id NOT LIKE 'RT-EUROPE%' OR carrier_id = 'CARR002') c"""
 
+def raised_twice(first: str) -> str:
+    """Alerts of an early evaluation, and those that a later one adds for other shipments."""
+    return f"""
+        SELECT * EXCLUDE (evaluated_at) FROM {first}
+        UNION ALL SELECT * EXCLUDE (evaluated_at) FROM alerts WHERE shipment_id NOT IN ( SELECT shipment_id FROM {first} )"""
+
+
 QUERIES = {
     "carrier_performance": f"""
         SELECT c.carrier_id, c.carrier_name, c.service_type, {RATES}
@@ -548,6 +562,8 @@ QUERIES = {
         SELECT CASE event_type WHEN 'DELAYED' THEN 'missing event_id' ELSE 'missing warehouse_id' END AS reason, count(*) AS records
         FROM hist WHERE event_type IN ('DELAYED', 'IN_TRANSIT') GROUP BY 1""",
     "proactive_alerts": "SELECT * FROM alerts",
+    "stream_alerts_timed": raised_twice("seen_high_alerts"),
+    "stream_proactive_alerts": raised_twice("seen_alerts"),
     "proactive_alerts_again": "SELECT event_id, shipment_id, alert_priority FROM alerts WHERE alert_priority <> 'CRITICAL'",
     "proactive_alert_violations": report([
         ("eligible shipments without alert", f"SELECT count(*) FROM alerts a WHERE a.shipment_id NOT IN (SELECT shipment_id FROM {RAISED} )"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,8 +14,9 @@ from shiplake.schemas import (
 )
 from shiplake.session import scratch_path
 from shiplake.sources import driver_tables as src, readers, writers
+from shiplake.sources.bucketed import BucketedTable
 from shiplake.sources.versioned import VersionedTable
-from shiplake.streaming import source as stream_source, tracking as stream_tracking
+from shiplake.streaming import alerts as stream_alerts, source as stream_source, tracking as stream_tracking
 
 CARD_START, CARD_END = date(1996, 1, 1), date(1998, 12, 31)
 BATCH_FROM, SEEN_UNTIL = datetime(2024, 1, 10), datetime(2024, 1, 15)
@@ -562,6 +563,11 @@ def replayed_store(spark, d):
                 store, checkpoint, trigger={"availableNow": True},
             )
             run.awaitTermination()
+            # upkeep between any two batches changes nothing
+            store.merge_batches(fan_out=2)
+            if part is parts[0]:
+                store.compact()
+            store.clean(timedelta(0))
     return store
 
 
@@ -589,6 +595,58 @@ def stream_delay_alerts(spark, d):
     return plain_times(streamed_store(spark, d).delay_alerts().drop("created_at"))
 
 
+def alerts_by_timer(spark, d, early, late):
+    """Events up to mid-January and predictions ``early``, then the other events, then, on a quiet topic, predictions
+    ``late``. The timer ticks after each of them and twice more, the last time with a fresh checkpoint."""
+    events = src.table(spark, d, "events")
+    before = F.col("ts") < F.lit(SEEN_UNTIL).cast("timestamp_ntz")
+    store = stream_tracking.TrackingStore(spark, scratch_path(spark, "tracking"))
+    predictions = BucketedTable(spark, scratch_path(spark, "predictions"), PREDICTION_SCHEMA, ["shipment_id"], buckets=4)
+    raised = stream_alerts.ProactiveAlertStore(spark, scratch_path(spark, "alerts"), buckets=4)
+    inbox, tracked, timer = (scratch_path(spark, x) for x in ("inbox", "stream-checkpoint", "timer-checkpoint"))
+
+    def tick(checkpoint):
+        stream_alerts.start_timed_alerts(store, predictions, raised, checkpoint, trigger={"availableNow": True}).awaitTermination()
+
+    risk.publish_predictions(predictions, early, AS_OF)
+    for part in (before, ~before):
+        events.filter(part).write.mode("append").parquet(inbox)
+        stream_tracking.start_tracking(
+            stream_source.tracking_stream(event_records(spark.readStream.schema(events.schema).parquet(inbox))),
+            store, tracked, trigger={"availableNow": True},
+        ).awaitTermination()
+        tick(timer)
+    risk.publish_predictions(predictions, late, AS_OF)
+    tick(timer)
+    tick(timer)
+    tick(scratch_path(spark, "timer-checkpoint"))
+    return plain_times(raised.read().drop("evaluated_at"))
+
+
+def stream_alerts_timed(spark, d):
+    scored = src.tracking_predictions(spark, d)
+    return alerts_by_timer(spark, d, scored.filter(F.col("risk_level") == "HIGH"), scored)
+
+
+def stream_proactive_alerts(spark, d):
+    """Alerts raised batch by batch."""
+    events = src.table(spark, d, "events")
+    before = F.col("ts") < F.lit(SEEN_UNTIL).cast("timestamp_ntz")
+    store = stream_tracking.TrackingStore(spark, scratch_path(spark, "tracking"))
+    predictions = BucketedTable(spark, scratch_path(spark, "predictions"), PREDICTION_SCHEMA, ["shipment_id"], buckets=4)
+    raised = stream_alerts.ProactiveAlertStore(spark, scratch_path(spark, "alerts"), buckets=4)
+    risk.publish_predictions(predictions, src.tracking_predictions(spark, d), AS_OF)
+    inbox, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "stream-checkpoint")
+    for part in (before, ~before):
+        events.filter(part).write.mode("append").parquet(inbox)
+        stream_tracking.start_tracking(
+            stream_source.tracking_stream(event_records(spark.readStream.schema(events.schema).parquet(inbox))),
+            store, checkpoint, trigger={"availableNow": True},
+            after_batch=stream_alerts.alert_after_batch(store, predictions, raised),
+        ).awaitTermination()
+    return plain_times(raised.read().drop("evaluated_at"))
+
+
 def rejected_records(spark, d):
     """Records cut short for errors, and without a warehouse for views, counted by reason."""
     events = src.table(spark, d, "events")
@@ -650,13 +708,14 @@ def labelled_predictions(spark, d):
 
 def prediction_upsert(spark, d):
     """HIGH shipments scored again at half the probability; the others keep their old row."""
-    first, second = datetime(2024, 1, 1, tzinfo=timezone.utc), AS_OF
     base = src.fact_predictions(spark, d)
-    store = base.withColumn("scored_at", F.lit(first)).select(*PREDICTION_SCHEMA.fieldNames())
+    store = BucketedTable(spark, scratch_path(spark, "predictions"), PREDICTION_SCHEMA, ["shipment_id"], buckets=16)
+    risk.publish_predictions(store, base, datetime(2024, 1, 1, tzinfo=timezone.utc))
     rescored = base.filter(F.col("risk_level") == "HIGH").select(
         "shipment_id", (F.col("late_risk_probability") / 2).alias("late_risk_probability")
     )
-    return plain_times(risk.upsert_predictions(store, src.as_predictions(rescored), second))
+    risk.publish_predictions(store, src.as_predictions(rescored), AS_OF)
+    return plain_times(store.read())
 
 
 def risk_tiers(spark, d):
@@ -737,6 +796,7 @@ QUERIES = {f.__name__: f for f in (
     event_history, new_events, latest_tracking, latest_merge, delay_alerts, new_delay_alerts, tracking_violations,
     stream_history, stream_latest, stream_delay_alerts,
     stream_replay_history, stream_replay_latest, stream_replay_alerts, rejected_records,
+    stream_alerts_timed, stream_proactive_alerts,
     proactive_alerts, proactive_alerts_again, proactive_alert_violations, top_risk_shipment,
     prediction_upsert, risk_tiers, risk_distribution, threshold_search, classification_metrics,
     scoring_input, training_input, time_split, risk_model_metrics, risk_model_scores,

@@ -48,3 +48,9 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(frame.sparkSession))
     return frame.checkpoint()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it; one that is not there is no error."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,64 +1,88 @@
-"""Proactive alerts raised as tracking batches commit."""
+"""Proactive alerts raised as tracking batches commit, and on a timer.
+
+An evaluation notes the prediction version and the tracking position that it looked at, together with the alerts that it
+added. The next one does nothing unless either has changed; with the same predictions it looks only at shipments that
+changed since. An alert is never replaced or removed: there is one per shipment for ever, whatever is repeated.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
-from shiplake.operators.alerts import proactive_alerts
+from shiplake.operators.alerts import eligible_states, open_alerts
+from shiplake.operators.upsert import unseen
 from shiplake.schemas import ALERT_SCHEMA
+from shiplake.sources.bucketed import BucketedTable, keep_stored
+from shiplake.sources.manifest import LostRace
 from shiplake.sources.versioned import VersionedTable
-from shiplake.streaming.tracking import BatchLog, TrackingStore
+from shiplake.streaming.tracking import TrackingStore
+
+ATTEMPTS = 5
 
 
 class ProactiveAlertStore:
-    """Alerts by the batch that raised them, or by the prediction version that a timed evaluation looked at."""
+    """Alerts by shipment, in hash buckets."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self._log = BatchLog(spark, f"{root.rstrip('/')}/by_batch", ALERT_SCHEMA)
-        self._timed = BatchLog(spark, f"{root.rstrip('/')}/by_version", ALERT_SCHEMA)
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+        self.table = BucketedTable(spark, root, ALERT_SCHEMA, ["shipment_id"], buckets)
 
     def read(self) -> DataFrame:
-        return self._log.read().unionByName(self._timed.read())
-
-    def add(self, tracking: TrackingStore, predictions: DataFrame, number: int, only: DataFrame | None = None) -> None:
-        """Evaluate and store what is new. Alerts of this same batch do not count as existing, so a
-        repeat of the batch gives them again instead of losing them. ``only`` narrows the state before it is merged."""
-        history = tracking.history()
-        if only is not None:
-            history = history.join(only, "shipment_id", "left_semi")
-        existing = self._log.read(through=number - 1).unionByName(self._timed.read())
-        self._log.write(proactive_alerts(tracking.latest(only), history, predictions, existing), number)
-
-    def evaluate_version(self, tracking: TrackingStore, predictions: VersionedTable) -> int | None:
-        """Evaluate all shipments against the current predictions, whether or not events arrive: call it on a timer.
-        A version that was evaluated is evaluated again into the same place, so nothing is raised twice."""
-        version = predictions.version()
-        if version is not None:
-            existing = self._log.read().unionByName(self._timed.read(through=version - 1))
-            self._timed.write(proactive_alerts(tracking.latest(), tracking.history(), predictions.read(), existing), version)
-        return version
+        return self.table.read()
+
+    def evaluate(self, tracking: TrackingStore, predictions: VersionedTable | BucketedTable) -> bool:
+        """Raise what is due now. False if neither predictions nor tracking have changed since the last evaluation."""
+        for attempt in range(ATTEMPTS):
+            try:
+                return self._evaluate(tracking, predictions)
+            except LostRace:  # a batch and the timer met; the other one's alerts count as existing now
+                if attempt == ATTEMPTS - 1:
+                    raise
+        return False
+
+    def _evaluate(self, tracking: TrackingStore, predictions: VersionedTable | BucketedTable) -> bool:
+        version, position, last = predictions.version(), tracking.last_batch(), self.table.marker()
+        if version is None or (last is not None and (last.note, last.position) == (version, position)):
+            return False
+        known = last is not None and last.note == version
+        state = tracking.state(tracking.changed(after=last.position) if known else None)
+        due = open_alerts(eligible_states(state.filter(~F.col("ended")), predictions.read())).persist()
+        try:
+            fresh = unseen(self.table.beside(due), due, ["shipment_id"])
+            self.table.upsert(fresh, keep_stored, position=position, note=version)
+        finally:
+            due.unpersist()
+        return True
 
 
 def alert_after_batch(
-    tracking: TrackingStore, predictions: VersionedTable, alerts: ProactiveAlertStore
+    tracking: TrackingStore, predictions: VersionedTable | BucketedTable, alerts: ProactiveAlertStore
 ) -> Callable[[DataFrame, int], None]:
-    """A callback for ``start_tracking``.
-
-    Predictions are read again for every batch. As long as their version is the one of the last
-    evaluation, only shipments with a new event can have become eligible, and only those are
-    looked at; a new version, or a restart, has all of them evaluated.
-    """
-    evaluated: dict[str, int | None] = {"version": None}
+    """A callback for ``start_tracking``: every committed batch is followed by an evaluation."""
 
     def evaluate(batch: DataFrame, number: int) -> None:
-        version = predictions.version()
-        if version is None:
-            return
-        unchanged = evaluated["version"] == version
-        only = batch.select("shipment_id").distinct() if unchanged else None
-        alerts.add(tracking, predictions.read(), number, only)
-        evaluated["version"] = version
+        alerts.evaluate(tracking, predictions)
 
     return evaluate
+
+
+def start_timed_alerts(
+    tracking: TrackingStore,
+    predictions: VersionedTable | BucketedTable,
+    alerts: ProactiveAlertStore,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """A query that evaluates on a timer, so that new predictions raise alerts on a quiet topic too. It has a source of
+    ticks and a checkpoint of its own; a tick that finds nothing changed reads two markers and ends."""
+    ticks = tracking.spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+
+    def tick(batch: DataFrame, number: int) -> None:
+        alerts.evaluate(tracking, predictions)
+
+    return (
+        ticks.writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"})).start()
+    )
