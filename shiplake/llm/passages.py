@@ -13,8 +13,9 @@ keeps the stretches of chains of at least ``least_words`` words whose shingle se
 
 Windows whose centre no verified passage reaches are looked at again, against every earlier window of their hash, in cells
 of bounded size. A stretch of the shortest length around the centre that another place holds at 0.8 shares a least number
-of shingles with it, hence of bits in a vector of its surroundings; pairs that share as many are verified, the closest of
-each window first, then all that windows still without a passage have. Windows with equal surroundings go as one.
+of shingles with it, hence of bits in a vector of its surroundings, and nearly all of them in nearly the same places; pairs
+that do are verified, the closest of each window first, then all that windows still without a passage have. Windows with
+equal surroundings go as one.
 Texts that are copies form one class; its earliest row stands for it and the others are reported as whole repeats.
 
 Defined cases: null, empty and shorter texts have no passage. Rows with a null id take no part. Rows that share an id
@@ -43,12 +44,13 @@ AROUND = 12
 ANCHOR = 16  # shingles of the runs that stretches grow from
 DISTANCE = 0.05  # what a run pays for a skipped shingle
 BITS = 1024
+NO_CODE = 255  # the byte of a place outside the window
 CELL = 2048
 BROADCAST_ROWS = 1_000_000
 SPANS = ("doc_id long, text_hash long, start_word long, n_words long, source_id long, source_start long, "
          "source_words long, similarity double")
 PAIRS = "doc_id long, text_hash long, source_id long, source_hash long"
-DRAWN = "sig long, doc_id long, text_hash long, c int, seeks boolean, around long, need float, bits binary"
+DRAWN = "sig long, doc_id long, text_hash long, c int, seeks boolean, around long, need float, bits binary, codes binary"
 
 
 def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
@@ -348,8 +350,8 @@ def fewest_distinct(codes: np.ndarray, width: int) -> np.ndarray:
 
 
 def sketch(least_words: int, least: float):
-    """For each window a bit vector and a hash of its surroundings, and the number of bits (``need``) that they share
-    with every place that holds some stretch of the least length around the centre at ``least``."""
+    """For each window, of its surroundings: a hash, a bit vector, a byte per shingle, and the number of bits (``need``)
+    shared with every place that holds some stretch of the least length around the centre at ``least``."""
     width = least_words - WIDTH + 1
     reach = math.ceil(width / least)
 
@@ -361,51 +363,84 @@ def sketch(least_words: int, least: float):
                 value = hashing.shingles(h, np.array([len(h)]), WIDTH, short_whole=False)[0]
                 spot = (hashing.mix(value, 31) & np.uint64(BITS - 1)).astype(np.int64)
                 need = fewest_distinct(spot, width) - (1 - least) * fewest_distinct(value, width)
-                places = list(row.places)
-                for some in (places[x:x + 1000] for x in range(0, len(places), 1000)):
-                    sig, c, left, right, seeks = (np.array([q[f] for q in some]) for f in ("sig", "c", "l", "r", "seeks"))
+                fewest = np.lib.stride_tricks.sliding_window_view(np.pad(need, (width, width), constant_values=np.inf), width).min(axis=1)
+                byte = np.pad((hashing.mix(value, 32) % np.uint64(NO_CODE)).astype(np.uint8), reach, constant_values=NO_CODE)
+                every = value.tobytes()
+                for at in range(0, len(row.c), 1000):
+                    c, left, right = (getattr(row, f)[at:at + 1000].astype(np.int64) for f in ("c", "l", "r"))
                     lo, hi = np.maximum(left, c - reach), np.minimum(right, c + reach)
-                    bits, around = np.zeros((len(some), BITS), np.uint8), []
-                    for k, (x, y) in enumerate(zip(lo.tolist(), hi.tolist(), strict=True)):
-                        bits[k, spot[x:y + 1]] = 1
-                        around.append(xxhash.xxh64_intdigest(value[x:y + 1].tobytes()) >> 1)
-                    low = [need[x:y + 1].min() for x, y in zip(
-                        np.maximum(left, c - width + 1).tolist(), np.minimum(c, right - width + 1).tolist(), strict=True)]
+                    places = c[:, None] + np.arange(-reach, reach + 1)
+                    outside = (places < lo[:, None]) | (places > hi[:, None])
+                    bits = np.zeros((len(c), BITS + 1), np.uint8)
+                    bits[np.arange(len(c))[:, None], np.where(outside, BITS, spot[np.clip(places, 0, len(spot) - 1)])] = 1
+                    codes = np.where(outside, NO_CODE, byte[places + reach]).astype(np.uint8)
+                    around = [xxhash.xxh64_intdigest(every[8 * x:8 * y + 8]) >> 1 for x, y in zip(lo.tolist(), hi.tolist(), strict=True)]
+                    # stretches that hold the centre begin at c - width + 1 to c, as far as the window lets them
+                    low = fewest[c + 1]
+                    for k in np.flatnonzero((left > c - width + 1) | (right < c + width - 1)).tolist():
+                        low[k] = need[max(left[k], c[k] - width + 1):min(c[k], right[k] - width + 1) + 1].min()
                     yield pd.DataFrame({
-                        "sig": sig, "doc_id": row.doc_id, "text_hash": row.text_hash, "c": c.astype("i4"), "seeks": seeks.astype(bool),
-                        "around": around, "need": np.array(low, np.float32),
-                        "bits": [v.tobytes() for v in np.packbits(bits, axis=1)]})
+                        "sig": row.sig[at:at + 1000], "doc_id": row.doc_id, "text_hash": row.text_hash, "c": c.astype("i4"),
+                        "seeks": row.seeks[at:at + 1000].astype(bool), "around": around, "need": low.astype(np.float32),
+                        "bits": [v.tobytes() for v in np.packbits(bits[:, :BITS], axis=1)], "codes": [v.tobytes() for v in codes]})
 
     return tidy(run)
 
 
-def closer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of a sorted stream of cells, the windows that seek a source with the earlier places that share enough bits."""
+def alike_around(mine: np.ndarray, others: np.ndarray, width: int, least: float) -> np.ndarray:
+    """Which of ``others`` (rows of codes) can hold a stretch of ``width`` around the centre of ``mine`` at ``least``: such
+    a stretch loses few shingles, and the others stand at most as many places off."""
+    lost = int((1 - least) / least * width)
+    n = others.shape[1]
+    found = np.zeros((len(others), n), bool)
+    for shift in range(-lost, lost + 1):
+        low, high = max(0, -shift), min(n, n - shift)
+        found[:, low:high] |= others[:, low + shift:high + shift] == mine[low:high]
+    found &= mine != NO_CODE
+    total = np.cumsum(np.pad(found, ((0, 0), (1, 0))), axis=1)
+    centre = n // 2
+    first, last = max(0, centre - width + 1), min(centre, n - width)
+    held = total[:, first + width:last + width + 1] - total[:, first:last + 1]
+    return held.max(axis=1) >= width - lost
+
+
+def closer(least_words: int, least: float):
+    """Of a sorted stream of cells, the windows that seek a source with the earlier places that pass both bounds."""
+    width = least_words - WIDTH + 1
 
     def cell(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
         doc, side, need = (f[c].to_numpy() for c in ("doc_id", "side", "need"))
         bits = np.frombuffer(b"".join(f["bits"]), np.uint64).reshape(len(f), -1)
+        codes = np.frombuffer(b"".join(f["codes"]), np.uint8).reshape(len(f), -1)
+        hashes = f["text_hash"].to_numpy()
         for i in np.flatnonzero(f["seeks"].to_numpy()).tolist():
             others = np.flatnonzero((doc < doc[i]) & ((side != side[i]) if side[i] else True))
             if others.size:
                 both = np.bitwise_count(bits[others] & bits[i]).sum(axis=1)
-                hit = others[both + 1e-3 >= need[i]]
-                if hit.size:
-                    yield pd.DataFrame({
-                        "doc_id": doc[i], "text_hash": f["text_hash"].iat[i], "c": f["c"].iat[i], "source_id": doc[hit],
-                        "source_hash": f["text_hash"].to_numpy()[hit], "score": both[both + 1e-3 >= need[i]].astype("i4")})
+                near = both + 1e-3 >= need[i]
+                hit, score = others[near], both[near]
+                for at in range(0, len(hit), CELL):
+                    near = alike_around(codes[i], codes[hit[at:at + CELL]], width, least)
+                    some = hit[at:at + CELL][near]
+                    if some.size:
+                        yield pd.DataFrame({
+                            "doc_id": doc[i], "text_hash": hashes[i], "c": f["c"].iat[i], "source_id": doc[some],
+                            "source_hash": hashes[some], "score": score[at:at + CELL][near].astype("i4")})
 
-    held = None
-    for frame in frames:
-        held = frame if held is None else pd.concat((held, frame), ignore_index=True)
-        key = held[["sig", "i", "j"]].to_numpy()
-        cuts = (np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()
-        found = [g for x, y in zip([0, *cuts], cuts) for g in cell(held.iloc[x:y])]
-        if found:
-            yield pd.concat(found, ignore_index=True)
-        held = held.iloc[cuts[-1] if cuts else 0:].reset_index(drop=True)
-    if held is not None and len(held):
-        yield from cell(held)
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            held = frame if held is None else pd.concat((held, frame), ignore_index=True)
+            key = held[["sig", "i", "j"]].to_numpy()
+            cuts = (np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()
+            found = [g for x, y in zip([0, *cuts], cuts) for g in cell(held.iloc[x:y])]
+            if found:
+                yield pd.concat(found, ignore_index=True)
+            held = held.iloc[cuts[-1] if cuts else 0:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield from cell(held)
+
+    return tidy(run)
 
 
 def small(frame: DataFrame) -> DataFrame:
@@ -483,10 +518,11 @@ def further_pairs(shared: DataFrame, spans: DataFrame, tried: DataFrame, docs: D
         many.join(seeking.select("sig").distinct(), "sig").join(
             seeking.withColumn("seeks", F.lit(True)), ["sig", "doc_id", "text_hash", "c"], "left")
         .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
-            "sig", "c", "l", "r", F.coalesce("seeks", F.lit(False)).alias("seeks"))).alias("places")), "passage-places")
+            "sig", "c", "l", "r", F.coalesce("seeks", F.lit(False)).alias("seeks"))).alias("places"))
+        .select("doc_id", "text_hash", *[F.col(f"places.{f}").alias(f) for f in ("sig", "c", "l", "r", "seeks")]), "passage-places")
     texts = docs.join(small(places.select("doc_id", "text_hash")), ["doc_id", "text_hash"], "left_semi").distinct()
     drawn = stage(texts.join(places, ["doc_id", "text_hash"]).mapInPandas(sketch(least_words, least), DRAWN), "passage-sketches")
-    one = F.struct("doc_id", "text_hash", (~F.col("seeks")).alias("idle"), "c", "need", "bits")
+    one = F.struct("doc_id", "text_hash", (~F.col("seeks")).alias("idle"), "c", "need", "bits", "codes")
     heads = stage(drawn.groupBy("sig", "around").agg(F.min(one).alias("m")).select("sig", "around", "m.*"), "passage-heads")
     alike = (
         drawn.where("seeks").select("sig", "around", "doc_id", "text_hash", "c")
@@ -499,9 +535,9 @@ def further_pairs(shared: DataFrame, spans: DataFrame, tried: DataFrame, docs: D
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                 F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
-                "doc_id", "text_hash", "c", "need", "bits", (~F.col("idle")).alias("seeks"))
+                "doc_id", "text_hash", "c", "need", "bits", "codes", (~F.col("idle")).alias("seeks"))
         .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j"))
-    found = cells.mapInPandas(tidy(closer), PAIRS + ", c int, score int").unionByName(alike)
+    found = cells.mapInPandas(closer(least_words, least), PAIRS + ", c int, score int").unionByName(alike)
     keys = ["doc_id", "text_hash", "source_id", "source_hash"]
     return stage(found.groupBy(*keys, "c").agg(F.max("score").alias("score")).join(tried, keys, "left_anti"), "passage-further")
 
