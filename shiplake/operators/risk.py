@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shiplake.functions.measures import ratio, ratio_or_zero, risk_tier
+from shiplake.functions.numbering import with_sum_before
 from shiplake.functions.timeparts import monday_based_weekday, weekday_number
 from shiplake.operators.keys import check_inputs, lookup_table
 from shiplake.operators.orders import add_region_keys
@@ -27,11 +29,7 @@ NUMERIC = ["scheduled_time", "sales", "profit", "order_year", "order_month", "or
 GRID_FIRST, GRID_LAST = 20, 81
 MIN_PRECISION, FALLBACK_THRESHOLD = 0.65, 0.50
 TRAIN_SHARE, VALIDATION_END = 0.80, 0.90
-
-# The tie-break of the time split narrows a key by this many characters per pass.
-PREFIX_STEP = 4
-SORTABLE_ROWS = 20_000
-LONGEST_PREFIX = 52  # 20 characters of time and 32 of hash
+SETTINGS = "threshold double, modes map<string,string>, medians map<string,double>"
 
 
 # --- features ---------------------------------------------------------------------------------
@@ -70,101 +68,145 @@ def scoring_input(fact: DataFrame, dates: DataFrame, *keep: Column) -> DataFrame
 
 # --- time-ordered split -----------------------------------------------------------------------
 
+class SortKey(NamedTuple):
+    """Rows are in the order of their time as a whole number, then of a hash of the id, to break ties evenly, then of
+    the id."""
+
+    time: int
+    tie: int
+    row_id: str
+
+
 class SplitPoints(NamedTuple):
     """Sort keys of the first validation row and the first test row; None beyond the last row."""
 
-    validation_from: str | None
-    test_from: str | None
+    validation_from: SortKey | None
+    test_from: SortKey | None
 
 
-def time_key(frame: DataFrame, moment: str, row_id: str) -> Column:
-    """Sortable text: the moment, then a hash of the id to break ties evenly, then the id.
-
-    ``moment`` is a timestamp, a date, or a ``yyyyMMdd`` integer.
-    """
+def time_number(frame: DataFrame, moment: str) -> Column:
+    """``moment``, a timestamp, a date or a whole number such as ``yyyyMMdd``, as a whole number that grows with it."""
     kind = dict(frame.dtypes)[moment]
     if kind.startswith("timestamp"):
-        stamp = F.date_format(F.col(moment).cast("timestamp"), "yyyyMMddHHmmssSSSSSS")
-    else:
-        stamp = F.date_format(moment, "yyyyMMdd") if kind == "date" else F.col(moment).cast("string")
-    return F.concat(stamp, F.md5(F.col(row_id).cast("binary")), F.col(row_id))
+        return F.unix_micros(F.col(moment).cast("timestamp"))
+    return F.unix_date(moment).cast("long") if kind == "date" else F.col(moment).cast("long")
 
 
-class Cut:
-    """A wanted position and the stretch of keys known to hold it."""
+def tie_number(row_id: str) -> Column:
+    """60 bits of a hash of the id."""
+    return F.conv(F.substring(F.md5(F.col(row_id).cast("binary")), 1, 15), 16, 10).cast("long")
 
-    def __init__(self, position: int):
-        self.position, self.prefix, self.skipped, self.rows = position, "", 0, None
 
-    def narrow(self, counts: list) -> None:
-        """Step into the prefix that holds the position; ``rows`` is 0 beyond the last row."""
-        for prefix, rows in counts:
-            if prefix.startswith(self.prefix):
-                if self.skipped + rows > self.position:
-                    self.prefix, self.rows = prefix, rows
-                    return
-                self.skipped += rows
-        self.rows = 0
+def coarse(number: Column) -> Column:
+    """A step function of a whole number that keeps its order: 4096 steps per doubling, so at most 540,000 in all."""
+    size = F.abs(number)
+    shift = F.greatest(F.length(F.bin(size)) - 13, F.lit(0))
+    step = shift * 4096 + F.call_function("shiftright", size, shift)
+    return (F.signum(number) * step).cast("long")
 
 
-def keys_at(frame: DataFrame, key: Column, shares: tuple[float, ...]) -> list[str | None]:
-    """The sort keys at the given shares of the rows, without sorting all rows.
+def keys_at(frame: DataFrame, moment: str, row_id: str, shares: tuple[float, ...]) -> list[SortKey | None]:
+    """The sort keys at the given shares of the rows, in two reads and without sorting all rows.
 
-    Rows are counted by the first characters of the key, and the prefix that holds a position is
-    refined a few characters at a time until few rows share it; only those are sorted. A pass
-    serves all positions and brings back counts, at most one per distinct prefix extension.
+    The first read counts rows per step of the time. Of the steps that hold a wanted position the second takes the rows,
+    counted per key; those are summed in order, range by range, and the keys that reach the positions come back. A time
+    that very many rows share costs hashing and sorting of those rows, in as many tasks as they need.
     """
-    keys = frame.select(key.alias("_key")).filter("_key is not null")
-
-    def under(cuts: list[Cut]) -> DataFrame:
-        chosen = F.lit(False)
-        for cut in cuts:
-            chosen = chosen | F.col("_key").startswith(cut.prefix)
-        return keys.filter(chosen)
-
-    def counts(rows: DataFrame, length: int) -> list:
-        prefix = F.substring("_key", 1, length).alias("prefix")
-        return [tuple(r) for r in rows.groupBy(prefix).count().orderBy("prefix").collect()]
-
-    length = 8
-    days = counts(keys, length)
-    total = sum(rows for _, rows in days)
-    cuts = [Cut(int(total * share)) for share in shares]
-    for cut in cuts:
-        cut.narrow(days)
-    while length < LONGEST_PREFIX and (wide := [c for c in cuts if c.rows > SORTABLE_ROWS]):
-        length += PREFIX_STEP
-        finer = counts(under(wide), length)
-        for cut in wide:
-            cut.narrow(finer)
-    # rows that still share a prefix hold one id at one time: one key, without sorting
-    same = {c.prefix: under([c]).agg(F.min("_key")).first()[0] for c in cuts if c.rows and c.rows > SORTABLE_ROWS}
-    inside = [c for c in cuts if c.rows and c.prefix not in same]
-    found = [r["_key"] for r in under(inside).orderBy("_key").collect()] if inside else []
-    result = []
-    for cut in cuts:
-        mine = [k for k in found if k.startswith(cut.prefix)] if cut.rows else []
-        result.append(same.get(cut.prefix) or (mine[cut.position - cut.skipped] if mine else None) if cut.rows else None)
-    return result
+    keys = frame.select(time_number(frame, moment).alias("time"), F.col(row_id).cast("string").alias("row_id")).filter(
+        "time is not null and row_id is not null"
+    ).withColumn("step", coarse(F.col("time")))
+    steps = sorted((r["step"], r["count"]) for r in keys.groupBy("step").count().collect())
+    total = sum(rows for _, rows in steps)
+    wanted, taken, chosen = [int(total * share) for share in shares], 0, {}
+    for step, rows in steps:
+        if any(taken <= position < taken + rows for position in wanted):
+            chosen[step] = taken - sum(n for _, n in chosen.values()), rows
+        taken += rows
+    if not chosen:
+        return [None] * len(shares)
+    # ``ahead``: rows of the steps that were left out, up to this one
+    ahead = F.lit(0).cast("long")
+    for step, (skipped, _) in chosen.items():
+        ahead = F.when(F.col("step") == step, F.lit(skipped)).otherwise(ahead)
+    few = keys.filter(F.col("step").isin(list(chosen))).groupBy("step", "time", "row_id").agg(F.count("*").alias("rows"))
+    placed = with_sum_before(few.withColumn("tie", tie_number("row_id")), ["time", "tie", "row_id"], "rows", "before")
+    first = F.col("before") + ahead
+    found = F.lit(False)
+    for position in wanted:
+        found = found | ((first <= position) & (position < first + F.col("rows")))
+    hits = placed.select("time", "tie", "row_id", first.alias("first"), "rows").filter(found).collect()  # one per share
+    return [
+        next((SortKey(r["time"], r["tie"], r["row_id"]) for r in hits if r["first"] <= p < r["first"] + r["rows"]), None)
+        for p in wanted
+    ]
 
 
 def split_points(frame: DataFrame, moment: str, row_id: str = "shipment_id") -> SplitPoints:
     """Where the last 20 and the last 10 percent of the rows begin, in time order. Rows without a time or an id do not
-    count. Rows with one id at one time have one key and fall on one side together, at every size."""
-    return SplitPoints(*keys_at(frame, time_key(frame, moment, row_id), (TRAIN_SHARE, VALIDATION_END)))
+    count. Rows with one id at one time have one key and fall on one side together."""
+    return SplitPoints(*keys_at(frame, moment, row_id, (TRAIN_SHARE, VALIDATION_END)))
 
 
 def with_split(frame: DataFrame, moment: str, row_id: str = "shipment_id", points: SplitPoints | None = None) -> DataFrame:
-    """Adds ``split``: train, validation or test, or null without a time or an id. A comparison per row, no window, no
-    shuffle."""
+    """Adds ``split``: train, validation or test, or null without a time or an id. A comparison of numbers per row; only
+    rows at the very time of a cut look at their hash."""
     points = points or split_points(frame, moment, row_id)
-    key = time_key(frame, moment, row_id)
+    time, name = time_number(frame, moment), F.col(row_id).cast("string")
+
+    def reached(key: SortKey) -> Column:
+        tied = F.struct(tie_number(row_id), name) >= F.struct(F.lit(key.tie).cast("long"), F.lit(key.row_id))
+        return F.when(time != key.time, time > key.time).otherwise(tied)
+
     label = F.lit("train")
     if points.validation_from is not None:
-        label = F.when(key >= points.validation_from, "validation").otherwise(label)
+        label = F.when(reached(points.validation_from), "validation").otherwise(label)
     if points.test_from is not None:
-        label = F.when(key >= points.test_from, "test").otherwise(label)
-    return frame.withColumn("split", F.when(key.isNotNull(), label))
+        label = F.when(reached(points.test_from), "test").otherwise(label)
+    return frame.withColumn("split", F.when(time.isNotNull() & name.isNotNull(), label))
+
+
+# --- medians ----------------------------------------------------------------------------------
+
+def exact_medians(frame: DataFrame, columns: Sequence[str], bins: int = 4096) -> dict[str, float | None]:
+    """The median of every column, without sorting: the mean of the two middle values, null and NaN left out.
+
+    The range that holds a middle value is cut into ``bins`` equal parts; counts, least and greatest value per part tell
+    which part holds it and how far that part reaches, until a part is a single value. A pass serves all columns and
+    brings at most two times ``bins`` rows per column to the driver; a few passes do.
+    """
+    numbers = frame.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)])
+    facts = numbers.agg(*[f(f"v{i}").alias(f"{n}{i}") for i in range(len(columns)) for n, f in (
+        ("rows", F.count), ("low", F.min), ("high", F.max))]).first()
+    result: dict[tuple[int, int], float] = {}
+    targets = {}  # (column, which of the two): position in the range, its ends
+    for i in range(len(columns)):
+        rows = facts[f"rows{i}"]
+        for side in (0, 1) if rows else ():
+            targets[i, side] = (rows - 1 + side) // 2, facts[f"low{i}"], facts[f"high{i}"]
+    while targets:
+        for key, (_, low, high) in list(targets.items()):
+            if low == high:
+                result[key] = low
+                del targets[key]
+        if not targets:
+            break
+        # halved before they are subtracted, so that no difference overflows
+        parts = F.array(*[F.when(F.col(f"v{i}").between(low, high), F.struct(
+            F.lit(i).alias("i"), F.lit(side).alias("side"), F.col(f"v{i}").alias("v"),
+            F.least(F.lit(bins - 1), F.floor((F.col(f"v{i}") / 2 - low / 2) / (high / 2 - low / 2) * bins)).alias("part")))
+            for (i, side), (_, low, high) in targets.items()])
+        counts = numbers.select(F.explode(parts).alias("p")).filter("p is not null").groupBy("p.i", "p.side", "p.part").agg(
+            F.count("*").alias("rows"), F.min("p.v").alias("low"), F.max("p.v").alias("high")).collect()
+        for r in sorted(counts, key=lambda r: r["part"]):
+            key = r["i"], r["side"]
+            if key in targets and targets[key][0] >= 0:
+                position = targets[key][0]
+                if position < r["rows"]:
+                    targets[key] = -1 - position, r["low"], r["high"]  # found: marked until all parts are read
+                else:
+                    targets[key] = position - r["rows"], *targets[key][1:]
+        targets = {key: (-1 - position, low, high) for key, (position, low, high) in targets.items()}
+    return {c: (result[i, 0] + result[i, 1]) / 2 if (i, 0) in result else None for i, c in enumerate(columns)}
 
 
 # --- model ------------------------------------------------------------------------------------
@@ -174,28 +216,25 @@ def most_frequent(frame: DataFrame, column: str) -> str | None:
     return top[column] if top else None
 
 
-def prepare_features(frame: DataFrame, modes: dict[str, str]) -> DataFrame:
-    """Fill missing categories and give the numbers one type."""
+def prepare_features(frame: DataFrame, modes: dict[str, str], medians: dict[str, float]) -> DataFrame:
+    """Fill missing categories and numbers; give the numbers one type. A number without any training value is 0."""
     filled = frame.fillna({c: v for c, v in modes.items() if v is not None})
-    return filled.select(
-        *[c for c in frame.columns if c not in NUMERIC], *[F.col(c).cast("double").alias(c) for c in NUMERIC]
-    )
+    numbers = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(medians.get(c) or 0.0)).alias(c) for c in NUMERIC]
+    return filled.select(*[c for c in frame.columns if c not in NUMERIC], *numbers)
 
 
 def build_pipeline(rows: int) -> Pipeline:
-    """Impute, encode and scale, then a balanced logistic regression.
+    """Encode and scale, then a balanced logistic regression.
 
     An unknown category gets the index after the last one, which the encoder drops, so it becomes
     all zeros. Balanced weights add up to the row count, hence the regularisation of 1 / rows.
     """
     indexed = [f"{c}_index" for c in CATEGORICAL]
     encoded = [f"{c}_vector" for c in CATEGORICAL]
-    filled = [f"{c}_filled" for c in NUMERIC]
     return Pipeline(stages=[
         StringIndexer(inputCols=CATEGORICAL, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-        Imputer(inputCols=NUMERIC, outputCols=filled, strategy="median"),
-        VectorAssembler(inputCols=filled, outputCol="numeric"),
+        VectorAssembler(inputCols=NUMERIC, outputCol="numeric"),
         StandardScaler(inputCol="numeric", outputCol="scaled", withMean=True, withStd=True),
         VectorAssembler(inputCols=[*encoded, "scaled"], outputCol="features"),
         LogisticRegression(
@@ -213,18 +252,20 @@ def with_balanced_weight(frame: DataFrame, rows: int, late: int) -> DataFrame:
 class RiskModel(NamedTuple):
     pipeline: PipelineModel
     modes: dict[str, str]
+    medians: dict[str, float]
 
 
 def fit(train: DataFrame) -> RiskModel:
     sizes = train.agg(F.count("*").alias("rows"), F.count_if(F.col("is_late") == 1).alias("late")).first()
     modes = {c: most_frequent(train, c) for c in CATEGORICAL}
-    prepared = with_balanced_weight(prepare_features(train, modes), sizes["rows"], sizes["late"])
-    return RiskModel(build_pipeline(sizes["rows"]).fit(prepared), modes)
+    medians = {c: m for c, m in exact_medians(train, NUMERIC).items() if m is not None}
+    prepared = with_balanced_weight(prepare_features(train, modes, medians), sizes["rows"], sizes["late"])
+    return RiskModel(build_pipeline(sizes["rows"]).fit(prepared), modes, medians)
 
 
 def with_probability(model: RiskModel, frame: DataFrame) -> DataFrame:
     """The frame with the unrounded late probability as ``probability_raw``."""
-    scored = model.pipeline.transform(prepare_features(frame, model.modes))
+    scored = model.pipeline.transform(prepare_features(frame, model.modes, model.medians))
     return scored.withColumn("probability_raw", vector_to_array("probability")[1]).select(
         *frame.columns, "probability_raw"
     )
@@ -284,22 +325,15 @@ def classification_metrics(scored: DataFrame, probability: str, label: Column, t
     """One row of hold-out metrics at four places.
 
     Rows are counted per unrounded probability, so close scores are no ties. The area under the ROC curve needs the
-    running count over those: ten thousand stretches of the unit interval are summed first, and each stretch then
-    counts on from its start, in a task of its own.
+    running count over those, which is added up range by range: the ranges are drawn from the scores, so that scores
+    crowded in one place are spread too.
     """
     positive = F.col(probability) >= threshold
     counts = scored.groupBy(F.col(probability).alias("_p")).agg(
         F.count_if(label).alias("late"), F.count_if(~label).alias("other"),
         F.count_if(label & positive).alias("tp"), F.count_if(~label & positive).alias("fp"),
-    ).withColumn("_stretch", F.floor(F.coalesce("_p", F.lit(-1.0)) * 10_000))
-    before = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.groupBy("_stretch").agg(F.sum("other").alias("_other")).select(
-        "_stretch", F.coalesce(F.sum("_other").over(before), F.lit(0)).alias("_start")
-    )
-    inside = Window.partitionBy("_stretch").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.join(F.broadcast(starts), "_stretch").withColumn(  # at most 10,002 rows
-        "below", F.col("_start") + F.coalesce(F.sum("other").over(inside), F.lit(0))
     )
+    ranked = with_sum_before(counts, ["_p"], "other", "below")
     sums = ranked.agg(
         F.sum("late").alias("late"), F.sum("other").alias("other"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
         F.sum(F.col("late").cast("double") * (F.col("below") + F.col("other") / 2)).alias("area"),
@@ -391,12 +425,13 @@ def save_model(result: TrainingResult, path: str) -> None:
     spark = result.metrics.sparkSession
     result.model.pipeline.write().overwrite().save(f"{path}/pipeline")
     result.metrics.coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
-    settings = [(float(result.threshold), {k: v for k, v in result.model.modes.items() if v is not None})]
-    spark.createDataFrame(settings, "threshold double, modes map<string,string>").coalesce(1).write.mode(
+    modes = {k: v for k, v in result.model.modes.items() if v is not None}
+    spark.createDataFrame([(float(result.threshold), modes, result.model.medians)], SETTINGS).coalesce(1).write.mode(
         "overwrite"
     ).json(f"{path}/settings")
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[RiskModel, float]:
-    settings = spark.read.schema("threshold double, modes map<string,string>").json(f"{path}/settings").first()
-    return RiskModel(PipelineModel.load(f"{path}/pipeline"), dict(settings["modes"])), settings["threshold"]
+    settings = spark.read.schema(SETTINGS).json(f"{path}/settings").first()
+    model = RiskModel(PipelineModel.load(f"{path}/pipeline"), dict(settings["modes"]), dict(settings["medians"] or {}))
+    return model, settings["threshold"]

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import hashlib
+import math
 import random
+import statistics
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -106,9 +109,7 @@ def labelled(spark):
     return spark.createDataFrame(labelled_rows(), LABELLED)
 
 
-@pytest.mark.parametrize("sortable", [20_000, 40, 1])
-def test_time_split_is_exact_on_hot_days(labelled, monkeypatch, sortable):
-    monkeypatch.setattr(risk, "SORTABLE_ROWS", sortable)
+def test_time_split_is_exact_on_hot_days(labelled):
     rows = risk.with_split(labelled, "order_timestamp").collect()
     sizes = {s: sum(r["split"] == s for r in rows) for s in ("train", "validation", "test")}
     assert sizes == {"train": 720, "validation": 90, "test": 90}
@@ -124,13 +125,47 @@ def test_split_of_few_rows(labelled):
     assert risk.with_split(labelled.limit(0), "order_timestamp").count() == 0
 
 
-@pytest.mark.parametrize("sortable", [10, 20_000])
-def test_repeated_ids_fall_on_one_side(spark, monkeypatch, sortable):
-    monkeypatch.setattr(risk, "SORTABLE_ROWS", sortable)
+def test_repeated_ids_fall_on_one_side(spark):
     same = spark.range(100).selectExpr("'x' shipment_id", "20240101 date_key")
     assert [r["split"] for r in risk.with_split(same, "date_key").distinct().collect()] == ["test"]
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "bigint"])
+def test_split_equals_a_full_sort(spark, kind):
+    """Hot moments, moments before the epoch, repeated ids and nulls, against sorting all rows."""
+    rng = random.Random(7)
+    start = {"date": lambda m: f"date_add(date'1969-06-01', {m % 700})", "bigint": lambda m: f"{m - 20_000}"}.get(
+        kind, lambda m: f"cast(timestamp_seconds({m * 3600 - 10**7}) as {kind})")
+    moments = [start(rng.choice([77, 77, rng.randrange(40_000)])) for _ in range(300)]
+    rows = spark.createDataFrame([(rng.choice([str(i), str(i), "same"]), i) for i in range(300)], "shipment_id string, i int")
+    frame = rows.withColumn("at", F.element_at(F.array(*map(F.expr, moments)), F.col("i") + 1)).union(
+        spark.sql(f"select null, 1, cast(null as {kind}) union all select 'z', 2, null"))
+    got = [(r["at"], hashlib.md5(r["shipment_id"].encode()).hexdigest(), r["shipment_id"], r["split"])
+           for r in risk.with_split(frame, "at").filter("at is not null and shipment_id is not null").collect()]
+    got.sort(key=lambda r: r[:3])
+    firsts = {got[240][:3]: "validation", got[270][:3]: "test"}
+    label = "train"
+    for r in got:
+        label = firsts.get(r[:3], label)
+        assert r[3] == label
+    assert {r["split"] for r in risk.with_split(frame, "at").filter("at is null").collect()} == {None}
+
+
+def test_exact_medians(spark):
+    rng = random.Random(3)
+    columns = [
+        [rng.gauss(0, 1e3) for _ in range(401)], [rng.choice([1.0, 1.0, 2.0, None]) for _ in range(401)],
+        [10.0 ** rng.randint(-300, 300) * rng.choice([-1, 1]) for _ in range(401)], [None] * 401,
+        [rng.choice([float("nan"), 3.0, -0.0]) for _ in range(401)], [1.7e308 * rng.choice([-1, 1]) for _ in range(400)] + [None],
+    ]
+    frame = spark.createDataFrame([tuple(c[i] for c in columns) for i in range(401)], ", ".join(f"c{i} double" for i in range(6)))
+    got = risk.exact_medians(frame, frame.columns, bins=7)
+    for name, values in zip(frame.columns, columns):
+        values = [v for v in values if v is not None and v == v]
+        assert got[name] == (statistics.median(values) if values else None) or math.isclose(got[name], statistics.median(values))
+    assert risk.exact_medians(frame.limit(0), ["c0"]) == {"c0": None}
+
+
 def test_rows_without_time_have_no_split(spark):
     rows = spark.range(20).selectExpr("cast(id as string) shipment_id", "if(id < 10, 20240101 + id, null) date_key")
     got = [r["split"] for r in risk.with_split(rows, "date_key").collect()]
