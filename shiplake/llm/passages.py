@@ -189,9 +189,11 @@ def few_lost(codes: np.ndarray, shared: np.ndarray, width: int, least: float) ->
 class Stretch:
     """A stretch of a beside one of b, grown from a run as long as the Jaccard of the two shingle sets allows."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, codes: int, least: float) -> None:
+    def __init__(self, a: np.ndarray, b: np.ndarray, shared: np.ndarray, least: float) -> None:
+        """``shared``: which codes both texts hold."""
         self.sides, self.least = (a, b), least
-        self.held = np.zeros((2, codes), bool)
+        self.held = np.zeros((2, len(shared)), bool)
+        self.hits = [np.concatenate(([0], np.cumsum(shared[x]))).tolist() for x in (a, b)]
         self.keys = []
         for x in (a, b):  # the places of each shingle, found by one search
             self.keys.append(np.sort(x.astype(np.int64) * (len(x) + 2) + np.arange(len(x))))
@@ -213,6 +215,8 @@ class Stretch:
         the stretch and as long a run could afford; it is looked through in doubled steps."""
         afford = int(2 * self.shared * (1 - self.least) / self.least - (self.union - self.shared)) + 1
         look, seen = min(32, afford), 0
+        if not self.meets(afford, forward):
+            return False
         while look > seen:
             for i, j, n in self.candidates(forward, seen, look):
                 if self.takes(i, j, n, forward):
@@ -220,6 +224,14 @@ class Stretch:
             look, seen = min(2 * look, afford), look
         return False
 
+    def meets(self, look: int, forward: bool) -> bool:
+        """Whether both texts hold a shingle of the other within ``look`` places."""
+        for hits, first, last in zip(self.hits, (self.s, self.hs), (self.e, self.he), strict=True):
+            low, high = (min(last + 1, len(hits) - 1), min(last + 1 + look, len(hits) - 1)) if forward else (max(first - look, 0), first)
+            if hits[high] <= hits[low]:
+                return False
+        return True
+
     def candidates(self, forward: bool, seen: int, look: int) -> list[tuple[int, int, int]]:
         """(outer start or end in a, in b, length) of the runs next to the stretch, the longest for their gap first."""
         a, b = self.sides
@@ -303,7 +315,7 @@ def shared_runs(a: np.ndarray, b: np.ndarray, width: int, least: float) -> list[
     runs = long_runs(a, b)
     fine = np.concatenate(([0], np.cumsum(good)))
     runs = runs[fine[runs[:, 0] + runs[:, 2]] > fine[runs[:, 0]]]
-    stretch, reached, found = Stretch(a, b, len(names), least), np.zeros(len(a), bool), []
+    stretch, reached, found = Stretch(a, b, in_a & in_b, least), np.zeros(len(a), bool), []
     for i, j, n in runs.tolist():
         if not reached[i:i + n].all():
             got = stretch.grow(i, j, n)
@@ -355,8 +367,18 @@ def sketch(least_words: int, least: float):
     width = least_words - WIDTH + 1
     reach = math.ceil(width / least)
 
+    def table(held: list[tuple]) -> pd.DataFrame:
+        sig, doc_id, text_hash, c, seeks, around, low, bits, codes = zip(*held, strict=True)
+        rows = [len(x) for x in c]
+        return pd.DataFrame({
+            "sig": np.concatenate(sig), "doc_id": np.repeat(doc_id, rows), "text_hash": np.repeat(text_hash, rows),
+            "c": np.concatenate(c).astype("i4"), "seeks": np.concatenate(seeks).astype(bool), "around": np.concatenate(around),
+            "need": np.concatenate(low).astype(np.float32), "bits": [v.tobytes() for b in bits for v in b],
+            "codes": [v.tobytes() for b in codes for v in b]})
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = hashing.Words()
+        held, rows = [], 0
         for frame in frames:
             for row in frame.itertuples(index=False):
                 h = words.of(row.text, True)
@@ -379,10 +401,14 @@ def sketch(least_words: int, least: float):
                     low = fewest[c + 1]
                     for k in np.flatnonzero((left > c - width + 1) | (right < c + width - 1)).tolist():
                         low[k] = need[max(left[k], c[k] - width + 1):min(c[k], right[k] - width + 1) + 1].min()
-                    yield pd.DataFrame({
-                        "sig": row.sig[at:at + 1000], "doc_id": row.doc_id, "text_hash": row.text_hash, "c": c.astype("i4"),
-                        "seeks": row.seeks[at:at + 1000].astype(bool), "around": around, "need": low.astype(np.float32),
-                        "bits": [v.tobytes() for v in np.packbits(bits[:, :BITS], axis=1)], "codes": [v.tobytes() for v in codes]})
+                    held.append((row.sig[at:at + 1000], row.doc_id, row.text_hash, c, row.seeks[at:at + 1000], np.array(around, np.int64),
+                                 low, np.packbits(bits[:, :BITS], axis=1), codes))
+                    rows += len(c)
+                    if rows >= 5000:
+                        yield table(held)
+                        held, rows = [], 0
+        if held:
+            yield table(held)
 
     return tidy(run)
 
@@ -502,9 +528,17 @@ def verify(pairs: DataFrame, docs: DataFrame, least_words: int, least: float) ->
 
 
 def without_source(places: DataFrame, spans: DataFrame) -> DataFrame:
-    """The places (doc_id, text_hash, c) that no span reaches."""
-    reached = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
-        F.col("start_word").alias("s"), (F.col("start_word") + F.col("n_words") - WIDTH).alias("e"))).alias("_spans"))
+    """The places (doc_id, text_hash, c) that no span reaches. Spans of a text are merged first, so that a place looks at
+    few of them however many sources the text has."""
+    farthest = Window.partitionBy("doc_id", "text_hash").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy("doc_id", "text_hash").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, 0)
+    reached = (
+        spans.select("doc_id", "text_hash", F.col("start_word").alias("s"), (F.col("start_word") + F.col("n_words") - WIDTH).alias("e"))
+        .groupBy("doc_id", "text_hash", "s").agg(F.max("e").alias("e"))
+        .withColumn("new", F.coalesce(F.col("s") > F.max("e").over(farthest), F.lit(True)).cast("int"))
+        .withColumn("island", F.sum("new").over(ordered))
+        .groupBy("doc_id", "text_hash", "island").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+        .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("s", "e")).alias("_spans")))
     return places.join(reached, ["doc_id", "text_hash"], "left").where(
         F.col("_spans").isNull() | ~F.exists("_spans", lambda x: F.col("c").between(x["s"], x["e"]))).drop("_spans")
 
