@@ -1,7 +1,8 @@
 """Data-quality checks.
 
-Row checks over the same table share one aggregation. Set checks (uniqueness, relationships) count
-keys rather than rows after a partial aggregation.
+All checks over the same table share one scan and one aggregation. Row checks add up flags. For uniqueness and
+relationships each row offers its keys under the check's number; they are counted per key before the shuffle, and parents
+offer theirs into the same count.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shiplake.operators.keys import check_inputs, duplicate_keys, rows_per_key
+from shiplake.operators.keys import check_inputs, duplicate_keys
 from shiplake.schemas import FACT_COLUMNS, FACT_REQUIRED_KEYS, RELATIONSHIPS, RISK_LEVELS
 
 
@@ -90,13 +91,14 @@ def table_profile(frame: DataFrame, name: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
-    """A named check: a condition marking bad rows of ``frame``, a parent its keys must exist in, or
-    a frame that already holds the one number."""
+    """A named check: a condition marking bad rows of ``frame``, a parent its keys must exist in, columns that no two
+    rows share, or a frame that already holds the one number."""
 
     name: str
     frame: DataFrame
     bad_row: Column | None = None
     parent: Parent | None = None
+    unique_by: tuple[str, ...] | None = None
 
 
 @dataclass(frozen=True)
@@ -121,8 +123,7 @@ def expression(name: str, frame: DataFrame, holds: Column) -> Check:
 
 def unique(name: str, frame: DataFrame, *keys: str) -> Check:
     """Counts duplicated key values. Null keys are not compared."""
-    present = frame.filter(~any_null(keys))
-    return Check(name, duplicate_keys(present, keys).agg(F.count("*").alias("violations")))
+    return Check(name, frame, unique_by=keys)
 
 
 def relationship(
@@ -147,24 +148,19 @@ def row_total(name: str, violations: DataFrame) -> Check:
 
 
 def run_checks(checks: Iterable[Check]) -> DataFrame:
-    """``(check_name, violations, passed)`` for every check; lazy, one plan.
-
-    Row checks of a table are one aggregation over it, and so are its relationships.
-    """
-    by_row: dict[int, list[Check]] = {}
-    by_parent: dict[int, list[Check]] = {}
+    """``(check_name, violations, passed)`` for every check; lazy, one plan with one scan per checked table."""
+    by_table: dict[int, list[Check]] = {}
     reports: list[DataFrame] = []
     for check in checks:
-        if check.bad_row is not None:
-            by_row.setdefault(id(check.frame), []).append(check)
-        elif check.parent is not None:
-            by_parent.setdefault(id(check.frame), []).append(check)
+        if check.bad_row is not None or check.parent is not None or check.unique_by is not None:
+            by_table.setdefault(id(check.frame), []).append(check)
         else:
             reports.append(check.frame.select(F.lit(check.name).alias("check_name"), "violations"))
-    for group in by_row.values():
-        reports.append(named_counts(group[0].frame, {c.name: F.count_if(c.bad_row) for c in group}))
-    for group in by_parent.values():
-        reports.append(orphan_counts(group))
+    for group in by_table.values():
+        if all(c.bad_row is not None for c in group):
+            reports.append(named_counts(group[0].frame, {c.name: F.count_if(c.bad_row) for c in group}))
+        else:
+            reports.append(fused_counts(group))
     report = reduce(DataFrame.unionByName, reports)
     return report.withColumn("passed", F.col("violations") == 0)
 
@@ -177,24 +173,48 @@ def named_counts(frame: DataFrame, counts: dict[str, Column]) -> DataFrame:
     return frame.agg(rows.alias("_checks")).select(F.inline("_checks"))
 
 
-def orphan_counts(checks: Sequence[Check]) -> DataFrame:
-    """Relationships of one child table: its keys are counted per value in a single pass, and only
-    the distinct values meet the parents."""
-    offered = checks[0].frame.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("check"), F.col(c.parent.key).cast("string").alias("key")) for i, c in enumerate(checks)
-    ])))
-    parents = reduce(DataFrame.unionByName, [
-        c.parent.frame.select(F.lit(i).alias("check"), F.col(c.parent.frame_key).cast("string").alias("key"))
-        for i, c in enumerate(checks)
-    ])
-    orphans = rows_per_key(offered, "check", "key").join(parents, ["check", "key"], "left_anti")
+def key_text(keys: Sequence[str]) -> Column:
+    """A key as text, null if any part is. Parts are written with their length, so different keys differ."""
+    parts = [F.col(k).cast("string") for k in keys]
+    return parts[0] if len(parts) == 1 else F.concat(*[x for p in parts for x in (F.length(p).cast("string"), F.lit(":"), p)])
+
+
+def fused_counts(checks: Sequence[Check]) -> DataFrame:
+    """All checks of one table in one scan: each row offers its flags and its keys, by the number of the check."""
+    rows = [i for i, c in enumerate(checks) if c.bad_row is not None]
+    zero = F.lit(0).cast("long")
+    flags = F.array(*[F.when(checks[i].bad_row, 1).otherwise(0).cast("long") for i in rows]) if rows else F.array().cast("array<bigint>")
+
+    def entry(number: int, key: Column, known: int, own: Column) -> Column:
+        return F.struct(F.lit(number).alias("check"), key.alias("key"), F.lit(known).alias("known"), own.alias("flags"))
+
+    none = F.lit(None).cast("array<bigint>")
+    offers = [entry(-1, F.lit(None).cast("string"), 0, flags)]
+    parents = []
+    for i, check in enumerate(checks):
+        if check.unique_by is not None:
+            offers.append(entry(i, key_text(check.unique_by), 0, none))
+        elif check.parent is not None:
+            offers.append(entry(i, key_text([check.parent.key]), 0, none))
+            parents.append(check.parent.frame.select(entry(i, key_text([check.parent.frame_key]), 1, none).alias("e")).select("e.*"))
+    offered = checks[0].frame.select(F.inline(F.array(*offers)))
+    counted = reduce(DataFrame.unionByName, [offered, *parents]).groupBy("check", "key").agg(
+        F.count_if(F.col("known") == 0).alias("rows"), F.max("known").alias("known"),
+        *[F.sum(F.get("flags", F.lit(at))).alias(f"flag{at}") for at in range(len(rows))],
+    )
     counts = {}
     for i, check in enumerate(checks):
         mine = F.col("check") == i
-        if not check.parent.null_is_orphan:
-            mine = mine & F.col("key").isNotNull()
-        counts[check.name] = F.coalesce(F.sum(F.when(mine, F.col("row_count"))), F.lit(0))
-    return named_counts(orphans, counts)
+        if check.bad_row is not None:
+            counts[check.name] = F.coalesce(F.sum(F.when(F.col("check") == -1, F.col(f"flag{rows.index(i)}"))), zero)
+        elif check.unique_by is not None:
+            counts[check.name] = F.count_if(mine & F.col("key").isNotNull() & (F.col("rows") > 1))
+        else:
+            lost = mine & ((F.col("known") == 0) | F.col("key").isNull())
+            if not check.parent.null_is_orphan:
+                lost = lost & F.col("key").isNotNull()
+            counts[check.name] = F.coalesce(F.sum(F.when(lost, F.col("rows"))), zero)
+    return named_counts(counted, counts)
 
 
 def require_passed(report: DataFrame) -> None:

@@ -604,6 +604,25 @@ QUERIES = {
         FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_late AND late_risk_probability >= 0.36::DOUBLE) AS tp,
                      count(*) FILTER (WHERE NOT is_late AND late_risk_probability >= 0.36::DOUBLE) AS fp,
                      count(*) FILTER (WHERE is_late AND late_risk_probability < 0.36::DOUBLE) AS fn FROM (SELECT is_late, late_risk_probability + (order_key % 1009)::DOUBLE / 1e9::DOUBLE AS late_risk_probability FROM labelled JOIN fact USING (shipment_id)) )""",
+    "classification_metrics_close": """
+        SELECT n AS rows, round((tp + fn)::DOUBLE / n, 4) AS late_rate, 0.36::DOUBLE AS threshold,
+               round((SELECT sum(late * (below + other / 2)) / (sum(late) * sum(other)) FROM (
+                   SELECT late, other, coalesce(sum(other) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+                   FROM (SELECT late_risk_probability AS p, (count(*) FILTER (WHERE is_late))::DOUBLE AS late,
+                                (count(*) FILTER (WHERE NOT is_late))::DOUBLE AS other FROM (SELECT is_late, 0.36::DOUBLE + ((order_key * 7919 % 20011)::DOUBLE - 10000.0::DOUBLE) / 4e9::DOUBLE AS late_risk_probability FROM labelled JOIN fact USING (shipment_id)) GROUP BY 1))), 4) AS roc_auc,
+               round((n - fp - fn)::DOUBLE / n, 4) AS accuracy, round(tp::DOUBLE / (tp + fp), 4) AS precision,
+               round(tp::DOUBLE / (tp + fn), 4) AS recall, round((2 * tp)::DOUBLE / (2 * tp + fp + fn), 4) AS f1
+        FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_late AND late_risk_probability >= 0.36::DOUBLE) AS tp,
+                     count(*) FILTER (WHERE NOT is_late AND late_risk_probability >= 0.36::DOUBLE) AS fp,
+                     count(*) FILTER (WHERE is_late AND late_risk_probability < 0.36::DOUBLE) AS fn FROM (SELECT is_late, 0.36::DOUBLE + ((order_key * 7919 % 20011)::DOUBLE - 10000.0::DOUBLE) / 4e9::DOUBLE AS late_risk_probability FROM labelled JOIN fact USING (shipment_id)) )""",
+    "feature_medians": " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, median({c}::DOUBLE) AS median FROM ( SELECT scheduled_time, sales, profit, d.year AS order_year, "
+        "d.month AS order_month, isodow(d.full_date) - 1 AS order_day_of_week FROM fact f JOIN dim_date d USING (date_key) )"
+        for c in ("scheduled_time", "sales", "profit", "order_year", "order_month", "order_day_of_week")),
+    "staging_carrier": "SELECT carrier_id, carrier_name, service_type FROM dim_carrier",
+    "staging_route": "SELECT route_id, origin_market, destination_region FROM dim_route",
+    "staging_date": "SELECT * FROM dim_date",
+    "staging_shipment": "SELECT * FROM fact",
     "scoring_input": """
         SELECT f.shipment_id, f.route_key, f.warehouse_key, f.scheduled_time, f.sales, f.profit, d.year AS order_year,
                d.month AS order_month, CAST(isodow(d.full_date) - 1 AS INT) AS order_day_of_week

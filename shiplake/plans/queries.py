@@ -64,6 +64,24 @@ def staging_warehouse(spark, d):
     return marts.stg_warehouse(src.dim_warehouse(spark, d))
 
 
+def staging_carrier(spark, d):
+    return marts.stg_carrier(src.dim_carrier(spark, d))
+
+
+def staging_route(spark, d):
+    return marts.stg_route(src.dim_route(spark, d))
+
+
+def staging_date(spark, d):
+    return marts.stg_date(src.dim_date(spark, d))
+
+
+def staging_shipment(spark, d):
+    """Types and column order are restored from text."""
+    text = src.fact_shipment(spark, d)
+    return marts.stg_shipment(text.select(*[F.col(c).cast("string").alias(c) for c in reversed(text.columns)]))
+
+
 def card_overview(spark, d):
     return cards.overview(src.fact_shipment(spark, d), src.dim_date(spark, d), CARD_START, CARD_END)
 
@@ -739,6 +757,21 @@ def classification_metrics(spark, d):
     return risk.classification_metrics(finer, "late_risk_probability", F.col("is_late"), THRESHOLD)
 
 
+def classification_metrics_close(spark, d):
+    """On scores that all lie within 1e-5 of each other, around the threshold."""
+    keys_ = src.fact_shipment(spark, d).select("shipment_id", "order_key")
+    close = labelled_predictions(spark, d).join(keys_, "shipment_id").withColumn(
+        "p", F.lit(THRESHOLD) + ((F.col("order_key") * 7919 % 20011).cast("double") - F.lit(10000.0)) / F.lit(4e9)
+    )
+    return risk.classification_metrics(close, "p", F.col("is_late"), THRESHOLD)
+
+
+def feature_medians(spark, d):
+    """What missing numbers are filled with."""
+    found = risk.exact_medians(scoring_input(spark, d), risk.NUMERIC)
+    return spark.createDataFrame([(c, found[c]) for c in risk.NUMERIC], "feature string, median double")
+
+
 def scoring_input(spark, d):
     return risk.scoring_input(src.fact_shipment(spark, d), src.dim_date(spark, d))
 
@@ -778,6 +811,7 @@ def risk_model_scores(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     carrier_performance, route_performance, sla_monthly, sla_rollup, staging_warehouse,
+    staging_carrier, staging_route, staging_date, staging_shipment,
     card_overview, card_delay_trend, card_carrier, card_route, card_warehouse,
     card_at_risk, card_route_reco, card_open_alerts,
     card_scenario_kpis, card_affected_latest, card_mitigation_latest,
@@ -799,5 +833,6 @@ QUERIES = {f.__name__: f for f in (
     stream_alerts_timed, stream_proactive_alerts,
     proactive_alerts, proactive_alerts_again, proactive_alert_violations, top_risk_shipment,
     prediction_upsert, risk_tiers, risk_distribution, threshold_search, classification_metrics,
+    classification_metrics_close, feature_medians,
     scoring_input, training_input, time_split, risk_model_metrics, risk_model_scores,
 )}
