@@ -53,18 +53,31 @@ PAIRS = "doc_id long, text_hash long, source_id long, source_hash long"
 DRAWN = "sig long, doc_id long, text_hash long, c int, seeks boolean, around long, need float, bits binary, codes binary"
 
 
-def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """(left, centre, right) of every compact window of at least ``width``, by descent in the Cartesian tree."""
-    found, todo = [], [(0, len(values) - 1)]
-    while todo:
-        left, right = todo.pop()
-        if right - left + 1 < width:
-            continue
-        centre = left + int(values[left:right + 1].argmin())
-        found.append((left, centre, right))
-        todo.append((left, centre - 1))
-        todo.append((centre + 1, right))
-    return found
+def compact_windows(values: np.ndarray, width: int) -> np.ndarray:
+    """(left, centre, right) of every compact window of at least ``width``: the nodes of the Cartesian tree that are so wide.
+
+    Their centres are the leftmost least places of the stretches of ``width``, found by doubling. A centre's window ends
+    before the nearest smaller values, and those are centres themselves, so one pass with a stack over the centres
+    gives the ends."""
+    n = len(values)
+    if n < width:
+        return np.zeros((0, 3), np.int64)
+    at, least, span = np.arange(n), values, 1
+    while span < width:
+        step = min(span, width - span)
+        first = least[:-step] <= least[step:]
+        at = np.where(first, at[:-step], at[step:])
+        least, span = np.where(first, least[:-step], least[step:]), span + step
+    centres = at[np.append(True, at[1:] != at[:-1])]
+    places, least = centres.tolist(), values[centres].tolist()
+    left, right, open_ = [0] * len(places), [n - 1] * len(places), []
+    for i, x in enumerate(least):
+        while open_ and least[open_[-1]] > x:
+            right[open_.pop()] = places[i] - 1
+        if open_:
+            left[i] = places[open_[-1]] + 1
+        open_.append(i)
+    return np.column_stack((left, centres, right))
 
 
 def emit_windows(least_words: int):
@@ -73,7 +86,7 @@ def emit_windows(least_words: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = hashing.Words()
         for frame in frames:
-            rows, sigs, around = [], [], []
+            rows, sigs, around, held = [], [], [], 0
             for number, text in enumerate(frame["text"]):
                 hashes = words.of(text, lower=True)
                 if len(hashes) < least_words:
@@ -81,15 +94,16 @@ def emit_windows(least_words: int):
                 value, _ = hashing.shingles(hashes, np.array([len(hashes)]), WIDTH, short_whole=False)
                 for k in range(HASHES):
                     hashed = hashing.mix(value, 100 + k)
-                    made = np.array(compact_windows(hashed, width), np.int64)
+                    made = compact_windows(hashed, width)
                     left, centre, right = made.T
                     rows.append(np.column_stack((np.full(len(made), number), np.full(len(made), k), made)))
                     sigs.append(hashed[centre])
                     around.append(value[np.maximum(left, centre - AROUND)] * np.uint64(3)
                                   + value[np.minimum(right, centre + AROUND)])
-                if sum(map(len, sigs)) > 200_000:
+                held += sum(map(len, sigs[-HASHES:]))
+                if held > 200_000:
                     yield table(frame, rows, sigs, around)
-                    rows, sigs, around = [], [], []
+                    rows, sigs, around, held = [], [], [], 0
             if rows:
                 yield table(frame, rows, sigs, around)
 
