@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,6 +19,8 @@ from shiplake.schemas import SCENARIO_SCHEMA, SCENARIO_TARGETS
 from shiplake.session import cut_lineage
 from shiplake.sources.writers import complete_scenarios, read_scenarios, write_scenarios
 
+LISTED_TARGETS = 1000  # targets that a scan is given as a list
+
 
 @dataclass(frozen=True)
 class Scenario:
@@ -84,27 +87,32 @@ def cohort(fact: DataFrame, scenario_type: str, target_id: str) -> DataFrame:
 
 
 def targeted_shipments(fact: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Fact rows paired with the scenarios that target them.
+    """Fact rows paired with the scenarios that target them: one join per target type that occurs.
 
-    Each row offers its three keys and meets the scenarios by (type, target) in one equi-join, so
-    the fact is read once for all scenarios. The scenarios are broadcast only below a row bound;
-    above it AQE splits the rows of a hot target.
+    The targets of a type also stand as a list in a filter on the fact, which reaches the scan: a warehouse outage
+    opens the partitions of its warehouses only. Beyond ``LISTED_TARGETS`` distinct targets the joins do without
+    it. Scenarios are broadcast only below a row bound; above it AQE splits the rows of a hot target.
     """
-    offers = F.explode(F.array(*[
-        F.struct(F.lit(kind).alias("scenario_type"), F.col(column).alias("target_id"))
-        for kind, column in SCENARIO_TARGETS.items()
-    ]))
-    offered = fact.select(
-        "shipment_id", "order_key", "carrier_key", "warehouse_key", "route_key",
-        "lead_time", "delay_hours", "on_time", "sales", "profit", offers.alias("_offer"),
-    )
     wanted = scenarios.select(
         "scenario_id", "scenario_type", "target_id", "random_seed", "affected_percent",
         F.col("added_delay_hours").alias("_added"), F.col("created_at").alias("simulated_at"),
     )
-    return offered.select("*", "_offer.*").drop("_offer").join(
-        broadcast_if_small(wanted), ["scenario_type", "target_id"]
+    listed = wanted.select("scenario_type", "target_id").distinct().limit(LISTED_TARGETS + 1).collect()
+    few = len(listed) <= LISTED_TARGETS
+    offered = fact.select(
+        "shipment_id", "order_key", "carrier_key", "warehouse_key", "route_key",
+        "lead_time", "delay_hours", "on_time", "sales", "profit",
     )
+    parts = []
+    for kind, column in SCENARIO_TARGETS.items():
+        targets = sorted(r["target_id"] for r in listed if r["scenario_type"] == kind and r["target_id"] is not None)
+        if targets or not few:
+            own = offered.filter(F.col(column).isin(targets)) if few else offered
+            mine = broadcast_if_small(wanted.filter(F.col("scenario_type") == kind))
+            parts.append(own.join(mine, F.col(column) == F.col("target_id")))
+    if not parts:
+        return offered.join(wanted.filter(F.lit(False)), F.col("carrier_key") == F.col("target_id"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def simulate(fact: DataFrame, scenarios: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Dashboard queries.
 
 Period cards total the fact by (key, day) first, which is at most keys x days rows, then meet the
-calendar and the dimension. The date range also bounds ``date_key`` on the fact, so it reaches the
-scan and prunes files.
+calendar and the dimension. The date range also bounds ``date_key`` on the fact, and the month of the curated zone, so it
+reaches the scan and prunes partitions and files.
 """
 
 from __future__ import annotations
@@ -22,13 +22,27 @@ def key_of(day: date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 
 
+def in_period(fact: DataFrame, start: date | None, end: date | None) -> DataFrame:
+    """Rows of the inclusive range of days. On the curated zone the months of the range bound the partition column as
+    well, so that other months are not opened."""
+    zoned = "shipment_month" in fact.columns
+    if start is not None:
+        fact = fact.filter(F.col("date_key") >= key_of(start))
+        if zoned:
+            fact = fact.filter(F.col("shipment_month") >= f"{start:%Y%m}")
+    if end is not None:
+        fact = fact.filter(F.col("date_key") <= key_of(end))
+        if zoned:
+            fact = fact.filter(F.col("shipment_month") <= f"{end:%Y%m}")
+    return fact
+
+
 def daily_totals(fact: DataFrame, dates: DataFrame, start: date | None, end: date | None, *keys: str) -> DataFrame:
     """Totals per (keys, day) for days of the calendar inside the inclusive range."""
+    fact = in_period(fact, start, end)
     if start is not None:
-        fact = fact.filter(F.col("date_key") >= key_of(start))
         dates = dates.filter(F.col("full_date") >= F.lit(start))
     if end is not None:
-        fact = fact.filter(F.col("date_key") <= key_of(end))
         dates = dates.filter(F.col("full_date") <= F.lit(end))
     totals = fact.groupBy(*keys, "date_key").agg(
         F.count("*").alias("shipments"),

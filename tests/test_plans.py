@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
+from shiplake.operators import whatif
 from shiplake.plans import cards
 from shiplake.plans.oracles import ORACLES
 from shiplake.plans.queries import CARD_END, CARD_START, QUERIES
-from shiplake.sources import driver_tables as src, writers
+from shiplake.sources import driver_tables as src, readers, writers
 
 SF = "/root/testdata/sf0.001"
 # Queries that run jobs of their own while they are built are left out here.
@@ -18,6 +21,13 @@ LAZY = [
 ]
 
 
+@pytest.fixture(scope="module")
+def curated(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("zone") / "fact")
+    writers.write_curated(src.fact_shipment(spark, SF), path)
+    return readers.read_curated(spark, path)
+
+
 def physical(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -51,6 +61,30 @@ def test_card_period_reaches_the_fact_scan(spark, tmp_path):
     assert "ReadSchema: struct<date_key:int,delay_hours:int,on_time:boolean,sales:double,profit:double>" in plan
 
 
+@pytest.mark.parametrize("card", ["overview", "delay_trend", "carrier_card", "route_card", "warehouse_card"])
+def test_card_period_opens_only_its_months(spark, curated, card):
+    dims = {"carrier_card": src.dim_carrier, "route_card": src.dim_route, "warehouse_card": src.dim_warehouse}
+    own = [dims[card](spark, SF)] if card in dims else []
+    run = lambda fact: getattr(cards, card)(fact, *own, src.dim_date(spark, SF), CARD_START, CARD_END)
+    plan = physical(run(curated))
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line and "shipment_month" in line)
+    assert "(shipment_month" in filters and ">= 199601" in filters and "<= 199812" in filters
+    assert sorted(map(str, run(curated).collect())) == sorted(map(str, run(curated.drop("shipment_month")).collect()))
+
+
+def test_an_outage_opens_the_partitions_of_its_warehouse_only(spark, curated):
+    outage = whatif.Scenario("warehouse_outage", "WH003", 24.0, scenario_id="S1")
+    pairs = whatif.targeted_shipments(curated, whatif.scenario_frame(spark, [outage]))
+    plan = physical(pairs)
+    assert plan.count("FileScan parquet") == 1
+    assert re.search(r"PartitionFilters: \[[^\]]*warehouse_key#\d+ (=|IN) \(?WH003", plan)
+    assert pairs.count() == curated.filter("warehouse_key = 'WH003'").count() > 0
+
+
+def test_checks_scan_a_table_once(spark):
+    assert physical(QUERIES["dq_report"](spark, SF)).count("lineitem.parquet") <= 3  # the fact, and the calendar twice
+
+
 def test_line_items_are_shuffled_once_and_only_used_columns_are_read(spark):
     plan = physical(QUERIES["carrier_performance"](spark, SF))
     assert plan.count("lineitem.parquet") == 1
