@@ -8,8 +8,9 @@ the same least hash around the same place.
 
 Windows meet by that hash. Each is paired with the earliest text that holds it and with the earliest of those with the
 same surroundings. The windows of a pair of texts are joined as intervals: stretches that enough hash functions agree on
-are candidates. Verification takes both whole texts, finds word-for-word runs on every diagonal, joins them in chains, and
-keeps the stretches of chains of at least ``least_words`` words whose shingle sets have Jaccard >= 0.8.
+are candidates. Verification takes both whole texts, lists their word-for-word runs of ``ANCHOR`` shingles or more, lets
+each grow over gaps while the exact Jaccard of the two shingle sets stays at 0.8 or more, and keeps what reaches
+``least_words`` words.
 
 Windows whose centre no verified passage reaches are looked at again, against every earlier window of their hash, in cells
 of bounded size. A stretch of the shortest length around the centre that another place holds at 0.8 shares a least number
