@@ -22,6 +22,13 @@ def ratio_or_zero(part: Column, whole: Column) -> Column:
     return F.coalesce(ratio(part, whole), F.lit(0.0))
 
 
+def rounded(number: Column, places: int) -> Column:
+    """A double to ``places``, half away from zero after the shift of the point: as ``round`` of SQL engines does it on
+    doubles. ``F.round`` goes by the shortest decimal text and takes 0.50345, which lies below the half, up."""
+    shift = 10.0 ** places
+    return F.round(number * shift) / shift
+
+
 def number_or_zero(column: Column) -> Column:
     """Lenient number; null for anything that is not one becomes 0."""
     return F.coalesce(column.try_cast("double"), F.lit(0.0))

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from shiplake.functions.measures import alert_priority
+from shiplake.functions.measures import alert_priority, rounded
 from shiplake.operators.quality import Check, row_total, run_checks, unique
 from shiplake.operators.tracking import at
 from shiplake.operators.upsert import first_per_key
@@ -29,7 +29,7 @@ def eligible_states(running: DataFrame, predictions: DataFrame) -> DataFrame:
         "shipment_id", "late_risk_probability", "risk_level"
     )
     moving = running.filter(F.col("event_type").isin(OPEN_EVENT_TYPES))
-    percent = F.round(F.col("late_risk_probability") * 100, 1).cast("string")
+    percent = rounded(F.col("late_risk_probability") * 100, 1).cast("string")
     # Fixed value: wording of the notification.
     message = F.concat(
         F.lit("Proactive delay-risk warning for shipment "), F.col("shipment_id"),

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shiplake.functions.measures import ratio
+from shiplake.functions.measures import ratio, rounded
 from shiplake.operators.quality import Check, row_total, run_checks
 from shiplake.operators.tracking import at
 
@@ -92,11 +92,11 @@ def score_candidates(candidates: DataFrame, *, strict: bool = False) -> DataFram
     return scored.select(
         *candidates.columns,
         "cost_included",
-        F.round(on_time, 4).alias("predicted_on_time_probability"),
-        F.round("_on_time", 2).alias("on_time_points"),
-        F.round("_lead", 2).alias("lead_time_points"),
-        F.round("_cost", 2).alias("cost_points"),
-        F.round(F.col("_on_time") + F.col("_lead") + F.col("_cost"), 2).alias("recommendation_score"),
+        rounded(on_time, 4).alias("predicted_on_time_probability"),
+        rounded(F.col("_on_time"), 2).alias("on_time_points"),
+        rounded(F.col("_lead"), 2).alias("lead_time_points"),
+        rounded(F.col("_cost"), 2).alias("cost_points"),
+        rounded(F.col("_on_time") + F.col("_lead") + F.col("_cost"), 2).alias("recommendation_score"),
         (F.col("late_risk_probability") >= HIGH_RISK).alias("high_risk"),
     )
 

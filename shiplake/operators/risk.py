@@ -12,7 +12,7 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from shiplake.functions.measures import ratio, ratio_or_zero, risk_tier
+from shiplake.functions.measures import ratio, ratio_or_zero, risk_tier, rounded
 from shiplake.functions.numbering import with_sum_before
 from shiplake.functions.timeparts import monday_based_weekday, weekday_number
 from shiplake.operators.keys import check_inputs, lookup_table
@@ -342,13 +342,13 @@ def classification_metrics(scored: DataFrame, probability: str, label: Column, t
     rows = late + other
     return sums.select(
         rows.alias("rows"),
-        F.round(ratio(late, rows), 4).alias("late_rate"),
+        rounded(ratio(late, rows), 4).alias("late_rate"),
         F.lit(float(threshold)).alias("threshold"),
-        F.round(ratio(F.col("area"), late.cast("double") * other), 4).alias("roc_auc"),
-        F.round(ratio(tp + other - fp, rows), 4).alias("accuracy"),
-        F.round(ratio_or_zero(tp, tp + fp), 4).alias("precision"),
-        F.round(ratio_or_zero(tp, late), 4).alias("recall"),
-        F.round(ratio_or_zero(tp * 2, tp + fp + late), 4).alias("f1"),
+        rounded(ratio(F.col("area"), late.cast("double") * other), 4).alias("roc_auc"),
+        rounded(ratio(tp + other - fp, rows), 4).alias("accuracy"),
+        rounded(ratio_or_zero(tp, tp + fp), 4).alias("precision"),
+        rounded(ratio_or_zero(tp, late), 4).alias("recall"),
+        rounded(ratio_or_zero(tp * 2, tp + fp + late), 4).alias("f1"),
     )
 
 

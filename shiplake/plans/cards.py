@@ -11,7 +11,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from shiplake.functions.measures import exact_sum
+from shiplake.functions.measures import exact_sum, rounded
 from shiplake.functions.timeparts import month_start
 from shiplake.schemas import ALERT_RISK_LEVELS
 
@@ -59,8 +59,8 @@ def kpi_columns():
     shipments = F.sum("shipments")
     return [
         shipments.alias("total_shipments"),
-        F.round(F.try_divide(F.sum("on_time_shipments") * 100.0, shipments), 2).alias("on_time_rate_pct"),
-        F.round(F.try_divide(F.sum("delay_sum").cast("double"), F.sum("delay_count")), 2).alias("avg_delay_hours"),
+        rounded(F.try_divide(F.sum("on_time_shipments") * 100.0, shipments), 2).alias("on_time_rate_pct"),
+        rounded(F.try_divide(F.sum("delay_sum").cast("double"), F.sum("delay_count")), 2).alias("avg_delay_hours"),
     ]
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shiplake.functions.measures import ratio
+from shiplake.functions.measures import ratio, rounded
 from shiplake.functions.text import strip_text
 from shiplake.operators.orders import conform_fact
 from shiplake.schemas import CARRIER_SCHEMA, DATE_SCHEMA, ROUTE_SCHEMA, WAREHOUSE_SCHEMA
@@ -93,8 +93,8 @@ def sla_rollup(monthly: DataFrame) -> DataFrame:
         F.count("*").alias("months"),
         shipments.alias("total_shipments"),
         F.sum("on_time_shipments").alias("on_time_shipments"),
-        F.round(F.sum("on_time_shipments") * 100.0 / shipments, 2).alias("sla_pct"),
-        F.round(F.sum(F.col("avg_delay_hours") * F.col("total_shipments")) / shipments, 2).alias("avg_delay_hours"),
+        rounded(F.sum("on_time_shipments") * 100.0 / shipments, 2).alias("sla_pct"),
+        rounded(F.sum(F.col("avg_delay_hours") * F.col("total_shipments")) / shipments, 2).alias("avg_delay_hours"),
         F.min("year").alias("first_year"),
         F.max("year").alias("last_year"),
     )

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 from datetime import date
 
+import duckdb
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -22,6 +23,15 @@ def test_text_clean_up(spark):
     assert values(frame.limit(1).select(text.clean_identifier(F.lit(" wh003 ")).alias("v"))) == ["WH003"]
 
 
+def test_halves_round_as_sql_does(spark):
+    cases = [(0.50345, 4), (2.675, 2), (1.005, 2), (0.125, 2), (-0.125, 2), (0.5035, 4), (12.25, 1), (7.0, 2)]
+    con = duckdb.connect()
+    want = [con.execute("SELECT round(?::DOUBLE, ?)", case).fetchone()[0] for case in cases]
+    got = [spark.range(1).select(measures.rounded(F.lit(x), n).alias("v")).first()["v"] for x, n in cases]
+    assert got == want and got[0] == 0.5034
+    assert values(spark.range(1).select(measures.rounded(F.lit(None).cast("double"), 2).alias("v"))) == [None]
+
+
 def test_ids_are_padded_and_may_grow(spark):
     frame = spark.createDataFrame([(1,), (1234,)], "n long")
     assert values(frame.select(text.numbered_id("RT", F.col("n")).alias("v"))) == ["RT001", "RT1234"]

@@ -83,6 +83,13 @@ def test_no_positive_prediction_gives_zero(scored):
     assert (row["precision"], row["recall"], row["f1"]) == (0.0, 0.0, 0.0)
 
 
+def test_accuracy_just_below_a_half_goes_down(spark):
+    """10,069 of 20,000 right are 0.50345, as a double a little less."""
+    half = spark.range(20_000).select(F.lit(0.9).alias("p"), (F.col("id") < 10_069).alias("late"))
+    row = risk.classification_metrics(half, "p", late(), 0.5).first()
+    assert (row["accuracy"], row["late_rate"], row["precision"]) == (0.5034, 0.5034, 0.5034)
+
+
 def labelled_rows(n=900, hot_share=0.4):
     """A hot day, a hot minute within it, and unknown values."""
     rng = random.Random(11)
