@@ -21,6 +21,7 @@ from shiplake.operators.quality import prediction_checks, require_no_nulls, requ
 from shiplake.operators.tracking import at
 from shiplake.operators.upsert import replace_rows
 from shiplake.schemas import PREDICTION_SCHEMA
+from shiplake.session import staged
 from shiplake.sources.bucketed import BucketedTable
 
 # Features, search grid in hundredths, selection rule, split shares.
@@ -416,8 +417,8 @@ def upsert_predictions(store: DataFrame, predictions: DataFrame, scored_at: date
 
 def publish_predictions(store: BucketedTable, predictions: DataFrame, scored_at: datetime | None = None) -> int:
     """The same into a stored table, of which only the buckets of the given shipments are read and written. Returns the
-    version that readers see from now on."""
-    return store.upsert(stamped_predictions(predictions, scored_at))
+    version that readers see from now on. The batch is checked, split into buckets and merged, so it is staged first."""
+    return store.upsert(stamped_predictions(staged(predictions, "prediction-batch"), scored_at))
 
 
 def save_model(result: TrainingResult, path: str) -> None:

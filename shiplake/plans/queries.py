@@ -12,7 +12,7 @@ from shiplake.plans import cards, marts
 from shiplake.schemas import (
     CURATED_PARTITIONS, FACT_COLUMNS, OPEN_EVENT_TYPES, ORDER_COLUMNS, PREDICTION_SCHEMA,
 )
-from shiplake.session import cut_lineage, scratch_path
+from shiplake.session import cut_lineage, scratch_path, staged
 from shiplake.sources import driver_tables as src, readers, writers
 from shiplake.sources.bucketed import BucketedTable
 from shiplake.sources.versioned import VersionedTable
@@ -739,7 +739,7 @@ def labelled_predictions(spark, d):
 
 def prediction_upsert(spark, d):
     """HIGH shipments scored again at half the probability; the others keep their old row."""
-    base = src.fact_predictions(spark, d)
+    base = staged(src.fact_predictions(spark, d), "base-predictions")
     store = BucketedTable(spark, scratch_path(spark, "predictions"), PREDICTION_SCHEMA, ["shipment_id"], buckets=16)
     risk.publish_predictions(store, base, datetime(2024, 1, 1, tzinfo=timezone.utc))
     rescored = base.filter(F.col("risk_level") == "HIGH").select(

@@ -42,6 +42,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def staged(frame: DataFrame, label: str) -> DataFrame:
+    """Written once to the shared folder and read back, for rows that several jobs read."""
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder, so a lost executor cannot change the rows seen later."""
     context = frame.sparkSession.sparkContext

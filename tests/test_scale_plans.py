@@ -4,7 +4,13 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
+from shiplake.operators import risk
 from shiplake.plans import queries
+from shiplake.schemas import PREDICTION_SCHEMA
+from shiplake.sources import driver_tables as src
+from shiplake.sources.bucketed import BucketedTable
 
 DATA = "/root/testdata/sf0.001"
 
@@ -22,3 +28,18 @@ def test_reconciled_rows_are_shuffled_once(spark):
 
 def test_coverage_is_not_dealt_to_a_fixed_number_of_tasks(spark):
     assert not [line for line in exchanges(queries.carrier_assign_coverage(spark, DATA)) if "RoundRobin" in line or "BY_NUM" in line]
+
+
+def test_published_predictions_are_derived_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(i):
+        seen.add(1)
+        return i / 100.0
+
+    scored = spark.range(40).select(
+        F.col("id").cast("string").alias("shipment_id"), F.udf(score, "double")("id").alias("late_risk_probability"))
+    rows = src.as_predictions(scored)
+    store = BucketedTable(spark, str(tmp_path / "store"), PREDICTION_SCHEMA, ["shipment_id"], buckets=2)
+    risk.publish_predictions(store, rows)
+    assert store.read().count() == 40 and seen.value == 40
