@@ -43,3 +43,21 @@ def test_published_predictions_are_derived_once(spark, tmp_path):
     store = BucketedTable(spark, str(tmp_path / "store"), PREDICTION_SCHEMA, ["shipment_id"], buckets=2)
     risk.publish_predictions(store, rows)
     assert store.read().count() == 40 and seen.value == 40
+
+
+def joins(frame) -> int:
+    return len(re.findall(r"\bJoin ", frame._jdf.queryExecution().optimizedPlan().toString()))
+
+
+def test_whatif_reads_a_staged_fact(spark, monkeypatch):
+    """The joins that derive the fact run once, not per target type and run."""
+    given = []
+    for name in ("run", "run_and_store", "simulate", "targeted_shipments"):
+        def kept(fact, *more, _real=getattr(queries.whatif, name)):
+            given.append(fact)
+            return _real(fact, *more)
+        monkeypatch.setattr(queries.whatif, name, kept)
+    queries.scenario_round_trip(spark, DATA)
+    queries.whatif_result(spark, DATA)
+    queries.whatif_scenarios(spark, DATA)
+    assert len(given) >= 5 and not any(map(joins, given))
