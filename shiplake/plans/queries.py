@@ -810,21 +810,22 @@ def time_split(spark, d):
     return risk.with_split(src.fact_shipment(spark, d), "date_key").select("shipment_id", "date_key", "split")
 
 
-def risk_training(spark, d):
-    labelled = risk.scoring_input(
+def risk_features(spark, d):
+    """Features with day and label, staged: training and scoring read them."""
+    return staged(risk.scoring_input(
         src.fact_shipment(spark, d), src.dim_date(spark, d),
         F.col("date_key"), (~F.col("on_time")).cast("int").alias("is_late"),
-    )
-    return risk.train(labelled, "date_key")
+    ), "risk-features")
 
 
 def risk_model_metrics(spark, d):
-    return risk_training(spark, d).metrics
+    return risk.train(risk_features(spark, d), "date_key").metrics
 
 
 def risk_model_scores(spark, d):
-    trained = risk_training(spark, d)
-    return risk.score(trained.model, scoring_input(spark, d), trained.threshold)
+    features = risk_features(spark, d)
+    trained = risk.train(features, "date_key")
+    return risk.score(trained.model, features.drop("date_key", "is_late"), trained.threshold)
 
 
 QUERIES = {f.__name__: f for f in (

@@ -61,3 +61,7 @@ def test_whatif_reads_a_staged_fact(spark, monkeypatch):
     queries.whatif_result(spark, DATA)
     queries.whatif_scenarios(spark, DATA)
     assert len(given) >= 5 and not any(map(joins, given))
+
+
+def test_scores_read_the_features_that_were_trained_on(spark):
+    assert joins(queries.risk_model_scores(spark, DATA)) == 0
