@@ -48,6 +48,7 @@ BITS = 1024
 NO_CODE = 255  # the byte of a place outside the window
 CELL = 2048
 BROADCAST_ROWS = 1_000_000
+PAIRS_A_TASK = 500  # of a verification
 SPANS = ("doc_id long, text_hash long, start_word long, n_words long, source_id long, source_start long, "
          "source_words long, similarity double")
 PAIRS = "doc_id long, text_hash long, source_id long, source_hash long"
@@ -529,14 +530,16 @@ def repeated_passages(docs: DataFrame, least_words: int = 50, least: float = 0.8
 
 
 def verify(pairs: DataFrame, docs: DataFrame, least_words: int, least: float) -> DataFrame:
-    """The passages of the staged pairs of texts."""
+    """The passages of the staged pairs of texts. Pairs are small and dear, so their number and not their size sets how
+    many tasks share them; they are dealt by the later text, since very many pairs can have one source."""
+    tasks = pairs.count() // PAIRS_A_TASK + 1
     ids = stage(pairs.select(F.explode(F.array(F.struct("doc_id", "text_hash"), F.struct(
         F.col("source_id").alias("doc_id"), F.col("source_hash").alias("text_hash")))).alias("x")).select("x.*").distinct(), "passage-ids")
     named = docs.join(small(ids), ["doc_id", "text_hash"], "left_semi").distinct()
     return (
-        pairs.join(named, ["doc_id", "text_hash"])
-        .join(named.select(F.col("doc_id").alias("source_id"), F.col("text_hash").alias("source_hash"),
-                           F.col("text").alias("source_text")), ["source_id", "source_hash"])
+        pairs.join(named.select(F.col("doc_id").alias("source_id"), F.col("text_hash").alias("source_hash"),
+                                F.col("text").alias("source_text")), ["source_id", "source_hash"])
+        .repartition(tasks, "doc_id", "text_hash").join(named.hint("merge"), ["doc_id", "text_hash"])
         .select("doc_id", "text_hash", "text", "source_id", "source_text")
         .mapInPandas(check_pairs(least_words, least), SPANS)
     )

@@ -236,6 +236,18 @@ def test_earlier_texts_with_a_part_hide_no_source(spark):
     assert by_hand - edited <= whole and len(whole) >= 0.97 * len(by_hand) and whole <= by_hand
 
 
+def test_pairs_of_one_source_are_shared_out(spark, monkeypatch):
+    """Few small pairs with one source do not meet in one task."""
+    monkeypatch.setattr(passages, "PAIRS_A_TASK", 4, raising=False)
+    text = sentence(random.Random(11), 60)
+    docs = spark.createDataFrame([(i, text + f" tail{i}") for i in range(33)], "doc_id long, text string").withColumn(
+        "text_hash", F.xxhash64("text"))
+    one = docs.where("doc_id = 0").select(F.col("doc_id").alias("source_id"), F.col("text_hash").alias("source_hash"))
+    pairs = docs.where("doc_id > 0").select("doc_id", "text_hash").crossJoin(one)
+    got = passages.verify(pairs, docs, 50, 0.8).withColumn("task", F.spark_partition_id()).collect()
+    assert {r.doc_id for r in got} == set(range(1, 33)) and len({r.task for r in got}) > 3
+
+
 def test_repeats_are_cut_once(spark):
     rng = random.Random(3)
     shared, a, b, c = (sentence(rng, 60) for _ in range(4))
