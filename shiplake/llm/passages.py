@@ -14,9 +14,10 @@ each grow over gaps while the exact Jaccard of the two shingle sets stays at 0.8
 
 Windows whose centre no verified passage reaches are looked at again, against every earlier window of their hash, in cells
 of bounded size. A stretch of the shortest length around the centre that another place holds at 0.8 shares a least number
-of shingles with it, hence of bits in a vector of its surroundings, and nearly all of them in nearly the same places; pairs
-that do are verified, the closest of each window first, then all that windows still without a passage have. Windows with
-equal surroundings go as one.
+of shingles with it, hence of bits in a vector of its surroundings; of places that do, the codes of their shingles tell the
+exact Jaccard of each such stretch with the best one there. A window hands on one place of each cell, so pairs of texts
+follow the windows and not the pairs of windows; the closest is verified, and its stretch counts where no longer passage
+reaches the centre. Windows with equal surroundings go as one.
 Texts that are copies form one class; its earliest row stands for it and the others are reported as whole repeats.
 
 Defined cases: null, empty and shorter texts have no passage. Rows with a null id take no part. Rows that share an id
@@ -45,14 +46,17 @@ AROUND = 12
 ANCHOR = 16  # shingles of the runs that stretches grow from
 DISTANCE = 0.05  # what a run pays for a skipped shingle
 BITS = 1024
-NO_CODE = 255  # the byte of a place outside the window
+NO_CODE = 2**16 - 1  # the code of a place outside the window
 CELL = 2048
+AT_ONCE = 64  # places that a window is compared with before it looks whether one holds its stretch
 BROADCAST_ROWS = 1_000_000
 PAIRS_A_TASK = 500  # of a verification
 SPANS = ("doc_id long, text_hash long, start_word long, n_words long, source_id long, source_start long, "
          "source_words long, similarity double")
 PAIRS = "doc_id long, text_hash long, source_id long, source_hash long"
-DRAWN = "sig long, doc_id long, text_hash long, c int, seeks boolean, around long, need float, bits binary, codes binary"
+SPOT = "c int, s int, n int, hs int, hn int"  # a window's centre, and a stretch around it in both texts
+FOUND = f"{PAIRS}, {SPOT}, score double"
+DRAWN = "sig long, doc_id long, text_hash long, c int, seeks boolean, around long, lo int, n int, need float, codes binary"
 
 
 def compact_windows(values: np.ndarray, width: int) -> np.ndarray:
@@ -341,6 +345,15 @@ def shared_runs(a: np.ndarray, b: np.ndarray, width: int, least: float) -> list[
     return found
 
 
+def local_run(a: np.ndarray, b: np.ndarray, spot: dict, least: float) -> list[tuple[int, int, int, int, float]]:
+    """The stretch that a window found around its centre, if the texts bear it out."""
+    (s, n), (hs, hn) = (spot["s"], spot["n"]), (spot["hs"], spot["hn"])
+    mine, other = np.unique(a[s:s + n]), np.unique(b[hs:hs + hn])
+    both = len(np.intersect1d(mine, other, assume_unique=True))
+    similarity = both / (len(mine) + len(other) - both)
+    return [(s, s + n - 1, hs, hs + hn - 1, similarity)] if similarity >= least else []
+
+
 def agreeing(least_words: int):
     """The pairs of texts whose windows agree."""
 
@@ -362,7 +375,11 @@ def check_pairs(least_words: int, least: float):
             for row in frame.itertuples(index=False):
                 a, b = (hashing.shingles(h, np.array([len(h)]), WIDTH, short_whole=False)[0]
                         for h in (words.of(row.text, True), words.of(row.source_text, True)))
-                for s, e, hs, he, similarity in shared_runs(a, b, width, least):
+                found = shared_runs(a, b, width, least)
+                for spot in row.spots:
+                    if not any(s <= spot["c"] <= e for s, e, *_ in found):
+                        found += local_run(a, b, spot, least)
+                for s, e, hs, he, similarity in found:
                     out.append((row.doc_id, row.text_hash, s, e - s + WIDTH, row.source_id, hs, he - hs + WIDTH, similarity))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in SPANS.split(", ")])
 
@@ -378,19 +395,20 @@ def fewest_distinct(codes: np.ndarray, width: int) -> np.ndarray:
 
 
 def sketch(least_words: int, least: float):
-    """For each window, of its surroundings: a hash, a bit vector, a byte per shingle, and the number of bits (``need``)
-    shared with every place that holds some stretch of the least length around the centre at ``least``."""
+    """For each window, of its surroundings: a hash, a code per shingle, where they begin (``lo``), how many they are, and
+    the number of bits (``need``) shared with every place that holds some stretch of the least length around the centre
+    at ``least``."""
     width = least_words - WIDTH + 1
     reach = math.ceil(width / least)
 
     def table(held: list[tuple]) -> pd.DataFrame:
-        sig, doc_id, text_hash, c, seeks, around, low, bits, codes = zip(*held, strict=True)
+        sig, doc_id, text_hash, c, seeks, around, lo, n, low, codes = zip(*held, strict=True)
         rows = [len(x) for x in c]
         return pd.DataFrame({
             "sig": np.concatenate(sig), "doc_id": np.repeat(doc_id, rows), "text_hash": np.repeat(text_hash, rows),
             "c": np.concatenate(c).astype("i4"), "seeks": np.concatenate(seeks).astype(bool), "around": np.concatenate(around),
-            "need": np.concatenate(low).astype(np.float32), "bits": [v.tobytes() for b in bits for v in b],
-            "codes": [v.tobytes() for b in codes for v in b]})
+            "lo": np.concatenate(lo).astype("i4"), "n": np.concatenate(n).astype("i4"),
+            "need": np.concatenate(low).astype(np.float32), "codes": [v.tobytes() for b in codes for v in b]})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = hashing.Words()
@@ -399,26 +417,19 @@ def sketch(least_words: int, least: float):
             for row in frame.itertuples(index=False):
                 h = words.of(row.text, True)
                 value = hashing.shingles(h, np.array([len(h)]), WIDTH, short_whole=False)[0]
-                spot = (hashing.mix(value, 31) & np.uint64(BITS - 1)).astype(np.int64)
+                code = (hashing.mix(value, 32) % np.uint64(NO_CODE)).astype(np.uint16)
+                spot = (code % BITS).astype(np.int64)
                 need = fewest_distinct(spot, width) - (1 - least) * fewest_distinct(value, width)
                 fewest = np.lib.stride_tricks.sliding_window_view(np.pad(need, (width, width), constant_values=np.inf), width).min(axis=1)
-                byte = np.pad((hashing.mix(value, 32) % np.uint64(NO_CODE)).astype(np.uint8), reach, constant_values=NO_CODE)
+                code = np.pad(code, reach, constant_values=NO_CODE)
                 every = value.tobytes()
                 for at in range(0, len(row.c), 1000):
-                    c, left, right = (getattr(row, f)[at:at + 1000].astype(np.int64) for f in ("c", "l", "r"))
-                    lo, hi = np.maximum(left, c - reach), np.minimum(right, c + reach)
-                    places = c[:, None] + np.arange(-reach, reach + 1)
-                    outside = (places < lo[:, None]) | (places > hi[:, None])
-                    bits = np.zeros((len(c), BITS + 1), np.uint8)
-                    bits[np.arange(len(c))[:, None], np.where(outside, BITS, spot[np.clip(places, 0, len(spot) - 1)])] = 1
-                    codes = np.where(outside, NO_CODE, byte[places + reach]).astype(np.uint8)
+                    c = row.c[at:at + 1000].astype(np.int64)
+                    lo, hi = np.maximum(0, c - reach), np.minimum(len(value) - 1, c + reach)
+                    codes = code[c[:, None] + np.arange(2 * reach + 1)]
                     around = [xxhash.xxh64_intdigest(every[8 * x:8 * y + 8]) >> 1 for x, y in zip(lo.tolist(), hi.tolist(), strict=True)]
-                    # stretches that hold the centre begin at c - width + 1 to c, as far as the window lets them
-                    low = fewest[c + 1]
-                    for k in np.flatnonzero((left > c - width + 1) | (right < c + width - 1)).tolist():
-                        low[k] = need[max(left[k], c[k] - width + 1):min(c[k], right[k] - width + 1) + 1].min()
                     held.append((row.sig[at:at + 1000], row.doc_id, row.text_hash, c, row.seeks[at:at + 1000], np.array(around, np.int64),
-                                 low, np.packbits(bits[:, :BITS], axis=1), codes))
+                                 lo, hi - lo + 1, fewest[c + 1], codes))  # a stretch that holds the centre begins at c - width + 1 to c
                     rows += len(c)
                     if rows >= 5000:
                         yield table(held)
@@ -429,45 +440,123 @@ def sketch(least_words: int, least: float):
     return tidy(run)
 
 
-def alike_around(mine: np.ndarray, others: np.ndarray, width: int, least: float) -> np.ndarray:
-    """Which of ``others`` (rows of codes) can hold a stretch of ``width`` around the centre of ``mine`` at ``least``: such
-    a stretch loses few shingles, and the others stand at most as many places off."""
-    lost = int((1 - least) / least * width)
-    n = others.shape[1]
-    found = np.zeros((len(others), n), bool)
-    for shift in range(-lost, lost + 1):
-        low, high = max(0, -shift), min(n, n - shift)
-        found[:, low:high] |= others[:, low + shift:high + shift] == mine[low:high]
-    found &= mine != NO_CODE
-    total = np.cumsum(np.pad(found, ((0, 0), (1, 0))), axis=1)
-    centre = n // 2
-    first, last = max(0, centre - width + 1), min(centre, n - width)
-    held = total[:, first + width:last + width + 1] - total[:, first:last + 1]
-    return held.max(axis=1) >= width - lost
+def bit_vectors(codes: np.ndarray) -> np.ndarray:
+    """The bits that the codes of each row set, in words."""
+    bits = np.zeros((len(codes), BITS + 1), np.uint8)
+    np.put_along_axis(bits, np.where(codes == NO_CODE, BITS, codes % BITS).astype(np.int64), 1, axis=1)
+    return np.packbits(bits[:, :BITS], axis=1).view(np.uint64)
+
+
+def best_stretch(gain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the last axis, the greatest sum of a stretch, its start and its end (excluded)."""
+    total = np.zeros((*gain.shape[:-1], gain.shape[-1] + 1), np.float32)
+    np.cumsum(gain, axis=-1, out=total[..., 1:])
+    rise = total - np.minimum.accumulate(total, axis=-1)
+    end = rise.argmax(axis=-1)
+    before = np.where(np.arange(total.shape[-1]) <= end[..., None], total, np.inf)
+    return np.take_along_axis(rise, end[..., None], -1)[..., 0], before.argmin(axis=-1), end
+
+
+def alike_around(mine: np.ndarray, others: np.ndarray, width: int, least: float) -> list[tuple[int, int, int, int, float]]:
+    """(row, start, start, length, Jaccard) for each of ``others`` (rows of codes) that holds a stretch of ``width`` around
+    the centre of ``mine`` at ``least``. Starts are places in the rows.
+
+    shared >= least * union says (1 + least) * shared - least * size of the other stretch >= least * size of mine. For each
+    stretch of mine the left side is a sum over the places of the other, so the best stretch there is that of greatest sum."""
+    centre = len(mine) // 2
+    inside = np.flatnonzero(mine != NO_CODE)
+    starts = np.arange(max(inside[0], centre - width + 1), min(centre, inside[-1] - width + 1) + 1)
+    names, mine = np.unique(mine, return_inverse=True)
+    holds = np.zeros((len(starts), len(names) + 1), bool)  # which codes each stretch of mine holds
+    for row, start in zip(holds, starts.tolist(), strict=True):
+        row[mine[start:start + width]] = True
+    size = holds.sum(axis=1)
+    name = np.minimum(np.searchsorted(names, others), len(names) - 1)
+    name[names[name] != others] = len(names)
+    again = repeats(others)  # a bound only, where codes repeat
+    lost = np.where(others == NO_CODE, np.float32(-1e6), np.where(again, np.float32(0), np.float32(-least)))
+
+    def gains(held: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return np.where(held, np.float32(1), lost[rows])
+
+    # a place that cannot reach the least with all that mine holds cannot with any stretch of it
+    rows = np.arange(len(others))
+    rows = rows[best_stretch(gains(holds.any(axis=0)[name], rows))[0] + 1e-3 >= least * size.min()]
+    if not rows.size:
+        return []
+    reached, first, end = best_stretch(gains(holds[:, name[rows]], rows))
+    beyond, found = reached + 1e-3 - least * size[:, None], []
+    for k, row in enumerate(rows.tolist()):
+        fits = np.flatnonzero(beyond[:, k] >= 0)
+        if not fits.size:
+            continue
+        if again[row].any():
+            hit = repeated_alike(holds[fits][:, name[row]], others[row], size[fits], least)
+            if hit is None:
+                continue
+            p, low, high = fits[hit[0]], hit[1], hit[2]
+        else:
+            p = fits[beyond[fits, k].argmax()]
+            low, high = int(first[p, k]), int(end[p, k])
+        both, other = (len(np.unique(x)) for x in (name[row, low:high][holds[p, name[row, low:high]]], others[row, low:high]))
+        found.append((row, int(starts[p]), low, high - low, both / (int(size[p]) + other - both)))
+    return found
+
+
+def repeated_alike(held: np.ndarray, codes: np.ndarray, sizes: np.ndarray, least: float) -> tuple[int, int, int] | None:
+    """The stretch of mine, and the start and end of one in a row that repeats codes, of which every code counts once."""
+    at, before = np.arange(len(codes)), previous(codes)
+    counts = (before < at[:, None]) & (at >= at[:, None])  # by start and place
+    for p, (row, size) in enumerate(zip(held, sizes.tolist(), strict=True)):
+        gain = np.where(codes == NO_CODE, -1e6, np.where(row, 1.0, -least))
+        total = np.cumsum(np.where(counts, gain, 0.0), axis=1)
+        place = int(total.argmax())
+        if total.flat[place] + 1e-9 >= least * size:
+            return p, place // len(codes), place % len(codes) + 1
+    return None
+
+
+def repeats(codes: np.ndarray) -> np.ndarray:
+    """Which places hold a code that an earlier place of their row holds."""
+    order = np.argsort(codes, axis=1, kind="stable")
+    sorted_ = np.take_along_axis(codes, order, 1)
+    out = np.zeros(codes.shape, bool)
+    np.put_along_axis(out, order[:, 1:], (sorted_[:, 1:] == sorted_[:, :-1]) & (sorted_[:, 1:] != NO_CODE), axis=1)
+    return out
 
 
 def closer(least_words: int, least: float):
-    """Of a sorted stream of cells, the windows that seek a source with the earlier places that pass both bounds."""
+    """Of a sorted stream of cells, each window that seeks a source with the earlier place that is closest to it, of those
+    that hold a stretch around its centre. Places with the most common bits are looked at first."""
     width = least_words - WIDTH + 1
 
-    def cell(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    def cell(f: pd.DataFrame) -> Iterator[tuple]:
+        f = f.sort_values("doc_id", kind="stable")
         doc, side, need = (f[c].to_numpy() for c in ("doc_id", "side", "need"))
-        bits = np.frombuffer(b"".join(f["bits"]), np.uint64).reshape(len(f), -1)
-        codes = np.frombuffer(b"".join(f["codes"]), np.uint8).reshape(len(f), -1)
-        hashes = f["text_hash"].to_numpy()
-        for i in np.flatnonzero(f["seeks"].to_numpy()).tolist():
-            others = np.flatnonzero((doc < doc[i]) & ((side != side[i]) if side[i] else True))
-            if others.size:
-                both = np.bitwise_count(bits[others] & bits[i]).sum(axis=1)
-                near = both + 1e-3 >= need[i]
-                hit, score = others[near], both[near]
-                for at in range(0, len(hit), CELL):
-                    near = alike_around(codes[i], codes[hit[at:at + CELL]], width, least)
-                    some = hit[at:at + CELL][near]
-                    if some.size:
-                        yield pd.DataFrame({
-                            "doc_id": doc[i], "text_hash": hashes[i], "c": f["c"].iat[i], "source_id": doc[some],
-                            "source_hash": hashes[some], "score": score[at:at + CELL][near].astype("i4")})
+        seeking = np.flatnonzero(f["seeks"].to_numpy())
+        if not seeking.size:
+            return
+        codes = np.frombuffer(b"".join(f["codes"]), np.uint16).reshape(len(f), -1)
+        bits, hashes, centres = np.ascontiguousarray(bit_vectors(codes).T), f["text_hash"].to_numpy(), f["c"].to_numpy()
+        middle = codes.shape[1] // 2
+        for i, earlier in zip(seeking.tolist(), np.searchsorted(doc, doc[seeking]).tolist(), strict=True):
+            both = np.bitwise_count(bits[:, :earlier] & bits[:, i, None]).sum(axis=0, dtype=np.uint16)
+            near = both + 1e-3 >= need[i]
+            if side[i]:
+                near &= side[:earlier] != side[i]
+            hit = np.flatnonzero(near)
+            hit = hit[np.argsort(-both[hit].astype(np.int64), kind="stable")]
+            for at in range(0, len(hit), AT_ONCE):
+                some = hit[at:at + AT_ONCE]
+                alike = alike_around(codes[i], codes[some], width, least)
+                if alike:
+                    k, start, first, n, similarity = max(alike, key=lambda x: x[4])
+                    k, c = some[k], centres[i]
+                    yield (doc[i], hashes[i], doc[k], hashes[k], c, c + start - middle, width, centres[k] + first - middle, n, similarity)
+                    break
+
+    def table(found: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(found, columns=[c.split()[0] for c in FOUND.split(", ")])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -477,10 +566,10 @@ def closer(least_words: int, least: float):
             cuts = (np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()
             found = [g for x, y in zip([0, *cuts], cuts) for g in cell(held.iloc[x:y])]
             if found:
-                yield pd.concat(found, ignore_index=True)
+                yield table(found)
             held = held.iloc[cuts[-1] if cuts else 0:].reset_index(drop=True)
         if held is not None and len(held):
-            yield from cell(held)
+            yield table(list(cell(held)))
 
     return tidy(run)
 
@@ -519,20 +608,16 @@ def repeated_passages(docs: DataFrame, least_words: int = 50, least: float = 0.8
         .where(F.size(F.array_distinct(F.transform("matches", lambda m: m["k"]))) >= ENOUGH)
         .mapInPandas(agreeing(least_words), PAIRS), "passage-pairs")
     spans = stage(verify(pairs, docs, least_words, least), "passage-spans")
-    more = further_pairs(shared, spans, pairs, docs, least_words, least)
-    key = ["doc_id", "text_hash", "c"]
-    closest = stage(
-        more.groupBy(*key).agg(F.max_by(F.struct("source_id", "source_hash"), "score").alias("m"))
-        .select("doc_id", "text_hash", "m.*").distinct(), "passage-closest")
-    spans = stage(spans.unionByName(verify(closest, docs, least_words, least)), "passage-spans")
-    rest = without_source(more, spans).select(*closest.columns).distinct().join(closest, closest.columns, "left_anti")
-    return whole.unionByName(spans).unionByName(verify(stage(rest, "passage-rest"), docs, least_words, least))
+    closest = further_pairs(shared, spans, docs, least_words, least)
+    return whole.unionByName(spans.unionByName(verify(closest, docs, least_words, least)).distinct())
 
 
 def verify(pairs: DataFrame, docs: DataFrame, least_words: int, least: float) -> DataFrame:
-    """The passages of the staged pairs of texts. Pairs are small and dear, so their number and not their size sets how
+    """The passages of the staged pairs of texts, with those that windows found in them (``spots``). Pairs are small and dear, so their number and not their size sets how
     many tasks share them; they are dealt by the later text, since very many pairs can have one source."""
     tasks = pairs.count() // PAIRS_A_TASK + 1
+    if "spots" not in pairs.columns:
+        pairs = pairs.withColumn("spots", F.array().cast(f"array<struct<{SPOT.replace(' ', ':').replace(',:', ',')}>>"))
     ids = stage(pairs.select(F.explode(F.array(F.struct("doc_id", "text_hash"), F.struct(
         F.col("source_id").alias("doc_id"), F.col("source_hash").alias("text_hash")))).alias("x")).select("x.*").distinct(), "passage-ids")
     named = docs.join(small(ids), ["doc_id", "text_hash"], "left_semi").distinct()
@@ -540,7 +625,7 @@ def verify(pairs: DataFrame, docs: DataFrame, least_words: int, least: float) ->
         pairs.join(named.select(F.col("doc_id").alias("source_id"), F.col("text_hash").alias("source_hash"),
                                 F.col("text").alias("source_text")), ["source_id", "source_hash"])
         .repartition(tasks, "doc_id", "text_hash").join(named.hint("merge"), ["doc_id", "text_hash"])
-        .select("doc_id", "text_hash", "text", "source_id", "source_text")
+        .select("doc_id", "text_hash", "text", "source_id", "source_text", "spots")
         .mapInPandas(check_pairs(least_words, least), SPANS)
     )
 
@@ -561,25 +646,26 @@ def without_source(places: DataFrame, spans: DataFrame) -> DataFrame:
         F.col("_spans").isNull() | ~F.exists("_spans", lambda x: F.col("c").between(x["s"], x["e"]))).drop("_spans")
 
 
-def further_pairs(shared: DataFrame, spans: DataFrame, tried: DataFrame, docs: DataFrame, least_words: int, least: float) -> DataFrame:
-    """doc_id, text_hash, c, source_id, source_hash, score: windows that verification left without a source, with the
-    other earlier holders of their signature that pass the bit bound. Places with the same surroundings are one class."""
-    many = shared.where("n > 2").select("sig", "doc_id", "text_hash", "l", "c", "r", F.col("first.doc_id").alias("least"))
+def further_pairs(shared: DataFrame, spans: DataFrame, docs: DataFrame, least_words: int, least: float) -> DataFrame:
+    """Pairs of texts with ``spots``: each window that verification left without a source, with the closest earlier holder
+    of its signature that holds a stretch around it. Places with the same surroundings are one class."""
+    many = shared.where("n > 2").select("sig", "doc_id", "text_hash", "c", F.col("first.doc_id").alias("least"))
     seeking = stage(without_source(many.where("doc_id != least"), spans).select("sig", "doc_id", "text_hash", "c"), "passage-seeking")
     places = stage(
         many.join(seeking.select("sig").distinct(), "sig").join(
             seeking.withColumn("seeks", F.lit(True)), ["sig", "doc_id", "text_hash", "c"], "left")
         .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
-            "sig", "c", "l", "r", F.coalesce("seeks", F.lit(False)).alias("seeks"))).alias("places"))
-        .select("doc_id", "text_hash", *[F.col(f"places.{f}").alias(f) for f in ("sig", "c", "l", "r", "seeks")]), "passage-places")
+            "sig", "c", F.coalesce("seeks", F.lit(False)).alias("seeks"))).alias("places"))
+        .select("doc_id", "text_hash", *[F.col(f"places.{f}").alias(f) for f in ("sig", "c", "seeks")]), "passage-places")
     texts = docs.join(small(places.select("doc_id", "text_hash")), ["doc_id", "text_hash"], "left_semi").distinct()
     drawn = stage(texts.join(places, ["doc_id", "text_hash"]).mapInPandas(sketch(least_words, least), DRAWN), "passage-sketches")
-    one = F.struct("doc_id", "text_hash", (~F.col("seeks")).alias("idle"), "c", "need", "bits", "codes")
+    one = F.struct("doc_id", "text_hash", (~F.col("seeks")).alias("idle"), "c", "lo", "need", "codes")
     heads = stage(drawn.groupBy("sig", "around").agg(F.min(one).alias("m")).select("sig", "around", "m.*"), "passage-heads")
     alike = (
-        drawn.where("seeks").select("sig", "around", "doc_id", "text_hash", "c")
-        .join(heads.select("sig", "around", F.col("doc_id").alias("source_id"), F.col("text_hash").alias("source_hash")), ["sig", "around"])
-        .where("doc_id != source_id").select("doc_id", "text_hash", "c", "source_id", "source_hash", F.lit(BITS).alias("score")))
+        drawn.where("seeks").select("sig", "around", "doc_id", "text_hash", "c", F.col("lo").alias("s"), "n", F.col("n").alias("hn"))
+        .join(heads.select("sig", "around", F.col("doc_id").alias("source_id"), F.col("text_hash").alias("source_hash"),
+                           F.col("lo").alias("hs")), ["sig", "around"])
+        .where("doc_id != source_id").withColumn("score", F.lit(1.0)).drop("sig", "around"))
     blocks = heads.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min("idle").alias("idle")).where("n > 1 and not idle").select(
         "sig", (F.floor((F.col("n") - 1) / CELL) + 1).alias("blocks"))
     cells = (
@@ -587,11 +673,14 @@ def further_pairs(shared: DataFrame, spans: DataFrame, tried: DataFrame, docs: D
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                 F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
-                "doc_id", "text_hash", "c", "need", "bits", "codes", (~F.col("idle")).alias("seeks"))
+                "doc_id", "text_hash", "c", "need", "codes", (~F.col("idle")).alias("seeks"))
         .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j"))
-    found = cells.mapInPandas(closer(least_words, least), PAIRS + ", c int, score int").unionByName(alike)
-    keys = ["doc_id", "text_hash", "source_id", "source_hash"]
-    return stage(found.groupBy(*keys, "c").agg(F.max("score").alias("score")).join(tried, keys, "left_anti"), "passage-further")
+    found = cells.mapInPandas(closer(least_words, least), FOUND).unionByName(alike)
+    spot = F.struct(*[c.split()[0] for c in SPOT.split(", ")])
+    best = F.max(F.struct("score", (-F.col("source_id")).alias("late"), "source_id", "source_hash", spot.alias("spot")))
+    return stage(
+        found.groupBy("doc_id", "text_hash", "c").agg(best.alias("m"))
+        .groupBy("doc_id", "text_hash", "m.source_id", "m.source_hash").agg(F.collect_list("m.spot").alias("spots")), "passage-closest")
 
 
 def cut_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -220,6 +220,46 @@ def test_edited_passages_are_found():
     assert shared_words(text + rest, gap + worn)[0] >= set(range(96))
 
 
+def test_stretches_around_a_centre_as_by_hand():
+    """Against every pair of stretches, in rows with and without repeated codes and with places outside the window."""
+    rng = np.random.default_rng(5)
+    for case in range(60):
+        mine = rng.permutation(1000)[:25] if case % 2 else rng.integers(0, 30, 25)
+        others = np.where(rng.random((6, 25)) < 0.15, rng.integers(0, 1000, (6, 25)), np.roll(mine, case % 5 - 2))
+        mine, others = mine.astype(np.uint16), others.astype(np.uint16)
+        mine[:case % 3] = others[:, 24 - case % 4:] = passages.NO_CODE
+        got = {r[0]: r for r in passages.alike_around(mine, others, 10, 0.8)}
+        for k, other in enumerate(others.tolist()):
+            other, found = [x for x in other if x != passages.NO_CODE], False
+            for start in range(max(case % 3, 3), 13):
+                a = set(mine[start:start + 10].tolist())
+                found |= any(len(a & set(other[i:j])) >= 0.8 * len(a | set(other[i:j]))
+                             for i in range(len(other)) for j in range(i + 1, len(other) + 1))
+            assert (k in got) == found
+            if found:
+                _, start, first, n, similarity = got[k]
+                a, b = set(mine[start:start + 10].tolist()), set(others[k, first:first + n].tolist())
+                assert similarity == len(a & b) / len(a | b) >= 0.8
+
+
+def test_edited_copies_are_verified_once_a_window(spark, monkeypatch):
+    """Copies of one text, with words changed here and there: pairs of texts do not go by the square of their number."""
+    rng, verify, pairs = random.Random(21), passages.verify, []
+
+    def counted(frame, *rest):
+        pairs.append(frame.count())
+        return verify(frame, *rest)
+
+    monkeypatch.setattr(passages, "verify", counted)
+    base = sentence(rng, 150).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, 80):
+        words = [sentence(rng, 1) if (k + i) % 19 == 0 else w for k, w in enumerate(base)]
+        rows.append((i, " ".join([sentence(rng, 20), *words, sentence(rng, 20)])))
+    passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), 50, 0.8).collect()
+    assert sum(pairs) <= 4 * len(rows)
+
+
 def test_earlier_texts_with_a_part_hide_no_source(spark):
     """Document 1 of each case holds 45 words of a 60-word passage, too few; two later ones hold all of it."""
     rng = random.Random(12)
