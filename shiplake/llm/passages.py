@@ -48,6 +48,7 @@ DISTANCE = 0.05  # what a run pays for a skipped shingle
 BITS = 1024
 NO_CODE = 2**16 - 1  # the code of a place outside the window
 CELL = 2048
+WORDS_AT_ONCE = 100_000  # of texts whose windows are made together
 AT_ONCE = 64  # places that a window is compared with before it looks whether one holds its stretch
 BROADCAST_ROWS = 1_000_000
 PAIRS_A_TASK = 500  # of a verification
@@ -89,29 +90,41 @@ def compact_windows(values: np.ndarray, width: int) -> np.ndarray:
 def emit_windows(least_words: int):
     width = least_words - WIDTH + 1
 
+    def windows(hashes: list[np.ndarray], numbers: list[int]) -> Iterator[tuple]:
+        """The windows of several texts, laid end to end with a least value around each, which no window goes beyond."""
+        counts = np.array([len(h) for h in hashes])
+        value, owner = hashing.shingles(np.concatenate(hashes), counts, WIDTH, short_whole=False)
+        laid = np.zeros(len(value) + len(counts) + 1, np.uint64)
+        places = np.arange(len(value)) + owner + 1
+        laid[places] = value
+        ends = np.append(0, np.cumsum(counts - WIDTH + 2))
+        for k in range(HASHES):
+            hashed = np.zeros(len(laid), np.uint64)
+            hashed[places] = hashing.mix(value, 100 + k)
+            made = compact_windows(hashed, width)
+            text = np.searchsorted(ends, made[:, 1], "right") - 1
+            real = ends[text] != made[:, 1]
+            made, text = made[real], text[real]
+            left, centre, right = made.T
+            around = laid[np.maximum(left, centre - AROUND)] * np.uint64(3) + laid[np.minimum(right, centre + AROUND)]
+            yield (np.column_stack((np.array(numbers)[text], np.full(len(made), k), made - ends[text][:, None] - 1)),
+                   hashed[centre], around)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = hashing.Words()
         for frame in frames:
-            rows, sigs, around, held = [], [], [], 0
+            held, numbers, n = [], [], 0
             for number, text in enumerate(frame["text"]):
                 hashes = words.of(text, lower=True)
-                if len(hashes) < least_words:
-                    continue
-                value, _ = hashing.shingles(hashes, np.array([len(hashes)]), WIDTH, short_whole=False)
-                for k in range(HASHES):
-                    hashed = hashing.mix(value, 100 + k)
-                    made = compact_windows(hashed, width)
-                    left, centre, right = made.T
-                    rows.append(np.column_stack((np.full(len(made), number), np.full(len(made), k), made)))
-                    sigs.append(hashed[centre])
-                    around.append(value[np.maximum(left, centre - AROUND)] * np.uint64(3)
-                                  + value[np.minimum(right, centre + AROUND)])
-                held += sum(map(len, sigs[-HASHES:]))
-                if held > 200_000:
-                    yield table(frame, rows, sigs, around)
-                    rows, sigs, around, held = [], [], [], 0
-            if rows:
-                yield table(frame, rows, sigs, around)
+                if len(hashes) >= least_words:
+                    held.append(hashes)
+                    numbers.append(number)
+                    n += len(hashes)
+                if n > WORDS_AT_ONCE:
+                    yield table(frame, *zip(*windows(held, numbers), strict=True))
+                    held, numbers, n = [], [], 0
+            if held:
+                yield table(frame, *zip(*windows(held, numbers), strict=True))
 
     def table(frame, rows, sigs, around):
         made = np.concatenate(rows)
@@ -367,14 +380,20 @@ def agreeing(least_words: int):
 
 def check_pairs(least_words: int, least: float):
     width = least_words - WIDTH + 1
+    words = hashing.Words()
+
+    def codes(text: str) -> np.ndarray:
+        h = words.of(text, True)
+        return hashing.shingles(h, np.array([len(h)]), WIDTH, short_whole=False)[0]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = hashing.Words()
+        text = a = None
         for frame in frames:
             out = []
             for row in frame.itertuples(index=False):
-                a, b = (hashing.shingles(h, np.array([len(h)]), WIDTH, short_whole=False)[0]
-                        for h in (words.of(row.text, True), words.of(row.source_text, True)))
+                if row.text != text:
+                    text, a = row.text, codes(row.text)
+                b = codes(row.source_text)
                 found = shared_runs(a, b, width, least)
                 for spot in row.spots:
                     if not any(s <= spot["c"] <= e for s, e, *_ in found):
@@ -458,8 +477,9 @@ def best_stretch(gain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def alike_around(mine: np.ndarray, others: np.ndarray, width: int, least: float) -> list[tuple[int, int, int, int, float]]:
-    """(row, start, start, length, Jaccard) for each of ``others`` (rows of codes) that holds a stretch of ``width`` around
-    the centre of ``mine`` at ``least``. Starts are places in the rows.
+    """(row, start, start, length, Jaccard) for those of ``others`` (rows of codes) that hold a stretch of ``width`` around
+    the centre of ``mine`` at ``least``; of rows that repeat codes one, and only if there is no other. Starts are places
+    in the rows.
 
     shared >= least * union says (1 + least) * shared - least * size of the other stretch >= least * size of mine. For each
     stretch of mine the left side is a sum over the places of the other, so the best stretch there is that of greatest sum."""
@@ -485,24 +505,32 @@ def alike_around(mine: np.ndarray, others: np.ndarray, width: int, least: float)
     if not rows.size:
         return []
     reached, first, end = best_stretch(gains(holds[:, name[rows]], rows))
-    beyond, found = reached + 1e-3 - least * size[:, None], []
+    beyond, found, unsure = reached + 1e-3 - least * size[:, None], [], []
     for k, row in enumerate(rows.tolist()):
         fits = np.flatnonzero(beyond[:, k] >= 0)
         if not fits.size:
             continue
-        if again[row].any():
-            hit = repeated_alike(holds[fits][:, name[row]], others[row], size[fits], least)
-            if hit is None:
-                continue
+        p = fits[beyond[fits, k].argmax()]
+        low, high = int(first[p, k]), int(end[p, k])
+        hit = (row, int(starts[p]), low, high - low, jaccard(holds[p], size[p], name[row, low:high], others[row, low:high]))
+        if hit[-1] >= least:
+            found.append(hit)
+        elif again[row].any():
+            unsure.append((row, fits))
+    for row, fits in unsure if not found else ():
+        hit = repeated_alike(holds[fits][:, name[row]], others[row], size[fits], least)
+        if hit is not None:
             p, low, high = fits[hit[0]], hit[1], hit[2]
-        else:
-            p = fits[beyond[fits, k].argmax()]
-            low, high = int(first[p, k]), int(end[p, k])
-        both, other = (len(np.unique(x)) for x in (name[row, low:high][holds[p, name[row, low:high]]], others[row, low:high]))
-        found.append((row, int(starts[p]), low, high - low, both / (int(size[p]) + other - both)))
+            return [(row, int(starts[p]), low, high - low, jaccard(holds[p], size[p], name[row, low:high], others[row, low:high]))]
     return found
 
 
+def jaccard(holds: np.ndarray, size: int, name: np.ndarray, codes: np.ndarray) -> float:
+    """Of a stretch that holds ``size`` codes, marked by their number, and one with these numbers and codes."""
+    both, other = len(np.unique(name[holds[name]])), len(np.unique(codes))
+    return both / (int(size) + other - both)
+
+
 def repeated_alike(held: np.ndarray, codes: np.ndarray, sizes: np.ndarray, least: float) -> tuple[int, int, int] | None:
     """The stretch of mine, and the start and end of one in a row that repeats codes, of which every code counts once."""
     at, before = np.arange(len(codes)), previous(codes)
