@@ -49,7 +49,7 @@ BITS = 1024
 NO_CODE = 2**16 - 1  # the code of a place outside the window
 CELL = 2048
 WORDS_AT_ONCE = 100_000  # of texts whose windows are made together
-AT_ONCE = 64  # places that a window is compared with before it looks whether one holds its stretch
+AT_ONCE = 256  # places at most that a window is compared with before it looks whether one holds its stretch
 BROADCAST_ROWS = 1_000_000
 PAIRS_A_TASK = 500  # of a verification
 SPANS = ("doc_id long, text_hash long, start_word long, n_words long, source_id long, source_start long, "
@@ -466,53 +466,60 @@ def bit_vectors(codes: np.ndarray) -> np.ndarray:
     return np.packbits(bits[:, :BITS], axis=1).view(np.uint64)
 
 
-def best_stretch(gain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the last axis, the greatest sum of a stretch, its start and its end (excluded)."""
-    total = np.zeros((*gain.shape[:-1], gain.shape[-1] + 1), np.float32)
-    np.cumsum(gain, axis=-1, out=total[..., 1:])
-    rise = total - np.minimum.accumulate(total, axis=-1)
-    end = rise.argmax(axis=-1)
-    before = np.where(np.arange(total.shape[-1]) <= end[..., None], total, np.inf)
-    return np.take_along_axis(rise, end[..., None], -1)[..., 0], before.argmin(axis=-1), end
+def best_sum(gain: np.ndarray) -> np.ndarray:
+    """Of the last axis, the greatest sum of a stretch."""
+    total = np.cumsum(gain, axis=-1)
+    least = np.minimum(np.minimum.accumulate(total, axis=-1), 0)
+    total[..., 1:] -= least[..., :-1]
+    return total.max(axis=-1)
 
 
-def alike_around(mine: np.ndarray, others: np.ndarray, width: int, least: float) -> list[tuple[int, int, int, int, float]]:
+def best_place(gain: np.ndarray) -> tuple[int, int]:
+    """Start and end (excluded) of the stretch of greatest sum."""
+    total = np.append(np.float32(0), np.cumsum(gain))
+    end = int((total - np.minimum.accumulate(total)).argmax())
+    return int(total[:end + 1].argmin()), end
+
+
+def alike_around(mine: np.ndarray, others: np.ndarray, width: int, least: float,
+                 again: np.ndarray | None = None) -> list[tuple[int, int, int, int, float]]:
     """(row, start, start, length, Jaccard) for those of ``others`` (rows of codes) that hold a stretch of ``width`` around
-    the centre of ``mine`` at ``least``; of rows that repeat codes one, and only if there is no other. Starts are places
-    in the rows.
+    the centre of ``mine`` at ``least``; of rows that repeat codes (``again``) one, and only if there is no other. Starts
+    are places in the rows.
 
     shared >= least * union says (1 + least) * shared - least * size of the other stretch >= least * size of mine. For each
     stretch of mine the left side is a sum over the places of the other, so the best stretch there is that of greatest sum."""
+    again = repeats(others) if again is None else again
     centre = len(mine) // 2
     inside = np.flatnonzero(mine != NO_CODE)
     starts = np.arange(max(inside[0], centre - width + 1), min(centre, inside[-1] - width + 1) + 1)
     names, mine = np.unique(mine, return_inverse=True)
     holds = np.zeros((len(starts), len(names) + 1), bool)  # which codes each stretch of mine holds
-    for row, start in zip(holds, starts.tolist(), strict=True):
-        row[mine[start:start + width]] = True
+    holds[np.arange(len(starts))[:, None], mine[starts[:, None] + np.arange(width)]] = True
     size = holds.sum(axis=1)
-    name = np.minimum(np.searchsorted(names, others), len(names) - 1)
-    name[names[name] != others] = len(names)
-    again = repeats(others)  # a bound only, where codes repeat
-    lost = np.where(others == NO_CODE, np.float32(-1e6), np.where(again, np.float32(0), np.float32(-least)))
-
-    def gains(held: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        return np.where(held, np.float32(1), lost[rows])
-
-    # a place that cannot reach the least with all that mine holds cannot with any stretch of it
-    rows = np.arange(len(others))
-    rows = rows[best_stretch(gains(holds.any(axis=0)[name], rows))[0] + 1e-3 >= least * size.min()]
-    if not rows.size:
-        return []
-    reached, first, end = best_stretch(gains(holds[:, name[rows]], rows))
-    beyond, found, unsure = reached + 1e-3 - least * size[:, None], [], []
-    for k, row in enumerate(rows.tolist()):
-        fits = np.flatnonzero(beyond[:, k] >= 0)
-        if not fits.size:
-            continue
-        p = fits[beyond[fits, k].argmax()]
-        low, high = int(first[p, k]), int(end[p, k])
-        hit = (row, int(starts[p]), low, high - low, jaccard(holds[p], size[p], name[row, low:high], others[row, low:high]))
+    number = np.full(NO_CODE + 1, len(names), np.int16)
+    number[names] = np.arange(len(names))
+    name = number[others]
+    # where codes repeat, a bound only; places outside the window stand at the ends, where any loss keeps them out
+    lost = np.where(others == NO_CODE, np.float32(-1), np.where(again, np.float32(0), np.float32(-least)))
+    # a row that cannot reach the least with all that mine holds cannot with any stretch of it
+    able = best_sum(np.where(holds.any(axis=0)[name], np.float32(1), lost)) + 1e-3 >= least * size.min()
+    rows = np.flatnonzero(able)
+    there = np.zeros((len(rows), len(names) + 1), np.float32)
+    there[np.arange(len(rows))[:, None], name[rows]] = 1
+    k, p = np.nonzero(there @ holds.T.astype(np.float32) + 1e-3 >= least * size)
+    k, beyond = rows[k], []
+    for at in range(0, len(k), 512):
+        i, j = k[at:at + 512], p[at:at + 512]
+        beyond.append(best_sum(np.where(holds[j[:, None], name[i]], np.float32(1), lost[i])) + 1e-3 - least * size[j])
+    beyond = np.concatenate(beyond or [np.zeros(0, np.float32)])
+    k, p, beyond = k[beyond >= 0], p[beyond >= 0], beyond[beyond >= 0]
+    found, unsure = [], []
+    for row in np.unique(k).tolist():
+        fits, best = p[k == row], beyond[k == row].argmax()
+        start = fits[best]
+        low, high = best_place(np.where(holds[start, name[row]], np.float32(1), lost[row]))
+        hit = (row, int(starts[start]), low, high - low, jaccard(holds[start], size[start], name[row, low:high], others[row, low:high]))
         if hit[-1] >= least:
             found.append(hit)
         elif again[row].any():
@@ -520,8 +527,9 @@ def alike_around(mine: np.ndarray, others: np.ndarray, width: int, least: float)
     for row, fits in unsure if not found else ():
         hit = repeated_alike(holds[fits][:, name[row]], others[row], size[fits], least)
         if hit is not None:
-            p, low, high = fits[hit[0]], hit[1], hit[2]
-            return [(row, int(starts[p]), low, high - low, jaccard(holds[p], size[p], name[row, low:high], others[row, low:high]))]
+            start, low, high = fits[hit[0]], hit[1], hit[2]
+            return [(row, int(starts[start]), low, high - low,
+                     jaccard(holds[start], size[start], name[row, low:high], others[row, low:high]))]
     return found
 
 
@@ -566,7 +574,7 @@ def closer(least_words: int, least: float):
             return
         codes = np.frombuffer(b"".join(f["codes"]), np.uint16).reshape(len(f), -1)
         bits, hashes, centres = np.ascontiguousarray(bit_vectors(codes).T), f["text_hash"].to_numpy(), f["c"].to_numpy()
-        middle = codes.shape[1] // 2
+        middle, again = codes.shape[1] // 2, repeats(codes)
         for i, earlier in zip(seeking.tolist(), np.searchsorted(doc, doc[seeking]).tolist(), strict=True):
             both = np.bitwise_count(bits[:, :earlier] & bits[:, i, None]).sum(axis=0, dtype=np.uint16)
             near = both + 1e-3 >= need[i]
@@ -574,9 +582,11 @@ def closer(least_words: int, least: float):
                 near &= side[:earlier] != side[i]
             hit = np.flatnonzero(near)
             hit = hit[np.argsort(-both[hit].astype(np.int64), kind="stable")]
-            for at in range(0, len(hit), AT_ONCE):
-                some = hit[at:at + AT_ONCE]
-                alike = alike_around(codes[i], codes[some], width, least)
+            at, next_ = 0, 4
+            while at < len(hit):
+                some = hit[at:next_]
+                at, next_ = next_, next_ + min(3 * next_, AT_ONCE)
+                alike = alike_around(codes[i], codes[some], width, least, again[some])
                 if alike:
                     k, start, first, n, similarity = max(alike, key=lambda x: x[4])
                     k, c = some[k], centres[i]
