@@ -48,6 +48,9 @@ DISTANCE = 0.05  # what a run pays for a skipped shingle
 BITS = 1024
 NO_CODE = 2**16 - 1  # the code of a place outside the window
 CELL = 2048
+PROBE = 512  # holders of a signature up to which all are compared
+STEP = 10  # how far a run goes on from a centre to be a key
+GRAM = 8  # shingles of a key away from the centre
 WORDS_AT_ONCE = 100_000  # of texts whose windows are made together
 AT_ONCE = 256  # places at most that a window is compared with before it looks whether one holds its stretch
 BROADCAST_ROWS = 1_000_000
@@ -57,6 +60,7 @@ SPANS = ("doc_id long, text_hash long, start_word long, n_words long, source_id
 PAIRS = "doc_id long, text_hash long, source_id long, source_hash long"
 SPOT = "c int, s int, n int, hs int, hn int"  # a window's centre, and a stretch around it in both texts
 FOUND = f"{PAIRS}, {SPOT}, score double"
+PROBED = "key long, sig long, doc_id long, text_hash long, c int, seeks boolean"
 DRAWN = "sig long, doc_id long, text_hash long, c int, seeks boolean, around long, lo int, n int, need float, codes binary"
 
 
@@ -75,7 +79,8 @@ def compact_windows(values: np.ndarray, width: int) -> np.ndarray:
         first = least[:-step] <= least[step:]
         at = np.where(first, at[:-step], at[step:])
         least, span = np.where(first, least[:-step], least[step:]), span + step
-    centres = at[np.append(True, at[1:] != at[:-1])]
+    centres = kept_places(values, width)[at]
+    centres = centres[np.append(True, centres[1:] != centres[:-1])]
     places, least = centres.tolist(), values[centres].tolist()
     left, right, open_ = [0] * len(places), [n - 1] * len(places), []
     for i, x in enumerate(least):
@@ -87,6 +92,16 @@ def compact_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.column_stack((left, centres, right))
 
 
+def kept_places(values: np.ndarray, width: int) -> np.ndarray:
+    """For each place the one that stands for it as a centre: in a run of equal values the first, every ``width``-th
+    and the last. A stretch of ``width`` whose leftmost least place lies inside a run begins there, so it holds the next of them."""
+    at = np.arange(len(values))
+    new = np.append(True, values[1:] != values[:-1])
+    first = np.maximum.accumulate(np.where(new, at, 0))
+    last = np.append(np.flatnonzero(new)[1:], len(values))[np.cumsum(new) - 1] - 1
+    return np.minimum(first - (first - at) // width * width, last)
+
+
 def emit_windows(least_words: int):
     width = least_words - WIDTH + 1
 
@@ -226,15 +241,28 @@ class Stretch:
         """``shared``: which codes both texts hold."""
         self.sides, self.least = (a, b), least
         self.held = np.zeros((2, len(shared)), bool)
-        self.hits = [np.concatenate(([0], np.cumsum(shared[x]))).tolist() for x in (a, b)]
+        self.counts = [np.concatenate(([0], np.cumsum(shared[x]))) for x in (a, b)]
+        self.hits = [c.tolist() for c in self.counts]
+        self.before = previous(a)
         self.keys = []
         for x in (a, b):  # the places of each shingle, found by one search
             self.keys.append(np.sort(x.astype(np.int64) * (len(x) + 2) + np.arange(len(x))))
 
+    def alone(self, runs: np.ndarray) -> np.ndarray:
+        """Which runs meet no other on either side (as ``meets`` says of one), however many distinct shingles they hold."""
+        i, j, n = runs.T
+        afford = (2 * n * (1 - self.least) / self.least).astype(np.int64) + 1
+        ahead, behind = np.ones((2, len(runs)), bool)
+        for counts, first in zip(self.counts, (i, j), strict=True):
+            end = len(counts) - 1
+            ahead &= counts[np.minimum(first + n + afford, end)] > counts[np.minimum(first + n, end)]
+            behind &= counts[first] > counts[np.maximum(first - afford, 0)]
+        return ~ahead & ~behind
+
     def grow(self, i: int, j: int, n: int) -> tuple[int, int, int, int, float]:
         a, b = self.sides
         self.s, self.e, self.hs, self.he = i, i + n - 1, j, j + n - 1
-        self.shared = self.union = len(np.unique(a[i:i + n]))
+        self.shared = self.union = int(np.count_nonzero(self.before[i:i + n] < i))
         for held, x, at in zip(self.held, self.sides, (i, j), strict=True):
             held[x[at:at + n]] = True
         while self.joined(forward=True) or self.joined(forward=False):
@@ -348,10 +376,14 @@ def shared_runs(a: np.ndarray, b: np.ndarray, width: int, least: float) -> list[
     runs = long_runs(a, b)
     fine = np.concatenate(([0], np.cumsum(good)))
     runs = runs[fine[runs[:, 0] + runs[:, 2]] > fine[runs[:, 0]]]
+    if not len(runs):
+        return []
     stretch, reached, found = Stretch(a, b, in_a & in_b, least), np.zeros(len(a), bool), []
-    for i, j, n in runs.tolist():
+    alone = stretch.alone(runs)
+    of_use = ~alone | (runs[:, 2] >= width)
+    for (i, j, n), lone in zip(runs[of_use].tolist(), alone[of_use].tolist(), strict=True):
         if not reached[i:i + n].all():
-            got = stretch.grow(i, j, n)
+            got = (i, i + n - 1, j, j + n - 1, 1.0) if lone else stretch.grow(i, j, n)
             if got[1] - got[0] + 1 >= width and not reached[got[0]:got[1] + 1].all():
                 reached[got[0]:got[1] + 1] = True
                 found.append(got)
@@ -364,7 +396,17 @@ def local_run(a: np.ndarray, b: np.ndarray, spot: dict, least: float) -> list[tu
     mine, other = np.unique(a[s:s + n]), np.unique(b[hs:hs + hn])
     both = len(np.intersect1d(mine, other, assume_unique=True))
     similarity = both / (len(mine) + len(other) - both)
-    return [(s, s + n - 1, hs, hs + hn - 1, similarity)] if similarity >= least else []
+    if similarity < least:
+        return []
+    (s, e), (hs, he) = through_runs(a, s, s + n - 1), through_runs(b, hs, hs + hn - 1)
+    return [(s, e, hs, he, similarity)]
+
+
+def through_runs(codes: np.ndarray, start: int, end: int) -> tuple[int, int]:
+    """The stretch with all of the runs of one shingle that it begins and ends in, which add nothing to its shingles."""
+    before, behind = codes[:start][::-1] != codes[start], codes[end + 1:] != codes[end]
+    return (start - (int(before.argmax()) if before.any() else len(before)),
+            end + (int(behind.argmax()) if behind.any() else len(behind)))
 
 
 def agreeing(least_words: int):
@@ -413,6 +455,79 @@ def fewest_distinct(codes: np.ndarray, width: int) -> np.ndarray:
     return np.cumsum(change)[:n - width + 1]
 
 
+def probe(least_words: int, least: float):
+    """Keys of each window, of which every place alike to it (a stretch of the least length around the centre) holds one
+    that the window seeks by; all with the signature.
+
+    Where no four words repeat, such a place has the stretch in one run, or in two beside one edit, swap or cut: lost and
+    foreign shingles are 9 at most, and each break costs 4 of both. Either the run that holds the centre goes on for ``STEP``
+    shingles to its left or to its right: two keys. Or the other run holds all shingles 16 to 34 from the centre, on one side:
+    the least of the grams that begin in its first places is a key, moved by two places at most, and after a swap on the other side.
+    Windows beside words that repeat seek by the signature alone."""
+    width = least_words - WIDTH + 1
+    near, far = STEP + 6, width - STEP - 2  # of the other run
+    starts = far - near + 1 - GRAM + 1
+    by_keys = (1 - least) * width < 10 and starts > 0  # else a stretch can have more breaks
+
+    def gram(value: np.ndarray) -> np.ndarray:
+        if len(value) < GRAM:
+            return np.zeros(0, np.uint64)
+        n = len(value) - GRAM + 1
+        return hashing.mix(value[:n] * np.uint64(3) + value[GRAM - 1:] * np.uint64(5) + value[GRAM // 2:][:n], 33)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = hashing.Words()
+        for frame in frames:
+            held, rows = [], 0
+            for row in frame.itertuples(index=False):
+                keys = of_text(words.of(row.text, True), row.sig.view(np.uint64), row.c.astype(np.int64), row.seeks.astype(bool))
+                held.append((row, *keys))
+                rows += len(keys[0])
+                if rows >= 50_000:
+                    yield table(held)
+                    held, rows = [], 0
+            if held:
+                yield table(held)
+
+    def of_text(h: np.ndarray, sig: np.ndarray, c: np.ndarray, seeks: np.ndarray):
+        """(key, number of the window, whether it seeks by it)"""
+        count = np.array([len(h)])
+        value = hashing.shingles(h, count, WIDTH, short_whole=False)[0]
+        four = hashing.shingles(h, count, WIDTH - 1, short_whole=False)[0]
+        before = previous(four)
+        again = np.append(0, np.cumsum((before >= 0) & (np.arange(len(four)) - before <= 2 * width)))
+        plain = again[np.minimum(c + width + 1, len(four))] == again[np.maximum(c - width, 0)]
+        n, at = len(value), np.arange(len(c))
+        plain &= by_keys
+        out = [(sig, at, seeks & ~plain)]
+        for salt, way, fits in ((41, -1, c >= STEP), (42, 1, c + STEP < n)):
+            p = c[fits]
+            out.append((hashing.mix(sig[fits] + value[p + way * STEP // 2] * np.uint64(3) + value[p + way * STEP] * np.uint64(5), salt), at[fits],
+                        (seeks & plain)[fits]))
+        grams = gram(value)
+        if by_keys and len(grams) >= starts:
+            least = np.lib.stride_tricks.sliding_window_view(grams, starts).min(axis=1)
+            for first in (-far, near):
+                for move in (0, -2, -1, 1, 2):
+                    p = c + first + move
+                    fits = (p >= 0) & (p < len(least))
+                    out.append((hashing.mix(sig[fits] + least[p[fits]], 43), at[fits], (seeks & plain)[fits] if not move else np.zeros(fits.sum(), bool)))
+        key, at, seeks = (np.concatenate(x) for x in zip(*out, strict=True))
+        order = np.lexsort((~seeks, key, at))  # a key once a window, the one that seeks
+        key, at, seeks = key[order], at[order], seeks[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (at[1:] != at[:-1]))
+        return key[new], at[new], seeks[new]
+
+    def table(held: list[tuple]) -> pd.DataFrame:
+        rows = [len(key) for _, key, _, _ in held]
+        return pd.DataFrame({
+            "key": np.concatenate([key for _, key, _, _ in held]).view(np.int64), "sig": np.concatenate([r.sig[at] for r, _, at, _ in held]),
+            "doc_id": np.repeat([r.doc_id for r, *_ in held], rows), "text_hash": np.repeat([r.text_hash for r, *_ in held], rows),
+            "c": np.concatenate([r.c[at] for r, _, at, _ in held]).astype("i4"), "seeks": np.concatenate([x for *_, x in held])})
+
+    return tidy(run)
+
+
 def sketch(least_words: int, least: float):
     """For each window, of its surroundings: a hash, a code per shingle, where they begin (``lo``), how many they are, and
     the number of bits (``need``) shared with every place that holds some stretch of the least length around the centre
@@ -566,48 +681,46 @@ def closer(least_words: int, least: float):
     that hold a stretch around its centre. Places with the most common bits are looked at first."""
     width = least_words - WIDTH + 1
 
-    def cell(f: pd.DataFrame) -> Iterator[tuple]:
-        f = f.sort_values("doc_id", kind="stable")
-        doc, side, need = (f[c].to_numpy() for c in ("doc_id", "side", "need"))
-        seeking = np.flatnonzero(f["seeks"].to_numpy())
-        if not seeking.size:
-            return
+    def found_in(f: pd.DataFrame, ends: list[int]) -> Iterator[tuple]:
+        """Of cells that end at these rows; in each the holders come first, and both in the order of their texts."""
+        asks, doc, hashes, centres, need = (f[c].to_numpy() for c in ("asks", "doc_id", "text_hash", "c", "need"))
         codes = np.frombuffer(b"".join(f["codes"]), np.uint16).reshape(len(f), -1)
-        bits, hashes, centres = np.ascontiguousarray(bit_vectors(codes).T), f["text_hash"].to_numpy(), f["c"].to_numpy()
-        middle, again = codes.shape[1] // 2, repeats(codes)
-        for i, earlier in zip(seeking.tolist(), np.searchsorted(doc, doc[seeking]).tolist(), strict=True):
-            both = np.bitwise_count(bits[:, :earlier] & bits[:, i, None]).sum(axis=0, dtype=np.uint16)
-            near = both + 1e-3 >= need[i]
-            if side[i]:
-                near &= side[:earlier] != side[i]
-            hit = np.flatnonzero(near)
-            hit = hit[np.argsort(-both[hit].astype(np.int64), kind="stable")]
-            at, next_ = 0, 4
-            while at < len(hit):
-                some = hit[at:next_]
-                at, next_ = next_, next_ + min(3 * next_, AT_ONCE)
-                alike = alike_around(codes[i], codes[some], width, least, again[some])
-                if alike:
-                    k, start, first, n, similarity = max(alike, key=lambda x: x[4])
-                    k, c = some[k], centres[i]
-                    yield (doc[i], hashes[i], doc[k], hashes[k], c, c + start - middle, width, centres[k] + first - middle, n, similarity)
-                    break
-
-    def table(found: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(found, columns=[c.split()[0] for c in FOUND.split(", ")])
+        bits, middle = bit_vectors(codes), codes.shape[1] // 2
+        asking = np.append(0, np.cumsum(asks)).tolist()
+        for x, y in zip([0, *ends], ends):
+            first = y - (asking[y] - asking[x])
+            if not x < first < y:
+                continue
+            held = np.ascontiguousarray(bits[x:first].T)
+            for i, earlier in zip(range(first, y), np.searchsorted(doc[x:first], doc[first:y]).tolist(), strict=True):
+                both = np.bitwise_count(held[:, :earlier] & bits[i, :, None]).sum(axis=0, dtype=np.uint16)
+                hit = np.flatnonzero(both + 1e-3 >= need[i])
+                hit = x + hit[np.argsort(-both[hit].astype(np.int64), kind="stable")]
+                at, next_ = 0, 4
+                while at < len(hit):
+                    some = hit[at:next_]
+                    at, next_ = next_, next_ + min(3 * next_, AT_ONCE)
+                    alike = alike_around(codes[i], codes[some], width, least)
+                    if alike:
+                        k, start, begin, n, similarity = max(alike, key=lambda r: r[4])
+                        k, c = some[k], centres[i]
+                        yield (doc[i], hashes[i], doc[k], hashes[k], c, c + start - middle, width, centres[k] + begin - middle, n, similarity)
+                        break
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for frame in frames:
             held = frame if held is None else pd.concat((held, frame), ignore_index=True)
-            key = held[["sig", "i", "j"]].to_numpy()
-            cuts = (np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()
-            found = [g for x, y in zip([0, *cuts], cuts) for g in cell(held.iloc[x:y])]
-            if found:
-                yield table(found)
-            held = held.iloc[cuts[-1] if cuts else 0:].reset_index(drop=True)
+            key = held[["cell", "i", "j"]].to_numpy()
+            ends = (np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()
+            if ends:
+                yield table(held.iloc[:ends[-1]], ends)
+                held = held.iloc[ends[-1]:].reset_index(drop=True)
         if held is not None and len(held):
-            yield table(list(cell(held)))
+            yield table(held, [len(held)])
+
+    def table(f: pd.DataFrame, ends: list[int]) -> pd.DataFrame:
+        return pd.DataFrame(list(found_in(f, ends)), columns=[c.split()[0] for c in FOUND.split(", ")])
 
     return tidy(run)
 
@@ -620,13 +733,18 @@ def small(frame: DataFrame) -> DataFrame:
 def repeated_passages(docs: DataFrame, least_words: int = 50, least: float = 0.8) -> DataFrame:
     """One row per passage that an earlier text holds too: doc_id, text_hash, start_word, n_words, source_id,
     source_start, source_words, similarity. "Earlier" is by doc_id."""
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).where("doc_id is not null")
-    rows = stage(
-        docs.select("doc_id", "text_hash", F.length("text").alias("n"), word_count(F.col("text")).alias("words"))
-        .where(F.col("words") >= least_words), "passage-rows")
-    classes = rows.groupBy("text_hash", "n").agg(F.min("doc_id").alias("source_id"), F.count(F.lit(1)).alias("rows"))
+    plain = docs.select("doc_id", "text").where("doc_id is not null")
+    docs = plain.withColumn("text_hash", F.xxhash64("text"))
+    rows = stage(docs.select("doc_id", "text_hash", F.length("text").alias("n")).where(F.col("n") >= 2 * least_words - 1), "passage-rows")
+    classes = stage(
+        rows.groupBy("text_hash", "n").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("last > doc_id")
+        .drop("last"), "passage-classes")
+    sources = stage(  # words are counted once a class; a filter on them here would be pushed below the join, to all texts
+        plain.join(small(classes), "doc_id").where((F.xxhash64("text") == F.col("text_hash")) & (F.length("text") == F.col("n")))
+        .select("text_hash", "n", F.col("doc_id").alias("source_id"), word_count(F.col("text")).alias("words")),
+        "passage-sources").where(F.col("words") >= least_words).distinct()
     copies = stage(
-        rows.join(classes.where("rows > 1"), ["text_hash", "n"]).where("doc_id != source_id")
+        rows.join(sources, ["text_hash", "n"]).where("doc_id != source_id")
         .select("doc_id", "text_hash", "words", "source_id").distinct(), "copies")
     whole = copies.select(
         "doc_id", "text_hash", F.lit(0).cast("long").alias("start_word"), F.col("words").alias("n_words"), "source_id",
@@ -669,8 +787,8 @@ def verify(pairs: DataFrame, docs: DataFrame, least_words: int, least: float) ->
 
 
 def without_source(places: DataFrame, spans: DataFrame) -> DataFrame:
-    """The places (doc_id, text_hash, c) that no span reaches. Spans of a text are merged first, so that a place looks at
-    few of them however many sources the text has."""
+    """The places (sig, doc_id, text_hash, c) that no span reaches. Spans of a text are merged first, so that a place looks at
+    few of them however many sources the text has; places and spans meet by text, not by place."""
     farthest = Window.partitionBy("doc_id", "text_hash").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
     ordered = Window.partitionBy("doc_id", "text_hash").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, 0)
     reached = (
@@ -680,23 +798,65 @@ def without_source(places: DataFrame, spans: DataFrame) -> DataFrame:
         .withColumn("island", F.sum("new").over(ordered))
         .groupBy("doc_id", "text_hash", "island").agg(F.min("s").alias("s"), F.max("e").alias("e"))
         .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("s", "e")).alias("_spans")))
-    return places.join(reached, ["doc_id", "text_hash"], "left").where(
-        F.col("_spans").isNull() | ~F.exists("_spans", lambda x: F.col("c").between(x["s"], x["e"]))).drop("_spans")
+    gathered = places.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("sig", "c")).alias("places"))
+    left = F.when(F.col("_spans").isNull(), F.col("places")).otherwise(F.filter(
+        "places", lambda p: ~F.exists("_spans", lambda x: p["c"].between(x["s"], x["e"]))))
+    return gathered.join(reached, ["doc_id", "text_hash"], "left").select("doc_id", "text_hash", F.explode(left).alias("place")).select(
+        "place.sig", "doc_id", "text_hash", "place.c")
+
+
+def by_text(places: DataFrame, label: str) -> DataFrame:
+    """The places of each text as arrays, staged."""
+    return stage(
+        places.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("sig", "c", "seeks")).alias("places"))
+        .select("doc_id", "text_hash", *[F.col(f"places.{f}").alias(f) for f in ("sig", "c", "seeks")]), label)
+
+
+def with_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The staged places (arrays by text) beside their texts."""
+    texts = docs.join(small(places.select("doc_id", "text_hash")), ["doc_id", "text_hash"], "left_semi").distinct()
+    return texts.join(places, ["doc_id", "text_hash"])
+
+
+def cells(heads: DataFrame, kept: DataFrame) -> DataFrame:
+    """The heads dealt to cells of at most ``CELL`` that ask and ``CELL`` that hold: by signature, or by the keys (``kept``)
+    where a signature has more heads. Who asks meets every block of holders, and a holder every block of those who ask."""
+    sizes = heads.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min("idle").alias("idle")).where("n > 1 and not idle").drop("idle")
+    few = heads.join(sizes.where(F.col("n") <= CELL), "sig").withColumn("cell", F.col("sig")).select("cell", *heads.columns)
+    many_keys = heads.drop("idle").join(sizes.where(F.col("n") > CELL).select("sig"), "sig").join(
+        kept.select("key", "sig", "doc_id", "text_hash", "c", (~F.col("seeks")).alias("idle")), ["sig", "doc_id", "text_hash", "c"])
+    members = few.unionByName(many_keys.withColumnRenamed("key", "cell").select("cell", *heads.columns))
+    blocks = members.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum((~F.col("idle")).cast("long")).alias("asking")).where(
+        "n > 1 and asking > 0").select("cell", *[(F.floor((F.col(n) - 1) / CELL) + 1).alias(b) for n, b in (("asking", "asking"), ("n", "holding"))])
+    laid = members.join(blocks, "cell").withColumn("at", F.xxhash64("doc_id", "around"))
+    row = ["doc_id", "text_hash", "c", "need", "codes"]
+    holding = laid.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("asking") - 1))).select(
+        "cell", "i", F.pmod("at", "holding").alias("j"), F.lit(False).alias("asks"), *row)
+    asking = laid.where("not idle").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("holding") - 1))).select(
+        "cell", F.pmod("at", "asking").alias("i"), "j", F.lit(True).alias("asks"), *row)
+    return holding.unionByName(asking).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "asks", "doc_id")
 
 
 def further_pairs(shared: DataFrame, spans: DataFrame, docs: DataFrame, least_words: int, least: float) -> DataFrame:
     """Pairs of texts with ``spots``: each window that verification left without a source, with the closest earlier holder
     of its signature that holds a stretch around it. Places with the same surroundings are one class."""
-    many = shared.where("n > 2").select("sig", "doc_id", "text_hash", "c", F.col("first.doc_id").alias("least"))
-    seeking = stage(without_source(many.where("doc_id != least"), spans).select("sig", "doc_id", "text_hash", "c"), "passage-seeking")
+    many = shared.where("n > 2").select("sig", "doc_id", "text_hash", "c", "n", F.col("first.doc_id").alias("least"))
+    seeking = stage(without_source(many.where("doc_id != least"), spans), "passage-seeking")
+    last = seeking.groupBy("sig").agg(F.max("doc_id").alias("last"))
     places = stage(
-        many.join(seeking.select("sig").distinct(), "sig").join(
+        many.join(last, "sig").where("doc_id <= last").join(
             seeking.withColumn("seeks", F.lit(True)), ["sig", "doc_id", "text_hash", "c"], "left")
-        .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
-            "sig", "c", F.coalesce("seeks", F.lit(False)).alias("seeks"))).alias("places"))
-        .select("doc_id", "text_hash", *[F.col(f"places.{f}").alias(f) for f in ("sig", "c", "seeks")]), "passage-places")
-    texts = docs.join(small(places.select("doc_id", "text_hash")), ["doc_id", "text_hash"], "left_semi").distinct()
-    drawn = stage(texts.join(places, ["doc_id", "text_hash"]).mapInPandas(sketch(least_words, least), DRAWN), "passage-sketches")
+        .select("doc_id", "text_hash", "sig", "c", F.coalesce("seeks", F.lit(False)).alias("seeks"), "n"), "passage-places")
+    probed = stage(with_texts(docs, by_text(places.where(F.col("n") > PROBE), "passage-large"))
+                   .mapInPandas(probe(least_words, least), PROBED), "passage-probes")
+    met = probed.groupBy("key").agg(F.min("doc_id").alias("first"), F.max(F.when(F.col("seeks"), F.col("doc_id"))).alias("last")).where("last > first")
+    kept = stage(
+        probed.join(met, "key").withColumn("seeks", F.expr("seeks and doc_id > first")).where("seeks or doc_id < last").drop("first", "last"),
+        "passage-met")
+    chosen = places.where(F.col("n") <= PROBE).drop("n").unionByName(
+        kept.groupBy("doc_id", "text_hash", "sig", "c").agg(F.max("seeks").alias("seeks")))
+    places = by_text(chosen, "passage-chosen")
+    drawn = stage(with_texts(docs, places).mapInPandas(sketch(least_words, least), DRAWN), "passage-sketches")
     one = F.struct("doc_id", "text_hash", (~F.col("seeks")).alias("idle"), "c", "lo", "need", "codes")
     heads = stage(drawn.groupBy("sig", "around").agg(F.min(one).alias("m")).select("sig", "around", "m.*"), "passage-heads")
     alike = (
@@ -704,16 +864,7 @@ def further_pairs(shared: DataFrame, spans: DataFrame, docs: DataFrame, least_wo
         .join(heads.select("sig", "around", F.col("doc_id").alias("source_id"), F.col("text_hash").alias("source_hash"),
                            F.col("lo").alias("hs")), ["sig", "around"])
         .where("doc_id != source_id").withColumn("score", F.lit(1.0)).drop("sig", "around"))
-    blocks = heads.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min("idle").alias("idle")).where("n > 1 and not idle").select(
-        "sig", (F.floor((F.col("n") - 1) / CELL) + 1).alias("blocks"))
-    cells = (
-        heads.join(blocks, "sig").withColumn("own", F.pmod(F.xxhash64("doc_id", "around"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
-                "doc_id", "text_hash", "c", "need", "codes", (~F.col("idle")).alias("seeks"))
-        .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j"))
-    found = cells.mapInPandas(closer(least_words, least), FOUND).unionByName(alike)
+    found = cells(heads, kept).mapInPandas(closer(least_words, least), FOUND).unionByName(alike)
     spot = F.struct(*[c.split()[0] for c in SPOT.split(", ")])
     best = F.max(F.struct("score", (-F.col("source_id")).alias("late"), "source_id", "source_hash", spot.alias("spot")))
     return stage(

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import regex
@@ -163,6 +164,57 @@ def test_compact_windows_hold_every_stretch():
             assert sum(left <= i and c == centre and j <= right for left, c, right in windows) == 1
 
 
+def test_runs_of_one_word_make_few_windows():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        values = np.repeat(rng.integers(0, 6, 30), rng.integers(1, 25, 30)).astype(np.uint64)
+        windows = passages.compact_windows(values, 10)
+        assert len(windows) <= 3 * 30 + len(values) / 10
+        for i in range(len(values) - 9):
+            for j in (i + 9, min(i + 14, len(values) - 1), len(values) - 1):
+                held = [c for left, c, right in windows if left <= i <= c <= j <= right]
+                assert len(held) == 1 and values[held[0]] == values[i:j + 1].min()
+
+
+def test_alike_places_share_a_key():
+    """One word replaced, put in or left out, two joined parts swapped: the later place seeks by a key that the earlier holds."""
+    rng, run, sure = random.Random(4), passages.probe(50, 0.8), 0
+    for case in range(400):
+        p, cut = sentence(rng, 50).split(), rng.randrange(51)
+        other = [p[:cut] + [sentence(rng, 1)] + p[cut + 1:], p[:cut] + [sentence(rng, 1)] + p[cut:], p[:cut] + p[cut + 1:], p[cut:] + p[:cut], p][case % 5]
+        five = [[tuple(w[i:i + 5]) for i in range(len(w) - 4)] for w in (p, other)]
+        both = set(five[0]) & set(five[1])
+        if len(both) < 0.8 * len(set(five[0]) | set(five[1])):
+            continue
+        texts = [sentence(rng, n) + " " + " ".join(w) + " " + sentence(rng, 40) for n, w in ((rng.randrange(1, 60), p), (rng.randrange(1, 60), other))]
+        starts = [len(x.split()) - 40 - len(w) for x, w in zip(texts, (p, other), strict=True)]
+        centre = rng.choice(sorted(both))
+        frame = pd.DataFrame({"doc_id": [2, 1], "text_hash": [0, 0], "text": texts, "sig": [np.array([7])] * 2, "seeks": [np.array([True])] * 2,
+                              "c": [np.array([s + x.index(centre)], np.int32) for s, x in zip(starts, five, strict=True)]})
+        got = pd.concat(list(run(iter([frame]))))
+        assert set(got[(got.doc_id == 2) & got.seeks].key) & set(got[got.doc_id == 1].key), (case, cut)
+        sure += 1
+    assert sure > 150
+
+
+def test_cells_follow_the_places(spark, monkeypatch):
+    """Many texts with one line of 12 words and nothing else in common: they are not laid against each other."""
+    monkeypatch.setattr(passages, "CELL", 64)
+    monkeypatch.setattr(passages, "PROBE", 8, raising=False)
+    laid, make, rng = [], passages.cells, random.Random(17)
+    monkeypatch.setattr(passages, "cells", lambda heads, kept: laid.append((heads.count(), make(heads, kept).count())) or make(heads, kept))
+    line, shared = sentence(rng, 12), sentence(rng, 60).split()
+    rows = [(i, " ".join((sentence(rng, 40), line, sentence(rng, 40)))) for i in range(150)]
+    for i in range(200, 240):  # copies of a passage; two hold a part
+        edited = [sentence(rng, 1) if k == (i % 5 if i % 2 else 59 - i % 5) else w for k, w in enumerate(shared)]
+        part = {200: edited[:45], 201: edited[20:]}.get(i, edited)
+        rows.append((i, " ".join((sentence(rng, 30), *part, sentence(rng, 30)))))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), 50, 0.8).collect()
+    assert {r.doc_id for r in got} == set(range(202, 240))
+    (heads, cells), = laid
+    assert heads <= 300 and cells <= 2 * heads
+
+
 def test_repeats_of_fifty_words(docs, corpus, no_docs):
     got = passages.repeated_passages(docs.withColumn("k", F.lit(1)), 50, 0.8).collect()
     text_of = {}
