@@ -3,7 +3,7 @@
 A text is the sequence of its five-word shingles. For each of a few hash functions its Cartesian tree splits it into
 compact windows: (left, centre, right) stands for all stretches inside [left, right] that contain the centre, and the
 centre's hash is the least of each of them. Windows narrower than the shortest passage are never made, so a text has
-about 2n / width of them. Two texts with a common passage of that length have, for every hash function, windows with
+about 2n / width of them; of a run of one shingle a few places are centres. Two texts with a common passage of that length have, for every hash function, windows with
 the same least hash around the same place.
 
 Windows meet by that hash. Each is paired with the earliest text that holds it and with the earliest of those with the
@@ -12,8 +12,8 @@ are candidates. Verification takes both whole texts, lists their word-for-word r
 each grow over gaps while the exact Jaccard of the two shingle sets stays at 0.8 or more, and keeps what reaches
 ``least_words`` words.
 
-Windows whose centre no verified passage reaches are looked at again, against every earlier window of their hash, in cells
-of bounded size. A stretch of the shortest length around the centre that another place holds at 0.8 shares a least number
+Windows whose centre no verified passage reaches are looked at again, in cells of bounded size: against every earlier
+window of their hash, or, where a hash has many, against those that share a key of the runs around the centre (``probe``). A stretch of the shortest length around the centre that another place holds at 0.8 shares a least number
 of shingles with it, hence of bits in a vector of its surroundings; of places that do, the codes of their shingles tell the
 exact Jaccard of each such stretch with the best one there. A window hands on one place of each cell, so pairs of texts
 follow the windows and not the pairs of windows; the closest is verified, and its stretch counts where no longer passage
